@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+import public_tokenizers
+
+from . import packing, pii, simhash, toxicity
 from .common import table
 
 
@@ -10,5 +12,17 @@ def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_simhash": op1_simhash}
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def op10_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op10_packing)}
 ORACLES: dict[str, str] = {}
