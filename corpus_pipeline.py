@@ -1,10 +1,66 @@
-"""Corpus pipeline: the stages in order, each over all that the one before kept."""
+"""Corpus pipeline: the stages in order, each over all that the one before kept.
+
+Every stage but the last returns the columns of documents, with its decisions taken: toxic documents go, one document of
+each near-duplicate group stays, repeated passages are cut out of the texts, personal data is replaced by its kind.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marketloom.llm import packing, pii, simhash, suffix, toxicity
+from marketloom.llm.common import shared_folder, table, written
+
+
+def _with_text(docs: DataFrame, column: str) -> DataFrame:
+    """docs with the text taken from column, which goes; n_chars follows the text."""
+    text = F.col(column)
+    new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return docs.withColumns(new)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.kept(docs, model)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each near-duplicate group; of equal ids the first text."""
+    names = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(names, "doc_id", "left_semi").select(docs.columns)
+    twice = written(kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    once = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
+    return once.unionByName(kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of repeated passages; a character that a cut leaves in part goes with it."""
+    got = suffix.cut(docs).withColumn("kept", suffix.as_text(F.col("kept")))
+    return _with_text(got, "kept").select(docs.columns)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data replaced."""
+    return _with_text(pii.redact(docs), "clean_text").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("toxicity", drop_toxic), ("simhash", drop_near_copies), ("suffix", cut_repeats), ("pii", redact), ("packing", pack)]
+#: Learned scores, XXH64 fingerprints and a tokenizer are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages over documents, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    shared_folder(spark)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        docs = written(docs) if k + 1 < len(STAGES) else docs
+    return docs

@@ -6,6 +6,7 @@ import hashlib
 import re
 from bisect import bisect_left
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -120,4 +121,15 @@ def find(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, clean_text string")
 
 
+def redact(docs: DataFrame) -> DataFrame:
+    """docs with one more column, clean_text: the text with its spans replaced by their kinds; null stays null."""
+    tuned(docs.sparkSession)
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: t and redacted(t, (base := base_spans(t)) + added_spans(t, base)))
+
+    return docs.withColumn("clean_text", clean("text"))
+
+
 _NAMES = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "clean_text"]

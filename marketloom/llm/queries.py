@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import packing, pii, simhash, toxicity
+from . import packing, pii, simhash, suffix, toxicity
 from .common import table
 
 
@@ -20,9 +20,13 @@ def op3_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op7_suffix(spark, sf_dir):
+    return suffix.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op7_suffix, op10_packing)}
 ORACLES: dict[str, str] = {}

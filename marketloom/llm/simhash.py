@@ -20,7 +20,7 @@ from .common import blobs, components, local_components, tuned, written
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Fingerprints in a range, at least; ranges, at most (their top nodes go to every task: 16 bytes each); visitors in a task.
-RANGE_ROWS, RANGES, VISITORS, FAN = 8192, 1 << 15, 500_000, 16
+RANGE_ROWS, RANGES, VISITORS, FAN = 1 << 16, 1 << 15, 500_000, 16
 
 
 def fingerprint(text: bytes) -> int:

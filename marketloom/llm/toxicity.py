@@ -12,6 +12,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -186,3 +187,14 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def kept(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, all columns, that score below one half."""
+    tuned(docs.sparkSession)
+
+    @F.pandas_udf("double")
+    def scores(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(texts.tolist()))
+
+    return docs.where(scores("text") < 0.5)
