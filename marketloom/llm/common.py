@@ -12,6 +12,26 @@ from marketloom.session import shared_folder, written  # noqa: F401
 BATCH_ROWS = 512
 
 
+#: Answers that a worker remembers, in each of two generations.
+MEMO_WORDS = 400_000
+
+
+class Memo(dict):
+    """Answers of make by key, in two generations: when the younger is full, the older is forgotten."""
+
+    def __init__(self, make, limit: int = MEMO_WORDS):
+        super().__init__()
+        self.make, self.limit, self.older = make, limit, {}
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        got = self.older.get(key)
+        self[key] = got = self.make(key) if got is None else got
+        return got
+
+
 def tuned(spark: SparkSession) -> SparkSession:
     """Holds Arrow batches down to BATCH_ROWS rows."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:

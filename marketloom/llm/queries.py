@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import packing, pii, simhash, suffix, toxicity
+from . import lmscore, packing, pieces, pii, simhash, suffix, tokencount, toxicity
 from .common import table
 
 
@@ -20,13 +20,26 @@ def op3_pii(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op4_sentencepiece(spark, sf_dir):
+    got = pieces.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return got.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op6_lm_scoring(spark, sf_dir):
+    return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_suffix(spark, sf_dir):
     return suffix.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op8_token_counts(spark, sf_dir):
+    return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op7_suffix, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op4_sentencepiece, op6_lm_scoring, op7_suffix, op8_token_counts, op10_packing)}
 ORACLES: dict[str, str] = {}
