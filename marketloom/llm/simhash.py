@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import blobs, components, local_components, tuned, written
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
-#: Fingerprints in a range, at least; ranges, at most (their top nodes go to every task: 16 bytes each); visitors in a task.
+#: Fingerprints in a range, at least (few large ranges: a fingerprint visits about 1 + b + b (b - 1) / 2 of 2 ** b ranges); ranges, at most (their top nodes go to every task: 16 bytes each); visitors in a task.
 RANGE_ROWS, RANGES, VISITORS, FAN = 1 << 16, 1 << 15, 500_000, 16
 
 
