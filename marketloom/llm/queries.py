@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import lmscore, packing, pieces, pii, simhash, suffix, tokencount, toxicity
+from . import graphdedup, lmscore, packing, pieces, pii, simhash, suffix, tokencount, topk, toxicity
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op4_sentencepiece(spark, sf_dir):
     return got.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_top_k(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op6_lm_scoring(spark, sf_dir):
     return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -37,9 +42,33 @@ def op8_token_counts(spark, sf_dir):
     return tokencount.count(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_embedding_dedup(spark, sf_dir):
+    return graphdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_toxicity, op3_pii, op4_sentencepiece, op6_lm_scoring, op7_suffix, op8_token_counts, op10_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash, op2_toxicity, op3_pii, op4_sentencepiece, op5_top_k, op6_lm_scoring, op7_suffix, op8_token_counts, op9_embedding_dedup, op10_packing)
+}
+#: Joins and aggregates over brute force; of the other queries SQL can't express the tokenizers, learned scores or hashes.
+ORACLES = {
+    "op5_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
+    "op9_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+        r AS (SELECT vec_id AS a, vec_id AS low FROM v UNION SELECT l.b, r.low FROM r JOIN l ON l.a = r.a WHERE r.low < l.b),
+        c AS (SELECT a AS vec_id, min(low) AS component_id FROM r GROUP BY a),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT c.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.a = c.vec_id
+    """,
+}

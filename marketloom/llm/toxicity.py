@@ -81,7 +81,7 @@ _MEMOS: dict = {}
 
 def _rows(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Presence, log count and density of each voter."""
-    return np.hstack([x > 0, np.log1p(x), np.minimum(1, 20 * x / np.maximum(n, 1)[:, None])]).astype(float)
+    return np.hstack([x > 0, np.log1p(x), np.minimum(1, 20 * x / np.maximum(n, 1)[:, None])]).astype(np.float32)
 
 
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -109,11 +109,11 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[
 
 def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.2) -> tuple[np.ndarray, float]:
     """Newton steps for soft labels y."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
+    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w, ridge = np.zeros(x1.shape[1]), np.append(np.full(x.shape[1], l2), 1e-3)
     for _ in range(15):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + np.diag(ridge), x1.T @ (y - p) - ridge * w)
+        step = np.linalg.solve((x1 * (p * (1 - p)).astype(np.float32)[:, None]).T @ x1 + np.diag(ridge), x1.T @ (y - p) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-5:
             break
