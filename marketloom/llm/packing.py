@@ -17,22 +17,31 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, tuned
+from .common import Memo, blobs, tuned
 
 WINDOW, UNIT, DEPTH, END_ID = 2048, 64, 4, 1
-#: Tokens of a block, about; words whose ids a worker remembers.
-BLOCK_TOKENS, MEMO_WORDS = 4_000_000, 400_000
+#: Tokens of a block, about.
+BLOCK_TOKENS = 4_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 _ENCODERS: dict = {}
 
 
 class WordEncoder:
-    """Ids of whole texts for a tokenizer whose tokens never cross white space: each distinct word is encoded once."""
+    """Ids of whole texts for the lower-casing word tokenizer, whose tokens never cross white space.
+
+    Each distinct word is encoded once, and of common words only the merges are run: the library's model gets the parts
+    that its own rules (lower case, then runs of letters, single digits, runs of other signs) give. Words with anything
+    beyond PLAIN go through the whole library.
+    """
+
+    PLAIN = regex.compile(r"[!-~\u00a1-\u00ac\u00ae-\u024f\u2013-\u2026]+")
+    PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,7 +49,10 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         assert self.tokenizer.get_vocab_size() <= 1 << 16
-        self.memo: dict[bytes, bytes] = {}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+        self.words, self.parts = Memo(self._word), Memo(self._part)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -48,17 +60,19 @@ class WordEncoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
+    def _part(self, part: str) -> bytes:
+        tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+        return np.array([t.id for t in tokens], "<u2").tobytes()
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if "<|" in text or not self.PLAIN.fullmatch(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+        return b"".join(map(self.parts.__getitem__, self.PARTS.findall(text.lower())))
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Arrays of 16-bit ids. Words are parted at the six ASCII white-space characters."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo, split = self.memo, [t.split() for t in texts]
-        new = list({w for words in split for w in words if w not in memo})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            got = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            memo.update(zip(part, (np.array(e.ids, "<u2").tobytes() for e in got)))
-        return [np.frombuffer(b"".join(map(memo.__getitem__, words)), "<u2") for words in split]
+        return [np.frombuffer(b"".join(map(self.words.__getitem__, t.split())), "<u2") for t in texts]
 
 
 @lru_cache
