@@ -57,7 +57,7 @@ QUERIES = {
 #: Joins and aggregates over brute force; of the other queries SQL can't express the tokenizers, learned scores or hashes.
 ORACLES = {
     "op5_top_k": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings),
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings),
         s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
               FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
