@@ -126,6 +126,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
 
 def _refined(docs: DataFrame, reps: DataFrame, length: int) -> DataFrame:
     """Intervals (d, th, s, e) of repeated windows of reps with n = 1, found by growing the compared length."""
+    block = min(BLOCK, max(1, length // 4))  # a core keeps most of a window
     lists = reps.select("d", "th", F.struct("a", "lo", "hi", "open").alias("x")).groupBy("d", "th").agg(F.collect_list("x").alias("runs"))
 
     def contexts(batches):
@@ -136,23 +137,23 @@ def _refined(docs: DataFrame, reps: DataFrame, length: int) -> DataFrame:
             yield _batch(rows, ["d", "th", "a", "lo", "hi", "open", "bytes"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()])
 
     texts = _keyed(docs).join(lists, ["d", "th"])
-    held = written(texts.mapInArrow(contexts, "d long, th long, a int, lo int, hi int, open boolean, bytes binary").withColumn("id", F.struct("d", "th", "a")))
+    held = written(texts.mapInArrow(contexts, "d long, th long, a int, lo int, hi int, open boolean, bytes binary").withColumn("id", F.struct("d", "th", "a", "lo")))  # lo: a run that a buffer's end has cut is two
 
     def blocks(batches):
         """A row for each block of a run: core and extent as names."""
         for b in batches:
             rows = []
             for id_, lo, hi, is_open, data in zip(*(b.column(c).to_pylist() for c in ("id", "lo", "hi", "open", "bytes"))):
-                for k in range(lo // BLOCK, hi // BLOCK + 1):
-                    t0, t1 = k * BLOCK, k * BLOCK + BLOCK - 1
+                for k in range(lo // block, hi // block + 1):
+                    t0, t1 = k * block, k * block + block - 1
                     c0, c1 = max(lo, t0), min(hi, t1)
-                    rows.append((id_["d"], id_["th"], id_["a"], is_open, c0, c1, *_name(data[hi - t0 : hi - t1 + length], k), *_name(data[hi - c1 : hi - c0 + length], c0 << 32 | c1)))
-            yield _batch(rows, ["d", "th", "a", "open", "c0", "c1", "n1", "n2", "e1", "e2"], [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()] + [pa.int64()] * 4)
+                    rows.append((id_["d"], id_["th"], id_["a"], id_["lo"], is_open, c0, c1, *_name(data[hi - t0 : hi - t1 + length], k), *_name(data[hi - c1 : hi - c0 + length], c0 << 32 | c1)))
+            yield _batch(rows, ["d", "th", "a", "lo", "open", "c0", "c1", "n1", "n2", "e1", "e2"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()] + [pa.int64()] * 4)
 
-    first = held.select("id", "lo", "hi", "open", "bytes").mapInArrow(blocks, "d long, th long, a int, open boolean, c0 int, c1 int, n1 long, n2 long, e1 long, e2 long")
+    first = held.select("id", "lo", "hi", "open", "bytes").mapInArrow(blocks, "d long, th long, a int, lo int, open boolean, c0 int, c1 int, n1 long, n2 long, e1 long, e2 long")
     named = written(first)
     # Names in Spark: extents that repeat are decided; of equal extents one stays as a partner for the others.
-    extents = named.groupBy("n1", "n2", "e1", "e2").agg(F.count("*").alias("n"), F.min(F.struct("d", "th", "a")).alias("id"), F.max("open").alias("open"), F.first("c0").alias("c0"), F.first("c1").alias("c1"))
+    extents = named.groupBy("n1", "n2", "e1", "e2").agg(F.count("*").alias("n"), F.min(F.struct("d", "th", "a", "lo")).alias("id"), F.max("open").alias("open"), F.first("c0").alias("c0"), F.first("c1").alias("c1"))
     extents = written(extents.withColumn("open", F.col("open") & (F.col("n") == 1)))
     cores = written(extents.groupBy("n1", "n2").agg(F.count("*").alias("m"), F.max("open").alias("some")).where("m > 1 and some"))
     decided = named.where("open").join(extents.where("n > 1").select("n1", "n2", "e1", "e2"), ["n1", "n2", "e1", "e2"])
