@@ -70,11 +70,13 @@ def shard(entries: DataFrame, i: int, n: int, order: str = "loc") -> DataFrame:
 def ndjson(spark: SparkSession, path: str, retailer: str) -> tuple[DataFrame, DataFrame]:
     """(records, malformed lines). Blank lines don't count; a record of another retailer fails the load."""
     schema = f"retailer string, {PRODUCT_RECORD}, _bad string"
-    lines = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    good = lines.where("_bad is null")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    read = lines.select("value", F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    broken = F.col("r").isNull() | F.col("r._bad").isNotNull()
+    good = read.where(~broken).select("r.*").drop("_bad")
     if good.where(F.col("retailer").isNotNull() & (F.col("retailer") != retailer)).limit(1).count():
         raise ValueError(f"the file holds records of another retailer than {retailer}")
-    return good.drop("_bad"), lines.where("_bad is not null").select("_bad")
+    return good, read.where(broken).select(F.col("value").alias("_bad"))
 
 
 def write_ndjson(records: DataFrame, path: str) -> None:
