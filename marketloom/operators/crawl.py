@@ -103,3 +103,10 @@ def allowed(urls: DataFrame, rules: DataFrame) -> DataFrame:
     hits = asked.join(rules, "host").where(F.regexp_like("target", _pattern(F.col("path"))))
     best = hits.groupBy("url").agg(F.max_by("allow", F.struct(F.length("path"), "allow")).alias("allowed"))
     return urls.join(best, "url", "left").withColumn("allowed", F.coalesce("allowed", F.lit(True)))
+
+
+def by_mode(urls: DataFrame, mode: str) -> DataFrame:
+    """Department urls (grocery) of a run's mode: all, groceries alone, or removals (all that are no groceries)."""
+    if mode not in ("all", "groceries", "removals"):
+        raise ValueError(f"unknown mode: {mode}")
+    return urls if mode == "all" else urls.where(F.col("grocery") == F.lit(mode == "groceries"))

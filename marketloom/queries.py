@@ -500,3 +500,37 @@ def robots_admission(spark, d):
 def liveness(spark, d):
     minutes = read(spark, d, "events").groupBy("user_id", F.window("ts", "1 minute")).agg(F.min("event_id").alias("bump_id"), F.count("*").alias("pages_read"))
     return minutes.select("bump_id", F.col("window.start").alias("minute"), "pages_read")
+
+
+@query("""SELECT product_id, 'kept-' || CAST(product_id AS VARCHAR) AS external_id, CAST(CASE WHEN product_id % 2 = 0 THEN p_retailprice END AS DOUBLE) AS price, CASE WHEN product_id % 2 = 0 THEN 'EUR' END AS currency,
+    CAST(part.p_size AS DOUBLE) * 2 AS quantity, 'ml' AS unit, product_id % 2 = 0 OR product_id % 3 = 0 AS available FROM goods JOIN part ON p_partkey = product_id""", True)
+def product_records(spark, d):
+    from marketloom.functions import build
+
+    p = products(spark, d).join(read(spark, d, "part").select(F.col("p_partkey").alias("product_id"), "p_retailprice", "p_size"), "product_id")
+    pages = p.select(
+        F.when(F.col("product_id") % 2 == 0, "even").otherwise("odd").alias("retailer"), F.concat(F.lit("//shop/p/kept-"), F.col("product_id").cast("string"), F.lit("/x")).alias("url"), F.concat(F.lit("CASE 2 x "), F.col("p_size").cast("string"), F.lit(" ML")).alias("name"), "brand",
+        F.lit(None).cast("string").alias("gtin"), F.col("p_retailprice").alias("price"), F.lit(None).cast("string").alias("currency"), F.when(F.col("product_id") % 3 == 0, "https://schema.org/InStock").alias("availability"), "category",
+    )
+    policies = spark.createDataFrame([("even", "/p/([^/]+)", "EUR", True, True, None, False), ("odd", "/p/([^/]+)", "EUR", False, False, None, False)], build.POLICY)
+    out = build.product_records(pages, policies)
+    return out.select(F.regexp_extract("external_id", r"(\d+)$", 1).cast("long").alias("product_id"), "external_id", "price", "currency", "quantity", "unit", "available")
+
+
+@query("""SELECT p_partkey AS part, CASE WHEN p_name LIKE '% ring' THEN 'home' WHEN p_type = 'PROMO' THEN 'snacks' WHEN p_name LIKE '%widget' THEN 'pet' ELSE NULL END AS category FROM part""")
+def shelf_rules(spark, d):
+    from marketloom.functions import products as jobs
+
+    p = read(spark, d, "part")
+    rows = p.select("p_partkey", F.lit("s").alias("retailer"), F.concat_ws(" & ", F.when(F.col("p_type") == "PROMO", "Promo goods"), "p_name").alias("shelf"), F.lit(None).cast("string").alias("category"))
+    rules = spark.createDataFrame([("s", 1, "promo", "snacks"), ("s", 2, " widget$", "pet")], "retailer string, ord int, pattern string, category string")
+    shelves = rows.select("retailer", "shelf").distinct().where("shelf like '% ring'").withColumn("category", F.lit("home"))
+    return jobs.with_category(rows, rules, shelves).select(F.col("p_partkey").alias("part"), "category")
+
+
+@query("SELECT p_partkey AS part FROM part WHERE p_size % 5 IN (0, 1) AND p_size % 10 <> 1")
+def allowlisted(spark, d):
+    p = read(spark, d, "part")
+    path = lambda c: F.concat(F.lit("/"), (F.col("p_size") % 5).cast("string"), F.lit("/"), c)
+    rows = p.select("p_partkey", F.array(path(F.lit("")), path(F.concat((F.col("p_size") % 10).cast("string"), F.lit("/")))).alias("paths"))
+    return rows.where(crawl.in_allowlist(F.col("paths"), ["/0/", "/1/"], ["/1/1/"])).select(F.col("p_partkey").alias("part"))
