@@ -18,7 +18,7 @@ def product_records(extracted: DataFrame, policies: DataFrame) -> DataFrame:
     A price counts if it is above zero and the shop's prices are kept; without a price there is no currency; the size is
     read from the name. Pages without an id or a name, and pages of shops without a policy, give no record.
     """
-    known = extracted.withColumnRenamed("currency", "given").join(F.broadcast(policies), "retailer")  # a row for each shop
+    known = extracted.withColumnRenamed("currency", "given").join(policies, "retailer")
     own = F.nullif(F.expr("regexp_extract(url, id_pattern, 1)"), F.lit(""))
     price = F.when(F.col("keeps_price") & (F.col("price") > 0), F.col("price").cast("double"))
     coded = F.when(F.col("gtin_from_id"), own).otherwise(F.col("gtin"))

@@ -57,7 +57,7 @@ def by_retailer(listings: DataFrame, retailers: DataFrame) -> DataFrame:
 def by_market(listings: DataFrame, retailers: DataFrame, identifiers: DataFrame) -> DataFrame:
     """Markets that have listings: products, listings, unavailable, with_barcode."""
     barred = identifiers.select("product_id").distinct().withColumn("barred", F.lit(True))
-    sold = listings.join(F.broadcast(retailers.select("retailer", "market")), "retailer").join(barred, "product_id", "left")
+    sold = listings.join(retailers.select("retailer", "market"), "retailer").join(barred, "product_id", "left")
     per_product = sold.groupBy("market", "product_id").agg(F.count("*").alias("n"), F.count_if(~F.col("available")).alias("out"), F.bool_or("barred").alias("barred"))
     return per_product.groupBy("market").agg(F.count("*").alias("products"), F.sum("n").alias("listings"), F.sum("out").alias("unavailable"), F.count_if("barred").alias("with_barcode"))
 

@@ -2,8 +2,13 @@
 
 Identity is decided row by row: barcode, known listing, merge key, new product. A row can match what an earlier row of the
 batch made, so rows are first parted into components that cannot touch each other: rows and products linked by a barcode,
-a known listing or the name part of the merge key. Components of one row are resolved by joins; the others are replayed in
-order, each component as a group of its own. Components only part the work, they never merge products.
+a known listing or the name part of the merge key. Components only part the work, they never merge products.
+
+A row is plain if nothing but its merge key can match it: no barcode, no known or repeated listing. Single rows, and
+components of plain rows only, are resolved by joins. The others are replayed in order, each component as a group of its
+own; of plain rows with a whole key (brand and size) only the first of each key is replayed, since no later row can change
+that product's key, and the rest follow it by a join. What a replay holds is thus the rows with barcodes or known
+listings that hang together, and one row for each key.
 """
 
 from __future__ import annotations
@@ -63,7 +68,7 @@ def components(rows: DataFrame, products: DataFrame, identifiers: DataFrame, lis
     label = links.select("ordinal").distinct().withColumn("component", F.col("ordinal"))
     before = None
     while True:
-        by_key = links.join(label, "ordinal").groupBy("key").agg(F.min("component").alias("component"))
+        by_key = written(links.join(label, "ordinal").groupBy("key").agg(F.min("component").alias("component")))
         label = written(links.join(by_key, "key").groupBy("ordinal").agg(F.min("component").alias("component")))
         total = label.agg(F.sum("component")).first()[0]
         if total == before:
@@ -139,9 +144,24 @@ def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: Da
     good = ready.where("error is null")
     codes = identifiers.where("identifier_type = 'gtin'").select("identifier_value", "product_id")
     parted = good.join(components(good, products, codes, listings), "ordinal")
-    sizes = parted.groupBy("component").agg(F.count("*").alias("rows"))
+    own_id = F.concat(F.lit(f"{retailer}:"), F.col("external_id"))
+    repeats = good.groupBy("external_id").agg((F.count("*") > 1).alias("repeated"))
+    parted = parted.join(written(repeats), "external_id").join(listings.select("external_id", F.lit(True).alias("listed")), "external_id", "left")
+    parted = parted.withColumn("own_id", own_id).join(products.select(F.col("product_id").alias("own_id"), F.lit(True).alias("made")), "own_id", "left")
+    parted = written(parted.withColumn("plain", F.col("gtin").isNull() & ~F.col("repeated") & F.col("listed").isNull() & F.col("made").isNull()).drop("own_id", "repeated", "listed", "made"))
+    sizes = written(parted.groupBy("component").agg(F.count("*").alias("rows"), F.bool_and("plain").alias("all_plain")))
     parted = written(parted.join(sizes, "component"))
-    alone = parted.where("rows = 1")
+    alone = parted.where("rows = 1 and not all_plain")
+    # Plain rows: the product that has the key, or the first row of the key.
+    plain = parted.where("all_plain")
+    firsts = written(plain.groupBy("merge_key").agg(F.min("ordinal").alias("first"), F.min_by("external_id", "ordinal").alias("first_id")))
+    by_key = plain.join(firsts, "merge_key").join(products.select("merge_key", F.col("product_id").alias("old_id")), "merge_key", "left")
+    made = F.col("old_id").isNull() & (F.col("ordinal") == F.col("first"))
+    text_null = F.lit(None).cast("string")
+    keyed = by_key.select(
+        "ordinal", "external_id", F.coalesce("old_id", F.concat(F.lit(f"{retailer}:"), "first_id")).alias("product_id"), F.when(made, "new").otherwise("key").alias("how"), F.lit(False).alias("conflict"), made.alias("created"),
+        text_null.alias("add_gtin"), text_null.alias("error"), "brand", "quantity", "unit", "category", "name",
+    )
     # Fast path: nothing in the batch bears on these rows.
     joined = (
         alone.join(codes.select(F.col("identifier_value").alias("gtin"), F.col("product_id").alias("by_gtin")), "gtin", "left")
@@ -169,7 +189,12 @@ def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: Da
         F.when(done & ~F.col("conflict") & F.col("by_gtin").isNull(), F.col("gtin")).alias("add_gtin"), error.alias("error"), "brand", "quantity", "unit", "category", "name",
     )
     # Slow path: the rest, with what each component can reach, one group for each component.
-    several = parted.where("rows > 1")
+    several = parted.where("rows > 1 and not all_plain")
+    whole = F.col("plain") & (F.col("key_brand") != "") & (F.col("key_size") != "-")
+    lead = written(several.where(whole).groupBy("merge_key").agg(F.min("ordinal").alias("lead")))
+    several = written(several.join(lead, "merge_key", "left"))
+    follows = F.coalesce(whole & (F.col("ordinal") > F.col("lead")), F.lit(False))
+    followers, several = several.where(follows), several.where(~follows)
     reach = (
         several.select("component", "external_id").join(listings.select("external_id", "product_id"), "external_id").select("component", "product_id")
         .unionByName(several.select("component", F.col("gtin").alias("identifier_value")).join(codes, "identifier_value").select("component", "product_id"))
@@ -177,7 +202,7 @@ def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: Da
     by_name = products.withColumn("key_name", F.split_part("merge_key", F.lit("|"), F.lit(2)))
     names = several.select("component", "key_name").unionByName(reach.join(by_name.select("product_id", "key_name"), "product_id").select("component", "key_name")).distinct()
     reach = reach.unionByName(names.join(by_name.select("key_name", "product_id"), "key_name").select("component", "product_id")).distinct()
-    text_null, size_null = F.lit(None).cast("string"), F.lit(None).cast("decimal(18,3)")
+    size_null = F.lit(None).cast("decimal(18,3)")
     context = (
         reach.join(products, "product_id").select("component", F.lit("product").alias("kind"), "product_id", text_null.alias("value"), "brand", "quantity", F.col("quantity_unit").alias("unit"), "category", "merge_key")
         .unionByName(reach.join(codes, "product_id").select("component", F.lit("gtin").alias("kind"), "product_id", F.col("identifier_value").alias("value"), text_null.alias("brand"), size_null.alias("quantity"), text_null.alias("unit"), text_null.alias("category"), text_null.alias("merge_key")))
@@ -186,8 +211,12 @@ def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: Da
     asked = several.select("component", "ordinal", "external_id", "gtin", "brand", "quantity", "unit", "category", "merge_key", "key_brand", "key_size", F.col("name").alias("name_text"))
     context = context.withColumnRenamed("component", "of")
     slow = asked.groupBy("component").cogroup(context.groupBy("of")).applyInPandas(_replayed(retailer), _DECISION)
+    slow = written(slow)
+    led = followers.join(slow.select(F.col("ordinal").alias("lead"), F.col("product_id").alias("led_id")), "lead").select(
+        "ordinal", "external_id", F.col("led_id").alias("product_id"), F.lit("key").alias("how"), F.lit(False).alias("conflict"), F.lit(False).alias("created"), text_null.alias("add_gtin"), text_null.alias("error"), "brand", "quantity", "unit", "category", "name",
+    )
     bad = ready.where("error is not null").select("ordinal", "external_id", text_null.alias("product_id"), text_null.alias("how"), F.lit(False).alias("conflict"), F.lit(False).alias("created"), text_null.alias("add_gtin"), "error", "brand", "quantity", "unit", "category", "name")
-    return written(fast.unionByName(slow).unionByName(bad))
+    return written(fast.unionByName(keyed).unionByName(slow).unionByName(led).unionByName(bad))
 
 
 _COMPARED = ["product_id", "retailer_name", "retailer_brand", "retailer_category", "price", "currency", "available", "product_url"]

@@ -98,7 +98,7 @@ def fuzzy_matches(requests: DataFrame, products: DataFrame, least: float = FUZZY
 def shelf(pairs: DataFrame, listings: DataFrame, retailers: DataFrame) -> DataFrame:
     """(request_id, product_id) with shops, min_price, currency, available, n_shops, wanted, over the listings of enabled
     shops in the request's markets (null: all). pairs: request_id, product_id, markets, retailers."""
-    sold = listings.join(F.broadcast(retailers.where("enabled")), "retailer").select("product_id", "retailer", "market", "price", "currency", "available")
+    sold = listings.join(retailers.where("enabled"), "retailer").select("product_id", "retailer", "market", "price", "currency", "available")
     seen = pairs.join(sold, "product_id").where("markets is null or array_contains(markets, market)")
     return seen.groupBy("request_id", "product_id").agg(
         F.array_sort(F.collect_set("retailer")).alias("shops"), F.min(F.when(F.col("available"), F.col("price"))).alias("min_price"), F.min("currency").alias("currency"),
@@ -113,7 +113,7 @@ def display_names(pairs: DataFrame, products: DataFrame, listings: DataFrame, re
     of the request's markets uses: available first, then seen last. Any shop may have named it; only enabled ones speak
     for a market.
     """
-    sold = listings.join(F.broadcast(retailers), "retailer").join(products.select("product_id", "canonical_name"), "product_id")
+    sold = listings.join(retailers, "retailer").join(products.select("product_id", "canonical_name"), "product_id")
     first = F.struct((F.col("retailer_name") != F.col("canonical_name")).alias("other"), F.col("first_seen_at").isNull().alias("unseen"), "first_seen_at", "retailer", "external_id")
     named_in = sold.groupBy("product_id").agg(F.min_by("market", first).alias("named_in"))
     abroad = pairs.where("markets is not null").join(named_in, "product_id").where(~F.array_contains("markets", F.col("named_in")))
@@ -152,7 +152,7 @@ def lookup_barcodes(requests: DataFrame, products: DataFrame, identifiers: DataF
     """At most one product for each request (request_id, codes, markets): name, maker, popularity."""
     codes = requests.select("request_id", "markets", F.explode("codes").alias("identifier_value")).distinct()
     hits = codes.join(identifiers.where("identifier_type = 'gtin'").select("identifier_value", "product_id"), "identifier_value").select("request_id", "markets", "product_id").distinct()
-    sold = listings.join(F.broadcast(retailers.where("enabled")), "retailer").select("product_id", "market").distinct()
+    sold = listings.join(retailers.where("enabled"), "retailer").select("product_id", "market").distinct()
     in_market = hits.where("markets is not null").join(sold, "product_id").where("array_contains(markets, market)").select("request_id", "markets", "product_id").distinct()
     hits = hits.where("markets is null").unionByName(in_market).join(products.select("product_id", "canonical_name", "brand", "popularity"), "product_id")
     order = Window.partitionBy("request_id").orderBy(F.col("popularity").desc(), "canonical_name", "product_id")
@@ -167,7 +167,7 @@ def shops_for(requests: DataFrame, products: DataFrame, listings: DataFrame, ret
     own = products.select(F.col("name_folded").alias("folded"), "product_id")
     shown = listings.select(text.fold(F.col("retailer_name")).alias("folded"), "product_id")
     hits = asked.join(own.unionByName(shown).distinct(), "folded")
-    sold = listings.join(F.broadcast(retailers.where("enabled")), "retailer").select("product_id", "retailer", "market")
+    sold = listings.join(retailers.where("enabled"), "retailer").select("product_id", "retailer", "market")
     shops = hits.join(sold, "product_id").where("markets is null or array_contains(markets, market)").groupBy("request_id", "folded", "product_id").agg(F.array_sort(F.collect_set("retailer")).alias("shops"))
     kept = hits.join(shops, ["request_id", "folded", "product_id"], "left").where("markets is null or shops is not null").join(products.select("product_id", "canonical_name", "brand", "popularity"), "product_id")
     order = Window.partitionBy("request_id", "folded").orderBy(F.col("popularity").desc(), "canonical_name", "product_id")

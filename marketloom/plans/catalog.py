@@ -74,7 +74,7 @@ def latest(observed: DataFrame) -> DataFrame:
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     shops, goods, seen = retailers(spark, sf_dir), products(spark, sf_dir), observations(spark, sf_dir)
     named = goods.select("product_id", "canonical_name", "brand", "category")
-    listing = latest(seen).join(F.broadcast(shops.select("retailer_id", "retailer")), "retailer_id").join(named, "product_id")
+    listing = latest(seen).join(shops.select("retailer_id", "retailer"), "retailer_id").join(named, "product_id")
     own = F.when(F.col("retailer_id") % 2 == 0, F.col("canonical_name")).otherwise(F.concat_ws(" ", "canonical_name", "brand"))
     listing = listing.select(
         "product_id", "retailer", F.col("product_id").cast("string").alias("external_id"), own.alias("retailer_name"), F.col("brand").alias("retailer_brand"), F.col("category").alias("retailer_category"), "price", F.lit("EUR").alias("currency"), "available",

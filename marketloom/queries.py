@@ -296,7 +296,7 @@ def search_rungs(spark, d):
     product, listing = written(c.product), written(c.listing)
     asked = search.tokenised(_requests(spark, d))
     pairs = search.candidates(asked, product).join(asked, "request_id").join(product.select("product_id", "name_folded", "brand_folded", "search_blob"), "product_id")
-    sold = listing.join(F.broadcast(c.retailer.where("enabled")), "retailer").select("product_id").distinct()
+    sold = listing.join(c.retailer.where("enabled"), "retailer").select("product_id").distinct()
     every = lambda col: F.forall("tokens", lambda t: F.contains(col, t))
     kind = F.when(F.col("name_folded") == F.col("query"), "name_exact").when(F.startswith("name_folded", F.col("query")), "name_prefix").when(F.col("brand_folded") == F.col("query"), "brand_exact").when(every("name_folded"), "name_tokens").when(F.startswith("brand_folded", F.col("query")), "brand_prefix").otherwise("blob_tokens")
     return pairs.join(sold, "product_id", "left_semi").groupBy(kind.alias("match_type")).agg(F.count("*").alias("n"))
