@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,3 +40,17 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Sends this package to the workers, once for each application, unless they find it by path."""
+    root = str(Path(__file__).resolve().parent.parent)
+    found = os.getcwd() == root or root in os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if not found and (app := spark.sparkContext.applicationId) not in _SHIPPED:
+        target = tempfile.mkdtemp(prefix="marketloom-code-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{target}/marketloom", "zip", root, "marketloom"))
+        _SHIPPED.add(app)
+    return spark
