@@ -44,6 +44,8 @@ class Codec:
         for b, i in self.byte_id.items():
             self.text_of[i] = bytes([b])
         self.text_of[self.unknown] = " ⁇ ".encode()
+        self.length = np.array([len(t) for t in self.text_of])
+        self.place, self.texts = np.cumsum(self.length) - self.length, np.frombuffer(b"".join(self.text_of), np.uint8)
         inner = {c for i in plain if len(names[i]) > 1 for c in names[i]}
         assert not any(SPACE in names[i].lstrip(SPACE) for i in plain), "a piece reaches across words"
         for c in sorted(inner - self.symbol.keys()):  # characters that only occur within pieces
@@ -180,7 +182,9 @@ class Codec:
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
-        data = b"".join(map(self.text_of.__getitem__, ids.tolist()))
+        length = self.length[ids]
+        shift = self.place[ids] - (np.cumsum(length) - length)
+        data = self.texts[np.arange(length.sum()) + np.repeat(shift, length)].tobytes()
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
