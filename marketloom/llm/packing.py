@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, blobs, tuned
+from .common import Memo, blobs, give_back, tuned
 
 WINDOW, UNIT, DEPTH, END_ID = 2048, 64, 4, 1
 #: Tokens of a block, about.
@@ -196,5 +196,6 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     yield from flushed()
         if block:
             yield from flushed()
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)

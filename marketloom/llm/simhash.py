@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, components, local_components, tuned, written
+from .common import blobs, components, give_back, local_components, tuned, written
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Fingerprints in a range, at least (few large ranges: a fingerprint visits about 1 + b + b (b - 1) / 2 of 2 ** b ranges); ranges, at most (their top nodes go to every task: 16 bytes each); visitors in a task.
@@ -46,6 +46,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             fps = np.array([fingerprint(x) for x in blobs(batch.column("text"))], np.uint64).view(np.int64)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "fp": pa.array(fps)})
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 

@@ -20,11 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, tuned, written
+from .common import blobs, give_back, tuned, written
 
 LENGTH, GRAM, BLOCK = 400, 100, 20
 #: Bytes that are hashed at once; longer texts are cut, with LENGTH - 1 bytes of overlap.
-BUFFER = 1 << 22
+BUFFER = 1 << 20
 _POS = np.uint64(BUFFER * 2 - 1)
 _FACTOR = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,6 +120,7 @@ def _runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     base = int(ends[k]) - len(text) - s
                     rows.append((d, th, a - base, a - q, a - p, name, *_name(data[p : q + length], (a - q) << 32 | a - p)))
                 yield _batch(rows, names, types)
+        give_back()
 
     return _keyed(docs).mapInArrow(run, "d long, th long, a int, lo int, hi int, g long, u1 long, u2 long")
 

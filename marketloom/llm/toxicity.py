@@ -44,7 +44,7 @@ class _Memo(dict):
         self.place = {v: k for k, v in enumerate(voters)}
 
     def __missing__(self, word):
-        if len(self) > 400_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = got = tuple(self.place[f] for f in features_of(word) if f in self.place) if len(word) < 64 else ()
         return got
@@ -69,7 +69,11 @@ class Model:
     bias: float
 
     def scores(self, texts) -> np.ndarray:
-        memo, out = _MEMOS.setdefault(tuple(self.voters), _Memo(self.voters)), np.empty(len(texts))
+        key, out = tuple(self.voters), np.empty(len(texts))
+        if key not in _MEMOS:  # a worker outlives its model: it keeps the last one's words only
+            _MEMOS.clear()
+            _MEMOS[key] = _Memo(self.voters)
+        memo = _MEMOS[key]
         for i, text in enumerate(texts):
             x, n = _counts(text or "", memo, len(self.voters))
             out[i] = _rows(x[None], np.array([n]))[0] @ self.weights + self.bias if x.any() else self.bias
@@ -97,7 +101,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[
         on = (post @ votes + 0.5) / (post.sum() + 1)
         off = ((1 - post) @ votes + 0.5) / ((1 - post).sum() + 1)
         if k == 3:  # once the rates are sensible
-            left = votes - np.outer(post, on) - np.outer(1 - post, off)
+            left = votes - np.outer(post, on).astype(votes.dtype) - np.outer(1 - post, off).astype(votes.dtype)
             sd = np.sqrt((left**2).mean(axis=0)) + 1e-9
             share = 1 / np.maximum(1, (np.abs(left.T @ left) / len(votes) / np.outer(sd, sd) > 0.4).sum(axis=1))
         lean = votes @ (share * np.log(on / off)) + (1 - votes) @ (share * np.log((1 - on) / (1 - off)))
@@ -112,8 +116,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, l2: float = 0.2) -> tuple[np.ndarray
     x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w, ridge = np.zeros(x1.shape[1]), np.append(np.full(x.shape[1], l2), 1e-3)
     for _ in range(15):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        step = np.linalg.solve((x1 * (p * (1 - p)).astype(np.float32)[:, None]).T @ x1 + np.diag(ridge), x1.T @ (y - p) - ridge * w)
+        p = 1 / (1 + np.exp(-np.clip(x1 @ w.astype(np.float32), -30, 30)))
+        curve, weight = np.diag(ridge), (p * (1 - p)).astype(np.float32)
+        for i in range(0, len(x1), 2000):  # in parts: the weighted rows are never all there at once
+            part = x1[i : i + 2000]
+            curve += (part * weight[i : i + 2000, None]).T @ part
+        step = np.linalg.solve(curve, x1.T @ (y - p).astype(np.float32) - ridge * w)
         w += step
         if np.abs(step).max() < 1e-5:
             break
@@ -166,8 +174,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             yield pa.record_batch({"x": pa.array([x.tolist() for x, _ in got], pa.list_(pa.float32())), "n": pa.array([n for _, n in got], pa.int64()), "y": b.column("toxic")})
 
     rows = sample.mapInArrow(counted, "x array<float>, n long, y int").toPandas()
-    x, n, gold = np.stack(rows["x"]).astype(float), rows["n"].to_numpy(), rows["y"].to_numpy()
-    post, _, _ = label_model((x > 0).astype(float), gold)
+    x, n, gold = np.stack(rows["x"]), rows["n"].to_numpy(), rows["y"].to_numpy()
+    del rows
+    post, _, _ = label_model((x > 0).astype(np.float32), gold)
     weights, bias = _logistic(_rows(x, n), post)
     return Model(voters, weights, bias)
 
