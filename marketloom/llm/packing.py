@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, blobs, give_back, tuned
+from .common import MEMO_WORDS, Memo, blobs, give_back, tuned
 
 WINDOW, UNIT, DEPTH, END_ID = 2048, 64, 4, 1
 #: Tokens of a block, about.
@@ -52,7 +52,7 @@ class WordEncoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
-        self.words, self.parts = Memo(self._word), Memo(self._part)
+        self.words, self.parts = Memo(self._word, 2 * MEMO_WORDS), Memo(self._part)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -196,6 +196,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                     yield from flushed()
         if block:
             yield from flushed()
+        encoder.words.older, encoder.parts.older = {}, {}  # a worker waits for its next task with the younger words only
         give_back()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
