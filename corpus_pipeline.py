@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import packing, pii, simhash, suffix, toxicity
+from marketloom.llm import nearcopies, packing, pii, suffix, toxicity
 from marketloom.llm.common import shared_folder, table, written
 
 
@@ -28,12 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each near-duplicate group; of equal ids the first text."""
-    names = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(names, "doc_id", "left_semi").select(docs.columns)
-    twice = written(kept.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    once = kept.join(twice, "doc_id", "left_anti").select(docs.columns)
-    return once.unionByName(kept.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+    """One row of each group of near copies: five-word shingles, Jaccard similarity of 0.8 or more."""
+    return nearcopies.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

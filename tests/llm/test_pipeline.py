@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketloom.llm import common, queries
+from marketloom.llm import common, nearcopies, queries
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -68,3 +68,39 @@ def test_run_is_the_stages(spark, corpus):
 
 def test_queries_are_named_by_operator():
     assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+
+
+def near_stage(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], COLUMNS).repartition(3)
+    return sorted(((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()), key=str)
+
+
+def edited(words, rng, share):
+    """words with runs of five or fewer replaced, until the similarity to words is below share."""
+    out = list(words)
+    while True:
+        at = rng.randrange(len(out) - 5)
+        new = [*out[:at], f"edit{rng.randrange(10**9)}", *out[at + 1 :]]
+        if nearcopies.similarity(*(nearcopies.shingles(" ".join(x).encode()) for x in (words, new))) < share:
+            return " ".join(out)
+        out = new
+
+
+def test_edited_copies_go(spark):
+    rng = random.Random(5)
+    text = lambda n=300: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    bases = [text() for _ in range(30)]
+    rows = [(k, " ".join(b)) for k, b in enumerate(bases)]
+    rows += [(100 + k, edited(b, rng, 0.82)) for k, b in enumerate(bases)]
+    rows += [(200 + k, " ".join([*b[:150], *text(150)])) for k, b in enumerate(bases)]  # similarity of a third: stays
+    assert near_stage(spark, rows) == sorted([r for r in rows if not 100 <= r[0] < 200], key=str)
+
+
+def test_a_group_is_joined_through_its_links(spark):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(400)]
+    chain = [words]
+    for _ in range(8):  # each is near the one before, the last is far from the first
+        chain.append(edited(chain[-1], rng, 0.85).split())
+    rows = [(k, " ".join(c)) for k, c in enumerate(chain)]
+    assert near_stage(spark, rows) == [rows[0]]
