@@ -104,3 +104,10 @@ def test_a_group_is_joined_through_its_links(spark):
         chain.append(edited(chain[-1], rng, 0.85).split())
     rows = [(k, " ".join(c)) for k, c in enumerate(chain)]
     assert near_stage(spark, rows) == [rows[0]]
+
+
+def test_rows_are_chosen_and_not_ids(spark):
+    text = lambda k: " ".join(f"t{k}w{i}" for i in range(60))
+    rows = [(None, text(1)), (None, text(2)), (None, text(3)), (9, text(3)), (5, text(4)), (5, text(5)), (5, text(6)), (4, text(6)), (7, text(7)), (7, text(7))]
+    gone = [(None, text(3)), (5, text(6))]
+    assert near_stage(spark, rows) == sorted({r for r in rows if r not in gone}, key=str)
