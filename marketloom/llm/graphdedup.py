@@ -5,7 +5,8 @@ shards overlap. Each shard builds a graph: a node's candidates, near and random,
 out if a chosen neighbour is much nearer to it than the node is). A node's adjacency lists from all its shards are united.
 Then each shard is searched from its medoid: greedily to a query's surroundings, and on from there through everything
 that is nearly in range. A link counts in the home shard of its target, so that each is counted once; every link is
-verified in double precision, and recall is audited against brute force over a sample, with a wider search if it is low.
+verified in double precision, and a sample's links are audited against brute force, with a wider search if too many of
+its vectors lack some. The last search is brute force itself.
 """
 
 from __future__ import annotations
@@ -26,8 +27,11 @@ SHARD, GRAPH, ASKED, FITTED, MEDOIDS, AUDITED, RECALL = 2048, 12_288, 24_576, 20
 #: Neighbours of a node; near and random candidates; how much nearer the chosen neighbour has to be.
 DEGREE, NEAR, FAR, ALPHA = 24, 40, 16, 1.2
 #: Similarity below that of the nearest medoid to which a class joins further shards; beam width; similarity below the
-#: threshold through which a search still goes on. The second and third are for an audit that falls short.
-EFFORTS = ((0.12, 12, 0.05), (0.3, 32, 0.15), (2.1, 64, 0.4))
+#: threshold through which a search still goes on. All but the first are for an audit that falls short; a beam of 0 stands
+#: for the exact search, every class in every shard.
+EFFORTS = ((0.12, 12, 0.05), (0.3, 32, 0.15), (2.1, 64, 0.4), (2.1, 0, 0.0))
+#: Links from which a class of the audit belongs to a large group; those and the others have to reach RECALL each.
+LARGE = 100
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -148,6 +152,13 @@ def range_search(x: np.ndarray, graph: Graph, start: int, queries: np.ndarray, b
             a, b = (np.concatenate(z) for z in zip(*found))
 
 
+def block_search(x: np.ndarray, queries: np.ndarray, low: float):
+    """All (places of queries, places of rows) with a similarity of low or more."""
+    for i in range(0, len(queries), 256):
+        a, b = np.nonzero(queries[i : i + 256] @ x.T >= low)
+        yield a + i, b
+
+
 def _vectors(column) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return unit(flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1))
@@ -213,7 +224,8 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
             pairs = np.stack([of[there], to[there]], axis=1)
             links = np.zeros(len(ids))
             forest = (np.empty(0, np.int64), np.empty(0, np.int64))
-            for a, b in range_search(y, Graph(pairs, len(y)), start, x[asked], beam, threshold - slack):
+            reached = range_search(y, Graph(pairs, len(y)), start, x[asked], beam, threshold - slack) if beam else block_search(y, x[asked], threshold - 1e-9)
+            for a, b in reached:
                 for t in range(0, len(a), 200_000):
                     p, q = asked[a[t : t + 200_000]], inside[b[t : t + 200_000]]
                     ok = (ids[p] != ids[q]) & home[q]
@@ -232,7 +244,10 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
 
 
 def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
-    """Share of the true links of a sample of AUDITED classes, found by brute force over all classes, that links holds."""
+    """Share of the classes of a sample of AUDITED, of those with a link, of which links holds all that brute force finds.
+
+    Classes of large groups and of small ones are counted apart, and the lesser share is the result.
+    """
     n = classes.count()
     picked = classes.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30)) < int(min(1.0, AUDITED / max(1, n)) * (1 << 30))).select("id", "x").limit(2 * AUDITED).toPandas()
     if not len(picked):
@@ -251,8 +266,8 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
             yield pa.record_batch({"id": pa.array(ids), "links": pa.array(total)})
 
     true = classes.mapInArrow(run, "id long, links long").groupBy("id").agg(F.sum("links").alias("all"))
-    row = true.join(links.select(F.col("a").alias("id"), "links"), "id", "left").agg(F.sum("all"), F.sum(F.least(F.col("all"), F.coalesce("links", F.lit(0))))).first()
-    return 1.0 if not row[0] else row[1] / row[0]
+    shares = true.join(links.select(F.col("a").alias("id"), "links"), "id", "left").where(F.col("all") > 0).groupBy(F.col("all") >= LARGE).agg(F.avg((F.coalesce("links", F.lit(0)) >= F.col("all")).cast("double"))).collect()
+    return min((r[1] for r in shares), default=1.0)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

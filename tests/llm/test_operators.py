@@ -408,6 +408,25 @@ def test_embedding_dedup(spark, monkeypatch, split):
     assert rows_of(graphdedup.near_duplicates(empty_like(df))) == []
 
 
+def test_audit_counts_classes_apart_from_a_large_group(spark):
+    rng = np.random.default_rng(3)
+    hot = np.eye(16)[0] + rng.normal(size=(150, 16)) / 100
+    small = np.repeat(np.eye(16)[1:11], 2, axis=0) + rng.normal(size=(20, 16)) / 100
+    classes = spark.createDataFrame([(k, 1, v.tolist()) for k, v in enumerate(np.concatenate([hot, small]))], "id long, n long, x array<double>")
+    links = lambda few: spark.createDataFrame([(k, 149) for k in range(150)] + [(k, few) for k in range(150, 170)], "a long, links long")
+    assert graphdedup.audit(classes, links(1), 0.9) == 1.0
+    assert graphdedup.audit(classes, links(0), 0.9) == 0.0  # 20 of 22,370 links
+
+
+def test_embedding_dedup_ends_with_the_exact_search(spark, monkeypatch):
+    monkeypatch.setattr(graphdedup, "audit", lambda *_: 0.0)
+    monkeypatch.setattr(graphdedup, "range_search", lambda *_: iter(()))
+    monkeypatch.setattr(graphdedup, "SHARD", 20)
+    x = np.repeat(np.random.default_rng(4).normal(size=(30, 16)), 2, axis=0) + np.random.default_rng(5).normal(size=(60, 16)) / 50
+    got = rows_of(graphdedup.near_duplicates(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")))
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(k, 1, k // 2 * 2) for k in range(60)]
+
+
 # --- packing -------------------------------------------------------------------------------------------------------------
 
 
