@@ -59,7 +59,7 @@ def threshold_search(ids: np.ndarray, c: np.ndarray, query_ids: np.ndarray, q: n
         kth = np.partition(scores, len(read) - k, axis=1)[:, len(read) - k]
         below = bounds[part] < kth[:, None]  # a row that ties with the kth score counts, and so the bound must be below it
         need[part] = np.where(below.any(axis=1), depths[below.argmax(axis=1)] + 1, m)
-    whole = need * used >= m
+    whole = (need >= m) | (need * used >= m)  # a query of zeros has no list, and no depth is enough
     for i in np.flatnonzero(~whole).tolist():
         t, pos, neg = int(need[i]), np.flatnonzero(q[i] > 0), np.flatnonzero(q[i] < 0)
         rows = np.unique(np.concatenate([order[m - t :, pos].ravel(), order[:t, neg].ravel(), read]))

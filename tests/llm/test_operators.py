@@ -258,6 +258,16 @@ def test_top_k(spark, monkeypatch, shape):
     assert rows_of(topk.top_k(empty_like(df), empty_like(df))) == []
 
 
+def test_top_k_of_a_zero_query():
+    c = np.random.default_rng(2).integers(-9, 10, (300, 3)).astype(float)
+    ids = np.arange(300)[::-1].copy()
+    c[:5] = -20
+    c[5:10] = 20
+    found = {i: (v.tolist(), s.tolist()) for i, v, s in topk.threshold_search(ids, c, np.array([0, 7000]), np.zeros((2, 3)), 5)}
+    assert found == {0: ([1, 2, 3, 4, 5], [0] * 5), 1: ([0, 1, 2, 3, 4], [0] * 5)}
+
+
+
 # --- language models -----------------------------------------------------------------------------------------------------
 
 
