@@ -31,9 +31,10 @@ def with_clean_fields(products: DataFrame, id_pattern: str | None = None, weighe
 
     weighed_prefix: codes that begin with it are a counter's own and are no gtin; others in the URL are.
     """
+    given = F.col("price") if dict(products.dtypes)["price"] != "string" else text.parse_price(F.col("price"))  # numbers are no texts
     new = {
         "gtin": text.valid_gtin(F.col("gtin")), "brand": text.unshout_brand(text.usable_brand(F.col("brand"))), "name": text.unshout(text.squeeze(F.col("name"))),
-        "product_url": text.https_url(F.col("product_url")), "price": text.parse_price(F.col("price")),
+        "product_url": text.https_url(F.col("product_url")), "price": given.cast("double"),
     }
     if id_pattern:
         own = F.nullif(F.regexp_extract("product_url", id_pattern, 1), F.lit(""))
@@ -43,12 +44,16 @@ def with_clean_fields(products: DataFrame, id_pattern: str | None = None, weighe
     return products.withColumns(new)
 
 
-def with_category(products: DataFrame, rules: DataFrame, shelves: DataFrame | None = None) -> DataFrame:
+def with_category(products: DataFrame, rules: DataFrame, shelves: DataFrame | None = None, label: str = "shelf") -> DataFrame:
     """category by dictionary (retailer, shelf, category) or else by the first rule (retailer, ord, pattern, category).
+    label: the column that says where a product stands, a shelf's name or an address.
 
     A label's leading shelf (up to a separator) is tried against the rules before the whole label. Rules are a shop's
     few dozen patterns; they join on retailer and label, so that each distinct label is matched once.
     """
+    if label != "shelf":
+        named = with_category(products.withColumnRenamed("shelf", "__shelf").withColumn("shelf", F.col(label)) if "shelf" in products.columns else products.withColumn("shelf", F.col(label)), rules, shelves)
+        return named.drop("shelf").withColumnRenamed("__shelf", "shelf")
     labels = products.select("retailer", "shelf").where("shelf is not null").distinct()
     leading = F.trim(F.element_at(F.split(text.fold(F.col("shelf")), r"[&,/|]"), 1))
     tried = labels.join(rules, "retailer").select("retailer", "shelf", "ord", "category", F.regexp_like(leading, F.col("pattern")).alias("lead"), F.regexp_like(text.fold(F.col("shelf")), F.col("pattern")).alias("whole"))
@@ -68,7 +73,7 @@ def with_flags(products: DataFrame) -> DataFrame:
 
 
 def _lines(column: str) -> F.Column:
-    return F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(column, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def leaflet_names(offers: DataFrame) -> DataFrame:

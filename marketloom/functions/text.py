@@ -13,12 +13,14 @@ from marketloom.schema import SIZE
 # Letters and signs that stand for several, and letters that don't decompose.
 EXPANSIONS = {"ß": "ss", "ẞ": "SS", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "½": "1/2", "¼": "1/4", "¾": "3/4", "®": "(r)", "©": "(c)", "™": "(tm)", "×": "*", "÷": "/", "…": "...", "№": "No"}
 SINGLES = {"đ": "d", "Đ": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ı": "i", "ð": "d", "Ð": "D", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-"}
+# Words for units, and what makes a key.
 UNIT_WORDS = {
     "kg": ("kg", 1), "kilograme": ("kg", 1), "kilogram": ("kg", 1), "g": ("g", 1), "gr": ("g", 1), "grame": ("g", 1), "mg": ("g", 0.001),
     "l": ("l", 1), "litri": ("l", 1), "litru": ("l", 1), "ml": ("ml", 1), "mililitri": ("ml", 1), "cl": ("ml", 10),
     "buc": ("buc", 1), "bucati": ("buc", 1), "bucata": ("buc", 1), "set": ("buc", 1),
 }
 KEY_UNITS = ["kg", "kilograme", "g", "grame", "gr", "ml", "mililitri", "cl", "l", "litri", "litru", "buc", "bucati", "bucăți"]
+# Brands that are none, words for being in stock, words of gift sets.
 PLACEHOLDER_BRANDS = ["non-brand", "nonbrand", "non brand", "no brand", "nobrand", "dummymarke", "dummy", "dummy brand", "marke", "generic", "generico", "fara marca", "n/a", "na", "none", "null", "-", "--"]
 AVAILABLE = ["instock", "instoreonly", "limitedavailability", "onlineonly", "presale"]
 BUNDLE_OBJECTS = "pahar|pahare|halba|halbe|geanta|tricou|sosete|carte|colorat|ceasca|cesti|farfuri|cana|cani|jucari|breloc|umbrel|prosop|minge|sapca|figurin|magnet|termos|boxa|casti|stickere|suport|tava|caciul|fular"
@@ -44,8 +46,16 @@ def _letters() -> tuple[str, str]:
     return "".join(pairs), "".join(pairs.values())
 
 
-def _base_letters(text: Column) -> Column:
-    return F.regexp_replace(F.translate(text, *_letters()), r"\p{M}+", "")
+@lru_cache
+def _decomposed() -> tuple[str, str]:
+    """The letters that decompose into a base and marks, and each one's base."""
+    whole, bases = _letters()
+    pairs = [(a, b) for a, b in zip(whole, bases) if a not in SINGLES]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def _base_letters(text: Column, letters: tuple[str, str]) -> Column:
+    return F.regexp_replace(F.translate(text, *letters), r"\p{M}+", "")
 
 
 def squeeze(text: Column) -> Column:
@@ -57,7 +67,7 @@ def fold(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
     for sign, spelled in EXPANSIONS.items():
         text = F.replace(text, F.lit(sign), F.lit(spelled))
-    return squeeze(F.lower(_base_letters(text)))
+    return squeeze(F.lower(_base_letters(text, _letters())))
 
 
 def key_fold(text: Column) -> Column:
@@ -134,8 +144,8 @@ def https_url(url: Column, longest: int = 1000) -> Column:
 
 
 def parse_price(text: Column) -> Column:
-    """Digits with a decimal point or comma, thousands marks dropped; null if no number is left."""
-    value = F.regexp_replace(F.regexp_replace(text.cast("string"), r"[^\d.,-]", ""), r"\.(?=\d{3}(?!\d))", "")
+    """The number in a text: digits with a decimal point or comma, thousands marks dropped; null if no number is left."""
+    value = F.regexp_replace(F.regexp_replace(text, r"[^\d.,-]", ""), r"\.(?=\d{3}(?!\d))", "")
     comma = value.contains(",") & ~value.contains(".")
     plain = F.when(comma, F.regexp_replace(value, "^([^,]*),", "$1.")).otherwise(F.replace(value, F.lit(","), F.lit("")))
     return plain.try_cast("double")
@@ -147,8 +157,8 @@ def is_available(availability: Column) -> Column:
 
 
 def is_bundle(name: Column) -> Column:
-    """Gift sets, and groceries sold with an object. Its own fold: accents only, spaces stay."""
-    n = F.lower(_base_letters(F.coalesce(name, F.lit(""))))
+    """Gift sets, and groceries sold with an object. Its own fold: marks that decompose go, other letters and spaces stay."""
+    n = F.lower(_base_letters(F.coalesce(name, F.lit("")), _decomposed()))
     gift = n.rlike(r"\b(set|pachet|cutie|caseta)\s+(de\s+|pentru\s+)?cadou\b|\bgift\s*(set|box)\b")
     kitchen = n.rlike(r"^(set\s+\d+\s+boluri|set\s+carafa|carafa)\b")
     with_object = n.rlike(rf"\d+([.,]\d+)?\s?(l|ml|g|kg|cl)\b[^+]*\+[^+]*({BUNDLE_OBJECTS})")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import text
 from marketloom.schema import CATEGORIES
+from marketloom.session import written
 
 
 def browse(products: DataFrame, identifiers: DataFrame, listings: DataFrame, *, query=None, category=None, has_brand=None, has_quantity=None, has_listing=None, earned=None, added_since=None, retailer=None, has_barcode=None, available=None, limit: int = 25, offset: int = 0) -> DataFrame:
@@ -71,40 +72,67 @@ def retailer_health(listings: DataFrame, retailers: DataFrame, runs: DataFrame)
 
 
 def _checked(edits: DataFrame, products: DataFrame, identifiers: DataFrame) -> DataFrame:
-    """edits (edit_id, product_id or null, name, brand, quantity, unit, barcode: as they would be) with error."""
+    """edits (edit_id, product_id or null, name, brand, quantity, unit, barcode: as they would be) with error.
+
+    Two edits of a batch that want one merge key, or one barcode for different products, are both refused.
+    """
     key = text.merge_key(F.col("brand"), F.col("name"), F.col("quantity"), F.col("unit"))
     out = edits.withColumn("merge_key", key)
     same = products.select("merge_key", F.col("product_id").alias("same_key"))
     code = identifiers.where("identifier_type = 'gtin'").select(F.col("identifier_value").alias("barcode"), F.col("product_id").alias("same_code"))
     out = out.join(same, "merge_key", "left").join(code, "barcode", "left")
-    twice = F.count("*").over(Window.partitionBy("merge_key")) > 1
+    twice = lambda c: F.col(c).isNotNull() & (F.count("*").over(Window.partitionBy(c)) > 1)
     other = lambda c: F.col(c).isNotNull() & ~F.col(c).eqNullSafe(F.col("product_id"))
     error = (
         F.when(~F.coalesce(F.length(F.trim("name")).between(1, 200), F.lit(False)), "bad_name").when(F.col("barcode").isNotNull() & ~F.col("barcode").rlike("^[0-9]{8,14}$"), "bad_barcode")
-        .when(other("same_key") | twice, "duplicate_product").when(other("same_code"), "duplicate_barcode")
+        .when(other("same_key") | twice("merge_key"), "duplicate_product").when(other("same_code") | twice("barcode"), "duplicate_barcode")
     )
     return out.withColumn("error", error).drop("same_key", "same_code")
 
 
-def create(edits: DataFrame, products: DataFrame, identifiers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) of new products (edit_id, name, brand, quantity, unit, category, barcode)."""
-    checked = _checked(edits.withColumn("product_id", F.lit(None).cast("string")), products, identifiers)
+def create(edits: DataFrame, products: DataFrame, identifiers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(accepted, identifiers after, rejected) of new products (edit_id, name, brand, quantity, unit, category, barcode)."""
+    checked = written(_checked(edits.withColumn("product_id", F.lit(None).cast("string")), products, identifiers))
     accepted = checked.where("error is null").withColumn("product_id", F.concat(F.lit("admin:"), F.sha2("merge_key", 256)))
-    return accepted.drop("error"), checked.where("error is not null")
+    return accepted.drop("error"), identifiers.unionByName(_codes(accepted)), checked.where("error is not null")
+
+
+def _codes(edits: DataFrame) -> DataFrame:
+    return edits.where("barcode is not null").select(F.col("product_id").cast("string").alias("product_id"), F.lit("gtin").alias("identifier_type"), F.col("barcode").alias("identifier_value"), F.lit("admin").alias("source"))
 
 
-def update(edits: DataFrame, products: DataFrame, identifiers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(products after, rejected). In edits (edit_id, product_id, name, brand, category, barcode) null leaves a field,
-    an empty text clears it, anything else sets it. A barcode replaces the one an editor gave before."""
+def update(edits: DataFrame, products: DataFrame, identifiers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(products after, identifiers after, rejected). In edits (edit_id, product_id, name, brand, category, barcode) null
+    leaves a field, an empty text clears it, anything else sets it. A barcode replaces the one an editor gave before, and
+    an empty one takes it away; codes from shops stay. Of several edits of a product the last by edit_id counts."""
+    order = Window.partitionBy("product_id").orderBy(F.col("edit_id").desc())
+    edits = edits.withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n")
     now = products.select("product_id", "canonical_name", F.col("brand").alias("old_brand"), "quantity", F.col("quantity_unit").alias("unit"), F.col("category").alias("old_category"))
     three = lambda new, old: F.when(F.col(new).isNull(), F.col(old)).when(F.trim(new) == "", None).otherwise(F.trim(new))
-    wanted = edits.join(now, "product_id", "left").withColumns({"name": F.when(F.col("name").isNull(), F.col("canonical_name")).otherwise(F.trim("name")), "brand": three("brand", "old_brand"), "category": three("category", "old_category"), "barcode": F.nullif(F.trim("barcode"), F.lit(""))})
-    checked = _checked(wanted, products, identifiers).withColumn("error", F.when(F.col("canonical_name").isNull(), "unknown_product").otherwise(F.col("error")))
-    good = checked.where("error is null").select("product_id", F.col("name").alias("n"), F.col("brand").alias("b"), F.col("category").alias("c"), F.col("merge_key").alias("k"), F.lit(True).alias("edited"))
+    wanted = edits.join(now, "product_id", "left").withColumns({
+        "name": F.when(F.col("name").isNull(), F.col("canonical_name")).otherwise(F.trim("name")), "brand": three("brand", "old_brand"), "category": three("category", "old_category"),
+        "recoded": F.col("barcode").isNotNull(), "barcode": F.nullif(F.trim("barcode"), F.lit("")),
+    })
+    checked = written(_checked(wanted, products, identifiers).withColumn("error", F.when(F.col("canonical_name").isNull(), "unknown_product").otherwise(F.col("error"))))
+    accepted = checked.where("error is null")
+    good = accepted.select("product_id", F.col("name").alias("n"), F.col("brand").alias("b"), F.col("category").alias("c"), F.col("merge_key").alias("k"), F.lit(True).alias("edited"))
     both = products.join(good, "product_id", "left")
     pick = lambda new, old: F.when(F.col("edited"), F.col(new)).otherwise(F.col(old))
     after = both.withColumns({"canonical_name": pick("n", "canonical_name"), "brand": pick("b", "brand"), "category": pick("c", "category"), "merge_key": pick("k", "merge_key")}).select(products.columns)
-    return after, checked.where("error is not null").select("edit_id", "product_id", "error")
+    replaced = accepted.where("recoded").select("product_id", F.lit("gtin").alias("identifier_type"), F.lit("admin").alias("source"))
+    left = identifiers.join(replaced, ["product_id", "identifier_type", "source"], "left_anti").select(identifiers.columns)
+    added = _codes(accepted).join(left.select("identifier_type", "identifier_value"), ["identifier_type", "identifier_value"], "left_anti")
+    return after, left.unionByName(added.select(identifiers.columns)), checked.where("error is not null").select("edit_id", "product_id", "error")
+
+
+def snapshot(products: DataFrame, identifiers: DataFrame, listings: DataFrame, retailers: DataFrame, now) -> DataFrame:
+    """One row: counted_at, totals, and the counts by retailer and by market as maps. The maps have an entry for each of
+    the retailers and markets, which are few."""
+    one = lambda df, key, name: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(key, F.struct(*[c for c in df.columns if c != key]))))).alias(name))
+    total = totals(products, identifiers, listings)
+    total = total.select(F.lit(now).cast("timestamp").alias("counted_at"), F.struct(*total.columns).alias("totals"))
+    shops = one(by_retailer(listings, retailers).select("retailer", "listings", "available"), "retailer", "retailers")
+    return total.crossJoin(F.broadcast(shops)).crossJoin(F.broadcast(one(by_market(listings, retailers, identifiers), "market", "markets")))
 
 
 def delete(keys: DataFrame, *tables: DataFrame) -> tuple[DataFrame, ...]:

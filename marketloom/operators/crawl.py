@@ -26,6 +26,29 @@ def category_paths(products: DataFrame, pattern: str = r"^/(\d+/)+$") -> DataFra
     return products.select(F.explode("category_ids").alias("path")).where(F.regexp_like("path", F.lit(pattern))).distinct()
 
 
+def tree_paths(files: DataFrame, body: str = "body") -> DataFrame:
+    """The id paths (/1/12/) of category trees (arrays of nodes with id and children) at any depth, each once. A node
+    without a number for an id goes, and with it all that stands below it."""
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    none = F.array().cast("array<variant>")
+    placed = lambda head, nodes: F.transform(F.coalesce(nodes, none), lambda n: F.struct(head.alias("head"), n.alias("node")))
+    tree = files.select(F.try_parse_json(body).alias("tree"), F.regexp_count(body, F.lit(r"\[")).alias("deepest")).where("tree is not null")
+    numbered = lambda level: F.filter(level, lambda x: F.schema_of_variant(get(x["node"], "$.id", "variant")).isin("BIGINT", "DOUBLE") | F.startswith(F.schema_of_variant(get(x["node"], "$.id", "variant")), F.lit("DECIMAL")))
+    path = lambda x: F.concat(x["head"], get(x["node"], "$.id", "string"), F.lit("/"))
+    start = F.struct(F.array().cast("array<string>").alias("found"), numbered(placed(F.lit("/"), get(F.col("tree"), "$", "array<variant>"))).alias("level"))
+    step = lambda acc, _: F.struct(F.concat(acc["found"], F.transform(acc["level"], path)).alias("found"), numbered(F.flatten(F.transform(acc["level"], lambda x: placed(path(x), get(x["node"], "$.children", "array<variant>"))))).alias("level"))
+    return tree.select(F.explode(F.aggregate(F.sequence(F.lit(0), "deepest"), start, step, lambda acc: acc["found"])).alias("path")).distinct()
+
+
+def on_numbered_shelf(path: Column, primary: Column, sections: list[str], carved_out: list[str], labels: list[str], refused: list[str]) -> Column:
+    """Whether a page's shelf (path of ids, primary label; see captures.page_shelf) is wanted: by the section's number
+    (second of the path) without the aisles carved out (third), by the label where there is no section. Refused labels
+    and pages without a shelf are not."""
+    section, aisle = F.try_element_at(path, F.lit(2)), F.try_element_at(path, F.lit(3))
+    by_number = section.isin(sections) & ~F.coalesce(aisle.isin(carved_out), F.lit(False))
+    return F.when(F.coalesce(primary.isin(refused), F.lit(False)), False).when(section.isNotNull(), by_number).otherwise(F.coalesce(primary.isin(labels), F.lit(False)))
+
+
 def deepest(paths: Column) -> Column:
     """Paths of which none of the others is a continuation."""
     return F.filter(paths, lambda p: ~F.exists(paths, lambda q: (q != p) & F.startswith(q, p)))

@@ -272,6 +272,27 @@ def products_after(products: DataFrame, decisions: DataFrame, started_at) -> Dat
     return out.withColumn("merge_key", text.merge_key(F.col("brand"), F.col("canonical_name"), F.col("quantity"), F.col("quantity_unit")))
 
 
+def derived(products: DataFrame, listings: DataFrame) -> DataFrame:
+    """products with what follows from them and their listings: merge_key, listing_count, popularity, search_blob and the
+    folded names. A product is seen first when its first listing was, unless it says so itself."""
+    names = listings.groupBy("product_id").agg(F.count("*").alias("listing_count"), F.array_join(F.array_sort(F.collect_set(text.fold(F.col("retailer_name")))), " ").alias("names"), F.min("first_seen_at").alias("first_listed_at"))
+    ours = ["listing_count", "popularity", "first_seen_at", "merge_key", "search_blob", "name_folded", "brand_folded"]
+    plain = [c for c in products.columns if c not in ours]
+    first = F.coalesce("first_seen_at", "first_listed_at") if "first_seen_at" in products.columns else F.col("first_listed_at")
+    out = products.select(*plain, *[c for c in ("first_seen_at",) if c in products.columns]).join(names, "product_id", "left").withColumn("listing_count", F.coalesce("listing_count", F.lit(0)))
+    blob = F.left(text.squeeze(F.concat_ws(" ", text.fold(F.col("canonical_name")), text.fold(F.col("brand")), F.coalesce("names", F.lit("")))), F.lit(1000))
+    return out.select(
+        *plain, "listing_count", (F.col("add_count") + 5 * F.col("listing_count")).alias("popularity"), first.alias("first_seen_at"),
+        text.merge_key(F.col("brand"), F.col("canonical_name"), F.col("quantity"), F.col("quantity_unit")).alias("merge_key"), blob.alias("search_blob"),
+        text.fold(F.col("canonical_name")).alias("name_folded"), text.fold(F.col("brand")).alias("brand_folded"),
+    )
+
+
+def searchable(imported: Imported) -> DataFrame:
+    """The products of an import as search, lookups and reports take them."""
+    return derived(imported.product, imported.listing)
+
+
 def import_rows(rows: DataFrame, retailer: str, started_at, products: DataFrame, identifiers: DataFrame, listings: DataFrame) -> Imported:
     """One batch of one retailer. products: with merge_key; listings: all retailers'. Given tables are not changed."""
     own = listings.where(F.col("retailer") == retailer)

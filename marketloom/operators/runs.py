@@ -41,7 +41,8 @@ def _judged(runs: DataFrame) -> DataFrame:
 def replay_verdicts(runs: DataFrame) -> DataFrame:
     """Verdicts of each retailer's runs in the order they started, as if each closed before the next one.
 
-    Only a completed run is held against the next: a fold over the retailer's runs, in an array of its own.
+    Only a completed run is held against the next: a fold over the retailer's runs, in an array of its own, which is
+    meant for hundreds or thousands of runs of a retailer.
     """
     one = F.struct("started_at", "run_id", F.col("products_valid").cast("long").alias("n"), F.coalesce("covered", F.lit(False)).alias("covered"))
     folded = runs.groupBy("retailer").agg(F.array_sort(F.collect_list(one)).alias("r"))
@@ -84,18 +85,26 @@ def stop(runs: DataFrame, stopped: DataFrame, now) -> DataFrame:
 
 
 def run_listings(runs: DataFrame, listings: DataFrame, kind: str) -> DataFrame:
-    """Listings that each run (run_id, retailer, started_at, status) made new, repriced or left behind (gone)."""
+    """Listings that each run (run_id, retailer, started_at, status) made new, repriced or left behind (gone).
+
+    A listing is new to the runs that started when it was first seen, repriced by those that started at its last price,
+    and gone by the first completed runs after it was last seen: each kind is an equal-join on retailer and time.
+    """
     if kind not in ("new", "repriced", "gone"):
         raise ValueError(f"unknown kind: {kind}")
-    order = Window.partitionBy("retailer").orderBy("started_at").rowsBetween(Window.unboundedPreceding, -1)
-    last = F.max(F.when(F.col("status") == "completed", F.col("started_at"))).over(order)
-    both = runs.withColumn("before", last).join(listings, "retailer")
-    keep = {
-        "new": F.col("first_seen_at") == F.col("started_at"),
-        "repriced": (F.col("last_price_at") == F.col("started_at")) & (F.col("first_seen_at") != F.col("started_at")),
-        "gone": (F.col("status") == "completed") & ~F.col("available") & (F.col("last_seen_at") < F.col("started_at")) & (F.col("before").isNull() | (F.col("last_seen_at") >= F.col("before"))),
-    }[kind]
-    return both.where(keep)
+    if kind != "gone":
+        at = "first_seen_at" if kind == "new" else "last_price_at"
+        found = listings if kind == "new" else listings.where("last_price_at <> first_seen_at")
+        return runs.join(found.withColumn("started_at", F.col(at)), ["retailer", "started_at"])
+    done = runs.where("status = 'completed'")
+    missing = listings.where(~F.col("available"))
+    # Of each retailer's distinct times in order, the first start of a completed run after a listing was last seen.
+    starts = done.select("retailer", F.col("started_at").alias("t"), F.col("started_at").alias("start"))
+    seen = missing.select("retailer", F.col("last_seen_at").alias("t"), F.lit(None).cast("timestamp").alias("start"))
+    later = Window.partitionBy("retailer").orderBy("t", F.col("start").asc_nulls_last()).rowsBetween(1, Window.unboundedFollowing)
+    times = starts.unionByName(seen).distinct().withColumn("started_at", F.min("start").over(later))
+    next_start = times.where("start is null and started_at is not null").select("retailer", F.col("t").alias("last_seen_at"), "started_at")
+    return done.join(missing.join(next_start, ["retailer", "last_seen_at"]), ["retailer", "started_at"])
 
 
 def page(found: DataFrame, limit: int = 50, offset: int = 0) -> DataFrame:
@@ -120,7 +129,35 @@ def purge(evidence: DataFrame, products: DataFrame, identifiers: DataFrame, list
 
 
 def add_counters(runs: DataFrame, reports: DataFrame, counters: list[str]) -> DataFrame:
-    """runs with the reports' counters (run_id and counters) added; negative reports count as nothing. Closed runs stay."""
-    sums = reports.groupBy("run_id").agg(*[F.sum(F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))).alias(f"add_{c}") for c in counters])
-    both, live = runs.join(sums, "run_id", "left"), F.col("status") == "running"
-    return both.withColumns({c: F.coalesce(F.col(c), F.lit(0)) + F.when(live, F.coalesce(f"add_{c}", F.lit(0))).otherwise(0) for c in counters}).select(runs.columns)
+    """runs with the reports' counters (run_id and counters) added; negative reports count as nothing. Closed runs stay.
+
+    Where reports have stats (a map) and reported_at, the run's stats take their entries over, later reports last.
+    """
+    given = [F.sum(F.greatest(F.coalesce(c, F.lit(0)), F.lit(0))).alias(f"add_{c}") for c in counters]
+    with_stats = "stats" in reports.columns
+    if with_stats:
+        given.append(F.array_sort(F.collect_list(F.when(F.col("stats").isNotNull(), F.struct("reported_at", F.map_entries("stats").alias("e"))))).alias("said"))
+    both, live = runs.join(reports.groupBy("run_id").agg(*given), "run_id", "left"), F.col("status") == "running"
+    new = {c: F.coalesce(F.col(c), F.lit(0)) + F.when(live, F.coalesce(f"add_{c}", F.lit(0))).otherwise(0) for c in counters}
+    if with_stats:
+        said = F.when(live, F.transform("said", lambda r: F.map_from_entries(r["e"])))
+        over = lambda old, entries: F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(entries, k)), entries)
+        new["stats"] = F.aggregate(F.coalesce(said, F.array().cast("array<map<string,string>>")), F.coalesce("stats", F.create_map().cast("map<string,string>")), over)
+    return both.withColumns(new).select(runs.columns)
+
+
+def alive(runs: DataFrame, reports: DataFrame) -> DataFrame:
+    """runs with pages_read, last_alive_at and progress of the reports (run_id, reported_at, pages, done, total, unit).
+
+    Reports of runs that are no longer running are dropped. Pages add up, a negative number counting as nothing; of
+    done, total and unit each takes the last one reported.
+    """
+    last = lambda c, value: F.max_by(value, F.when(value.isNotNull(), F.col("reported_at"))).alias(c)
+    at_least = lambda c: F.greatest(F.col(c), F.lit(0))
+    said = reports.join(runs.where("status = 'running'").select("run_id"), "run_id", "left_semi").groupBy("run_id").agg(
+        F.sum(F.greatest(F.coalesce("pages", F.lit(0)), F.lit(0))).alias("new_pages"), F.max("reported_at").alias("new_alive"),
+        last("new_done", F.when(F.col("done").isNotNull(), at_least("done"))), last("new_total", F.when(F.col("total").isNotNull(), at_least("total"))), last("new_unit", F.nullif(F.trim("unit"), F.lit(""))),
+    )
+    both = runs.join(said, "run_id", "left")
+    new = {"pages_read": F.col("pages_read") + F.coalesce("new_pages", F.lit(0)), "last_alive_at": F.coalesce("new_alive", "last_alive_at"), "progress_done": F.coalesce("new_done", "progress_done"), "progress_total": F.coalesce("new_total", "progress_total"), "progress_unit": F.coalesce("new_unit", "progress_unit")}
+    return both.withColumns(new).select(runs.columns)

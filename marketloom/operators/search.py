@@ -34,15 +34,17 @@ def grams(words: Column) -> Column:
 def candidates(requests: DataFrame, products: DataFrame, fuzzy: bool = False) -> DataFrame:
     """(request columns, product_id) where the product can match at all.
 
-    Every rank but the fuzzy one needs each word of the query within the product's text. Products are listed under the
-    pieces of their words; a request looks under its rarest piece, and the words are then checked. Not capped.
+    Every rank but the fuzzy one needs each word of the query within the product's text. Products are listed, by number
+    alone, under those pieces of their words that are asked for: the first three letters of a word, or all of a shorter
+    one. A request looks under its rarest piece, and the words are then checked. Not capped.
     """
-    listed = products.select("product_id", "search_blob", F.explode(grams(F.split("search_blob", " "))).alias("gram"))
     wanted = F.transform("tokens", lambda t: F.left(t, F.lit(3)))
-    asked = requests.withColumn("gram", F.explode(F.array_distinct(wanted)))
+    asked = requests.select("request_id", F.explode(F.array_distinct(wanted)).alias("gram"))
+    listed = products.select("product_id", F.explode(grams(F.split("search_blob", " "))).alias("gram")).join(asked.select("gram").distinct(), "gram", "left_semi")
     counts = listed.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = asked.join(counts, "gram").groupBy("request_id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    found = requests.join(rarest, "request_id").join(listed, "gram").where(F.forall("tokens", lambda t: F.contains("search_blob", t)))
+    pairs = rarest.join(listed, "gram").select("request_id", "product_id").join(requests.select("request_id", "tokens"), "request_id")
+    found = pairs.join(products.select("product_id", "search_blob"), "product_id").where(F.forall("tokens", lambda t: F.contains("search_blob", t)))
     found = found.select("request_id", "product_id").distinct()
     if fuzzy:
         found = found.unionByName(fuzzy_matches(requests, products).select("request_id", "product_id")).distinct()
@@ -84,14 +86,18 @@ def fuzzy_matches(requests: DataFrame, products: DataFrame, least: float = FUZZY
     """(request_id, product_id, similarity) of at least least. Only products that share a trigram of a word's beginning
     with the request are compared: such a share of the trigrams cannot be reached without any in common."""
     pieces = lambda c: F.array_distinct(F.flatten(F.transform(F.split(c, " "), lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))))))
-    mine = requests.select("request_id", "query", F.explode(pieces(F.col("query"))).alias("gram"))
-    theirs = products.select("product_id", "search_blob", F.explode(pieces(F.col("search_blob"))).alias("gram"))
-    sizes = mine.groupBy("request_id").agg(F.count("*").alias("size"))
-    common = mine.join(theirs, "gram").groupBy("request_id", "product_id").agg(F.count("*").alias("shared"))
-    close = common.join(sizes, "request_id").where(F.col("shared") >= least * F.col("size")).select("request_id", "product_id")
+    mine = requests.select("request_id", F.size(pieces(F.col("query"))).alias("size"), F.explode(pieces(F.col("query"))).alias("gram"))
+    theirs = products.select("product_id", F.explode(pieces(F.col("search_blob"))).alias("gram")).join(mine.select("gram").distinct(), "gram", "left_semi")
+    # Of least * size in common, one at least is among the size - ceil(least * size) + 1 that fewest products have.
+    counts = theirs.groupBy("gram").agg(F.count("*").alias("n"))
+    rarity = Window.partitionBy("request_id").orderBy("n", "gram")
+    few = mine.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("place", F.row_number().over(rarity)).where(F.col("place") <= F.col("size") - F.ceil(F.lit(least) * F.col("size")) + 1)
+    close = few.join(theirs, "gram").select("request_id", "product_id").distinct()
     # Products often share a text: each pair of texts is compared once.
     pairs = close.join(requests.select("request_id", "query"), "request_id").join(products.select("product_id", "search_blob"), "product_id")
-    alike = pairs.select("query", "search_blob").distinct().withColumn("similarity", _word_similarity("query", "search_blob")).where(F.col("similarity") >= least)
+    shared = F.size(F.array_intersect(pieces(F.col("query")), pieces(F.col("search_blob"))))
+    enough = pairs.select("query", "search_blob").distinct().where(shared >= F.lit(least) * F.size(pieces(F.col("query"))))
+    alike = enough.withColumn("similarity", _word_similarity("query", "search_blob")).where(F.col("similarity") >= least)
     return pairs.join(alike, ["query", "search_blob"]).select("request_id", "product_id", "similarity")
 
 
@@ -124,10 +130,8 @@ def display_names(pairs: DataFrame, products: DataFrame, listings: DataFrame, re
     return out.select("request_id", "product_id", F.coalesce("local", "canonical_name").alias("display_name"))
 
 
-def search(requests: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, limit: int = 100, fuzzy: bool = False) -> DataFrame:
-    """The best products for each request (request_id, query, markets, retailers): rank, product_id, name, maker,
-    popularity, quantity, quantity_unit, shops, min_price, currency, available, match_type, score."""
-    asked = tokenised(requests)
+def scored(asked: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, fuzzy: bool = False) -> DataFrame:
+    """All products that match each request, with match_type and score. asked: from tokenised()."""
     pairs = candidates(asked, products, fuzzy).join(asked, "request_id")
     known = pairs.join(shelf(pairs.select("request_id", "product_id", "markets", "retailers"), listings, retailers), ["request_id", "product_id"]).where("retailers is null or wanted")
     known = known.join(display_names(pairs.select("request_id", "product_id", "markets"), products, listings, retailers), ["request_id", "product_id"])
@@ -138,13 +142,18 @@ def search(requests: DataFrame, products: DataFrame, listings: DataFrame, retail
         .when(every(name), "name_tokens").when(F.startswith("brand_folded", F.col("query")), "brand_prefix").when(every(F.col("search_blob")), "blob_tokens")
         .when(F.contains("search_blob", F.col("query")), "blob_substring").otherwise("fuzzy")
     )
-    scored = known.withColumn("match_type", kind)
+    known = known.withColumn("match_type", kind)
     rank_points = F.element_at(F.create_map(*[F.lit(x) for kv in RANKS.items() for x in kv]), F.col("match_type"))
     size_named = F.coalesce(F.contains("query", text.number_key(F.col("quantity"))), F.lit(False))
     score = rank_points + F.when(F.col("available"), BONUS_AVAILABLE).otherwise(0) + F.when(F.col("n_shops") > 1, BONUS_SHOPS).otherwise(0) + F.when(size_named, BONUS_QUANTITY).otherwise(0)
-    scored = scored.withColumn("score", score)
+    return known.withColumn("score", score)
+
+
+def search(requests: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, limit: int = 100, fuzzy: bool = False) -> DataFrame:
+    """The best products for each request (request_id, query, markets, retailers): rank, product_id, name, maker,
+    popularity, quantity, quantity_unit, shops, min_price, currency, available, match_type, score."""
     order = Window.partitionBy("request_id").orderBy(F.col("score").desc(), F.col("popularity").desc(), "display_name", "product_id")
-    top = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(max(limit, 1), 200))
+    top = scored(tokenised(requests), products, listings, retailers, fuzzy).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(max(limit, 1), 200))
     return top.select("request_id", "rank", "product_id", F.col("display_name").alias("name"), F.col("brand").alias("maker"), "popularity", "quantity", "quantity_unit", "shops", "min_price", "currency", "available", "match_type", "score")
 
 

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketloom.functions import text
+from marketloom.operators.match import derived
 from marketloom.schema import CATEGORIES, PRICE, SIZE
+from marketloom.session import written
 
 
 @dataclass
@@ -71,7 +72,19 @@ def latest(observed: DataFrame) -> DataFrame:
     return out.select("retailer_id", "product_id", "last.price", "last.available", "first_seen_at", F.col("last.seen_at").alias("last_seen_at"), F.col("change.before").alias("previous_price"), F.col("change.seen_at").alias("last_price_at"), "seen")
 
 
+_BUILT: dict[tuple[str, str], Catalog] = {}
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The tables, built and written once for each application and folder: a catalog is built by imports, and asked often."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _BUILT:
+        c = laid_out(spark, sf_dir)
+        _BUILT[key] = Catalog(*(written(t) for t in (c.retailer, c.product, c.listing, c.observation)))
+    return _BUILT[key]
+
+
+def laid_out(spark: SparkSession, sf_dir: str) -> Catalog:
     shops, goods, seen = retailers(spark, sf_dir), products(spark, sf_dir), observations(spark, sf_dir)
     named = goods.select("product_id", "canonical_name", "brand", "category")
     listing = latest(seen).join(shops.select("retailer_id", "retailer"), "retailer_id").join(named, "product_id")
@@ -90,18 +103,6 @@ def with_bumps(spark: SparkSession, sf_dir: str, goods: DataFrame) -> DataFrame:
     return goods.join(bought, "product_id", "left").withColumn("add_count", F.coalesce("add_count", F.lit(0)))
 
 
-def derived(goods: DataFrame, listing: DataFrame) -> DataFrame:
-    """Products with what follows from them and their listings: merge_key, listing_count, popularity, search_blob, first_seen_at."""
-    names = listing.groupBy("product_id").agg(F.count("*").alias("listing_count"), F.array_join(F.array_sort(F.collect_set(text.fold(F.col("retailer_name")))), " ").alias("names"), F.min("first_seen_at").alias("first_listed_at"))
-    out = goods.join(names, "product_id", "left").withColumn("listing_count", F.coalesce("listing_count", F.lit(0)))
-    blob = F.left(text.squeeze(F.concat_ws(" ", text.fold(F.col("canonical_name")), text.fold(F.col("brand")), F.coalesce("names", F.lit("")))), F.lit(1000))
-    return out.select(
-        *goods.columns, "listing_count", (F.col("add_count") + 5 * F.col("listing_count")).alias("popularity"), F.col("first_listed_at").alias("first_seen_at"),
-        text.merge_key(F.col("brand"), F.col("canonical_name"), F.col("quantity"), F.col("quantity_unit")).alias("merge_key"), blob.alias("search_blob"),
-        text.fold(F.col("canonical_name")).alias("name_folded"), text.fold(F.col("brand")).alias("brand_folded"),
-    )
-
-
 _DIGITS = " + ".join(f"CAST(substr(lpad(CAST(p_partkey AS VARCHAR), 12, '0'), {k + 1}, 1) AS INTEGER) * {1 if k % 2 == 0 else 3}" for k in range(12))
 _CATEGORY = "CASE CAST(p_size % 17 AS INTEGER) " + " ".join(f"WHEN {k} THEN '{c}'" for k, c in enumerate(CATEGORIES)) + " END"
 #: The same tables as common table expressions.

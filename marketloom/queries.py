@@ -7,23 +7,11 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import jsonld, text
 from marketloom.operators import admin, crawl, logs, match, popularity, runs, search, validate
-from marketloom.plans.catalog import SQL, catalog, observations, products, read, retailers
+from marketloom.plans.catalog import catalog, observations, products, read, retailers
+from marketloom.registry import ORACLES, QUERIES, query  # noqa: F401
 from marketloom.session import written
 from marketloom.sources import captures
-
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None, catalog_tables: bool = False):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = f"WITH {SQL}{sql}" if catalog_tables else sql
-        return f
-
-    return add
-
+from marketloom.streaming import catalog as streams
 
 _FOLD = "trim(regexp_replace(lower(strip_accents({})), '\\s+', ' ', 'g'))"
 _SPELLED = "text"
@@ -160,19 +148,39 @@ def import_counters(spark, d):
     return match.import_counters(_import_all(spark, d))
 
 
-@query("""
-    SELECT retailer, product_id, CAST(price AS DOUBLE) AS price, available, CAST(previous_price AS DOUBLE) AS previous_price, last_price_at, first_seen_at, last_seen_at FROM listing""", True)
+def _seen(spark, d):
+    """The observation log as import rows in order, and their decisions: each row is accepted for the part it shows."""
+    o = observations(spark, d)
+    order = F.row_number().over(Window.partitionBy("retailer_id", "product_id").orderBy("ordinal"))
+    rows = o.select(
+        (F.col("retailer_id") * 1_000_000_000 + F.col("product_id") * 1000 + order).alias("ordinal"), F.concat_ws("-", "retailer_id", "product_id").alias("external_id"), F.col("product_id").cast("string").alias("name"), F.lit(None).cast("string").alias("brand"),
+        F.lit(None).cast("string").alias("gtin"), F.col("price"), F.lit("EUR").alias("currency"), F.lit(None).cast("decimal(18,3)").alias("quantity"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("string").alias("category"),
+        F.lit("https://shop").alias("product_url"), "available", F.col("ordinal").alias("nth"), F.col("product_id").cast("string").alias("product_id"),
+    )
+    return written(rows), lambda some: some.select("ordinal", "external_id", "product_id", F.lit(None).cast("string").alias("error"))
+
+
+@query("""SELECT CAST(retailer_id AS VARCHAR) || '-' || CAST(l.product_id AS VARCHAR) AS external_id, CAST(price AS DOUBLE) AS price, available, CAST(previous_price AS DOUBLE) AS previous_price, TIMESTAMP '2024-01-01' AS first_seen_at,
+    CASE WHEN seen > 1 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS last_seen_at, CASE WHEN moves > 0 THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS last_price_at
+    FROM latest l JOIN (SELECT retailer_id, product_id, count(*) AS seen, count(*) FILTER (WHERE ordinal > 1 AND before IS DISTINCT FROM price) AS moves FROM moved GROUP BY 1, 2) n USING (retailer_id, product_id)""", True)
 def upsert_listings(spark, d):
-    li = catalog(spark, d).listing
-    return li.select("retailer", "product_id", F.col("price").cast("double").alias("price"), "available", F.col("previous_price").cast("double").alias("previous_price"), "last_price_at", "first_seen_at", "last_seen_at")
+    """Two runs: one that shows the first observation of each listing, and one that shows the others in order."""
+    rows, accepted = _seen(spark, d)
+    from marketloom import schema
 
+    first, later = rows.where("nth = 1"), rows.where("nth > 1")
+    before = written(match.upsert(match.observed(first, accepted(first), empty := _empty(spark, schema.LISTING)), empty, "all", "2024-01-01 00:00:00"))
+    after = match.upsert(match.observed(later, accepted(later), before), before, "all", "2024-01-02 00:00:00")
+    return after.select("external_id", F.col("price").cast("double").alias("price"), "available", F.col("previous_price").cast("double").alias("previous_price"), "first_seen_at", "last_seen_at", "last_price_at")
 
-@query("SELECT retailer_id, product_id, ordinal, CAST(before AS DOUBLE) AS previous_price, CAST(price AS DOUBLE) AS price FROM moved WHERE ordinal > 1 AND before IS DISTINCT FROM price", True)
+
+@query("SELECT CAST(retailer_id AS VARCHAR) || '-' || CAST(product_id AS VARCHAR) AS external_id, ordinal AS nth, CAST(before AS DOUBLE) AS previous_price, CAST(price AS DOUBLE) AS price FROM moved WHERE ordinal > 1 AND before IS DISTINCT FROM price", True)
 def price_changes(spark, d):
-    obs = observations(spark, d)
-    before = F.lag("price").over(Window.partitionBy("retailer_id", "product_id").orderBy("ordinal"))
-    moved = obs.withColumn("previous_price", before).where((F.col("ordinal") > 1) & ~F.col("previous_price").eqNullSafe(F.col("price")))
-    return moved.select("retailer_id", "product_id", F.col("ordinal").cast("long").alias("ordinal"), F.col("previous_price").cast("double").alias("previous_price"), F.col("price").cast("double").alias("price"))
+    rows, accepted = _seen(spark, d)
+    from marketloom import schema
+
+    seen = match.observed(rows, accepted(rows), _empty(spark, schema.LISTING)).where("left is not null")
+    return seen.join(rows.select("ordinal", F.col("nth").cast("long").alias("nth")), "ordinal").select("external_id", "nth", F.col("left.price").cast("double").alias("previous_price"), F.col("now.price").cast("double").alias("price"))
 
 
 _RUNS = """, run AS (SELECT l_suppkey AS retailer_id, year(l_shipdate) AS y, count(*) AS n, min(l_shipdate) AS started_at FROM lineitem WHERE (l_suppkey + year(l_shipdate)) % 9 <> 0 OR l_linenumber = 1 GROUP BY 1, 2)"""
@@ -285,21 +293,14 @@ _SEARCH = """, asked AS (SELECT p_name AS request_id FROM part UNION SELECT spli
 @query(_SEARCH + " SELECT request_id, CAST(rank AS INTEGER) AS rank, product_id, canonical_name AS name, brand AS maker, popularity, shops, CAST(min_price AS DOUBLE) AS min_price, in_stock AS available, match_type, CAST(score AS INTEGER) AS score FROM r WHERE rank <= 10", True)
 def search_topk(spark, d):
     c = catalog(spark, d)
-    product, listing = written(c.product), written(c.listing)
-    s = search.search(_requests(spark, d), product, listing, c.retailer, limit=10)
+    s = search.search(_requests(spark, d), c.product, c.listing, c.retailer, limit=10)
     return s.select("request_id", "rank", "product_id", "name", "maker", "popularity", F.array_join("shops", ",").alias("shops"), F.col("min_price").cast("double").alias("min_price"), "available", "match_type", "score")
 
 
 @query(_SEARCH + " SELECT match_type, count(*) AS n FROM s GROUP BY 1", True)
 def search_rungs(spark, d):
     c = catalog(spark, d)
-    product, listing = written(c.product), written(c.listing)
-    asked = search.tokenised(_requests(spark, d))
-    pairs = search.candidates(asked, product).join(asked, "request_id").join(product.select("product_id", "name_folded", "brand_folded", "search_blob"), "product_id")
-    sold = listing.join(c.retailer.where("enabled"), "retailer").select("product_id").distinct()
-    every = lambda col: F.forall("tokens", lambda t: F.contains(col, t))
-    kind = F.when(F.col("name_folded") == F.col("query"), "name_exact").when(F.startswith("name_folded", F.col("query")), "name_prefix").when(F.col("brand_folded") == F.col("query"), "brand_exact").when(every("name_folded"), "name_tokens").when(F.startswith("brand_folded", F.col("query")), "brand_prefix").otherwise("blob_tokens")
-    return pairs.join(sold, "product_id", "left_semi").groupBy(kind.alias("match_type")).agg(F.count("*").alias("n"))
+    return search.scored(search.tokenised(_requests(spark, d)), c.product, c.listing, c.retailer).groupBy("match_type").agg(F.count("*").alias("n"))
 
 
 _NAMED = """, nm AS (SELECT product_id, arg_min(market, (CASE WHEN retailer_name = canonical_name THEN '0' ELSE '1' END) || strftime(first_seen_at, '%Y%m%d%H%M%S') || retailer) AS named_in FROM listing GROUP BY 1),
@@ -311,7 +312,7 @@ _NAMED = """, nm AS (SELECT product_id, arg_min(market, (CASE WHEN retailer_name
 def display_name(spark, d):
     c = catalog(spark, d)
     pairs = c.product.select(F.lit(1).alias("request_id"), "product_id", F.array(F.lit("EUROPE")).alias("markets"))
-    return search.display_names(pairs, written(c.product), written(c.listing), c.retailer).select("product_id", "display_name")
+    return search.display_names(pairs, c.product, c.listing, c.retailer).select("product_id", "display_name")
 
 
 @query(""", hit AS (SELECT DISTINCT lower(canonical_name) AS folded, product_id FROM goods UNION SELECT lower(retailer_name), product_id FROM listing),
@@ -322,7 +323,7 @@ def display_name(spark, d):
 def shops_for(spark, d):
     c = catalog(spark, d)
     asked = read(spark, d, "part").select(F.col("p_name").alias("request_id")).distinct().select("request_id", F.array(F.upper("request_id")).alias("names"), F.lit(None).cast("array<string>").alias("markets"))
-    s = search.shops_for(asked, written(c.product), written(c.listing), c.retailer)
+    s = search.shops_for(asked, c.product, c.listing, c.retailer)
     return s.select("folded", "product_id", "name", "maker", F.array_join("shops", ",").alias("shops"))
 
 
@@ -330,7 +331,7 @@ def shops_for(spark, d):
     SELECT gtin AS request_id, product_id, display_name AS name, brand AS maker, popularity FROM product JOIN dn USING (product_id) WHERE gtin IS NOT NULL AND product_id IN (SELECT product_id FROM sold)""", True)
 def barcode_lookup(spark, d):
     c = catalog(spark, d)
-    product, listing = written(c.product), written(c.listing)
+    product, listing = c.product, c.listing
     asked = product.where("gtin is not null").select(F.col("gtin").alias("request_id"), F.array("gtin").alias("codes"), F.array(F.lit("EUROPE")).alias("markets"))
     return search.lookup_barcodes(asked, product, _identifiers(c), listing, c.retailer)
 
@@ -339,7 +340,7 @@ def barcode_lookup(spark, d):
 def fuzzy_recall(spark, d):
     c = catalog(spark, d)
     asked = search.tokenised(_requests(spark, d).withColumn("query", F.translate("query", "O", "0")))
-    return search.fuzzy_matches(asked, written(c.product))
+    return search.fuzzy_matches(asked, c.product)
 
 
 @query(""", f AS (SELECT * FROM product WHERE quantity IS NOT NULL AND product_id IN (SELECT product_id FROM listing WHERE available) AND gtin IS NOT NULL),
@@ -348,8 +349,8 @@ def fuzzy_recall(spark, d):
     SELECT p.product_id, p.canonical_name, p.brand, p.category, popularity, listing_count, retailers, gtin AS barcodes, min_price, available, merge_key, (SELECT count(*) FROM f) AS total_count FROM pg JOIN product p USING (product_id) LEFT JOIN sh USING (product_id)""", True)
 def admin_page(spark, d):
     c = catalog(spark, d)
-    product = written(c.product)
-    page = admin.browse(product, product.where("gtin is not null").select("product_id", F.lit("gtin").alias("identifier_type"), F.col("gtin").alias("identifier_value")), written(c.listing), has_quantity=True, has_barcode=True, available=True, limit=25, offset=25)
+    product = c.product
+    page = admin.browse(product, product.where("gtin is not null").select("product_id", F.lit("gtin").alias("identifier_type"), F.col("gtin").alias("identifier_value")), c.listing, has_quantity=True, has_barcode=True, available=True, limit=25, offset=25)
     return page.select("product_id", "canonical_name", "brand", "category", "popularity", "listing_count", F.array_join("retailers", ",").alias("retailers"), F.array_join("barcodes", ",").alias("barcodes"), F.col("min_price").cast("double").alias("min_price"), "available", "merge_key", "total_count")
 
 
@@ -390,9 +391,9 @@ def rate_limited(spark, d):
     SELECT product_id, add_count + coalesce(cnt, 0) AS add_count FROM product LEFT JOIN (SELECT best AS product_id, count(*) AS cnt FROM named JOIN best ON n = lower(name) AND b = lower(brand) GROUP BY 1) USING (product_id)""", True)
 def bump_popularity(spark, d):
     c = catalog(spark, d)
-    product, n = written(c.product), read(spark, d, "part").count()
+    product, n = c.product, read(spark, d, "part").count()
     asked = read(spark, d, "events").where("event_type = 'purchase'").join(product.select("product_id", F.col("canonical_name").alias("name"), F.col("brand").alias("maker")), F.col("event_id") % n == F.col("product_id"))
-    return popularity.bump(asked.select(F.col("event_id").alias("bump_id"), "user_id", "ts", "name", "maker"), product, written(c.listing), 1).select("product_id", "add_count")
+    return popularity.bump(asked.select(F.col("event_id").alias("bump_id"), "user_id", "ts", "name", "maker"), product, c.listing, 1).select("product_id", "add_count")
 
 
 _LINES = "line AS (SELECT CAST(user_id AS VARCHAR) AS run_id, ts AS t, CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'warn' ELSE 'info' END AS level, event_type AS scope, props AS message FROM events)"
@@ -446,13 +447,14 @@ def breadcrumb_shelf(spark, d):
 def _sitemap(spark, d):
     """Pages as url blocks, ten to a file; every third without an address of its own."""
     p = read(spark, d, "pages")
-    escaped = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    escaped = F.replace(F.concat("url", F.lit("?é")), F.lit("&"), F.lit("&amp;"))
+    escaped = F.when(F.col("page_id") % 2 == 0, F.replace(escaped, F.lit("é"), F.lit("&#233;"))).otherwise(escaped)
     loc = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<loc></loc><xhtml:link rel="alternate" href="'), escaped, F.lit('"/>'))).otherwise(F.concat(F.lit("<loc>"), escaped, F.lit("</loc>")))
     stamp = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<lastmod>2024-01-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit("</lastmod>"))).when(F.col("page_id") % 5 == 0, "<lastmod>soon</lastmod>").otherwise("")
     return p.groupBy(F.floor(F.col("page_id") / 10).alias("file")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(F.concat(F.lit("<url>"), loc, stamp, F.lit("</url>"))), ""), F.lit("</urlset>")).alias("body"))
 
 
-_ENTRIES = "e AS (SELECT url AS loc, CASE WHEN page_id % 2 = 0 THEN make_timestamp(2024, 1, CAST(page_id % 28 + 1 AS BIGINT), 0, 0, 0.0) END AS lastmod FROM pages)"
+_ENTRIES = "e AS (SELECT url || '?é' AS loc, CASE WHEN page_id % 2 = 0 THEN make_timestamp(2024, 1, CAST(page_id % 28 + 1 AS BIGINT), 0, 0, 0.0) END AS lastmod FROM pages)"
 
 
 @query(f"WITH {_ENTRIES} SELECT loc, lastmod FROM e")
@@ -474,10 +476,10 @@ def page_truncation(spark, d):
     return crawl.until_repeat(pages).select("department", "page", F.size("ids").alias("n"))
 
 
-@query("""SELECT (SELECT count(*) FROM part) AS advertised, count(DISTINCT l_partkey) AS seen, count(DISTINCT l_partkey) / (SELECT count(*) FROM part) AS ratio, count(DISTINCT l_partkey) / (SELECT count(*) FROM part) >= 0.95 AS authoritative FROM lineitem WHERE l_suppkey % 2 = 0""")
+@query("""SELECT (SELECT count(*) FROM part) AS advertised, count(DISTINCT l_partkey) AS seen, count(DISTINCT l_partkey) / (SELECT count(*) FROM part) AS ratio, count(DISTINCT l_partkey) / (SELECT count(*) FROM part) >= 0.95 AS authoritative FROM lineitem """)
 def coverage(spark, d):
     advertised = read(spark, d, "part").select(F.col("p_partkey").alias("external_id"))
-    return crawl.coverage(advertised, read(spark, d, "lineitem").where("l_suppkey % 2 = 0").select(F.col("l_partkey").alias("external_id")))
+    return crawl.coverage(advertised, read(spark, d, "lineitem").select(F.col("l_partkey").alias("external_id")))
 
 
 @query("""WITH r AS (SELECT l_partkey AS external_id, 'd' || repeat('x', CAST(l_linenumber AS INTEGER)) AS department, l_suppkey AS page, l_orderkey AS pos FROM lineitem)
@@ -496,10 +498,12 @@ def robots_admission(spark, d):
     return crawl.allowed(pages, crawl.robots_rules(files, ["loom"])).select("page_id", "allowed")
 
 
-@query("SELECT event_id AS bump_id, minute, pages_read FROM (SELECT min(event_id) AS event_id, date_trunc('minute', ts) AS minute, count(*) AS pages_read FROM events GROUP BY user_id, date_trunc('minute', ts))")
+@query("SELECT CAST(user_id AS VARCHAR) AS run_id, date_trunc('minute', ts) AS minute, count(*) AS pages_read, max(ts) AS last_alive_at FROM events WHERE user_id % 10 <> 0 GROUP BY 1, 2")
 def liveness(spark, d):
-    minutes = read(spark, d, "events").groupBy("user_id", F.window("ts", "1 minute")).agg(F.min("event_id").alias("bump_id"), F.count("*").alias("pages_read"))
-    return minutes.select("bump_id", F.col("window.start").alias("minute"), "pages_read")
+    """Fetches as reports of runs, of which every tenth is closed and no longer heard."""
+    fetches = read(spark, d, "events").select(F.col("user_id").cast("string").alias("run_id"), "ts")
+    run = fetches.select("run_id").distinct().withColumn("status", F.when(F.col("run_id").cast("long") % 10 == 0, "completed").otherwise("running"))
+    return streams.liveness(fetches, runs=run)
 
 
 @query("""SELECT product_id, 'kept-' || CAST(product_id AS VARCHAR) AS external_id, CAST(CASE WHEN product_id % 2 = 0 THEN p_retailprice END AS DOUBLE) AS price, CASE WHEN product_id % 2 = 0 THEN 'EUR' END AS currency,
@@ -534,3 +538,6 @@ def allowlisted(spark, d):
     path = lambda c: F.concat(F.lit("/"), (F.col("p_size") % 5).cast("string"), F.lit("/"), c)
     rows = p.select("p_partkey", F.array(path(F.lit("")), path(F.concat((F.col("p_size") % 10).cast("string"), F.lit("/")))).alias("paths"))
     return rows.where(crawl.in_allowlist(F.col("paths"), ["/0/", "/1/"], ["/1/1/"])).select(F.col("p_partkey").alias("part"))
+
+
+from marketloom import import_queries, source_queries  # noqa: E402,F401  (they register themselves)

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.functions import text
+from marketloom.functions import jsonld, text
 from marketloom.schema import PRODUCT_RECORD
 
 
@@ -22,10 +22,42 @@ def outcomes(pages: DataFrame, product_found: Column, excluded: Column | None =
     )
 
 
+def crawled(pages: DataFrame, refused: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, counters) of captured pages (url, status, body; status null: not fetched).
+
+    records: what the JSON-LD of each parsed page says, with the page's other columns. counters, one row: urls, fetched,
+    skipped, delisted, no_product, excluded, failed. refused: pages that are read and then set aside.
+    """
+    answered = pages.where(F.col("status").between(200, 299)).select("url", "body")
+    said = jsonld.products(answered.withColumnRenamed("url", "page_url"), "page_url", "body").withColumnRenamed("url", "said_url")
+    marked = outcomes(pages.join(said.withColumnRenamed("page_url", "url"), "url", "left"), F.col("name").isNotNull(), refused)
+    marked = marked.withColumn("outcome", F.when(F.col("status").isNull(), "skipped").otherwise(F.col("outcome")))
+    count = lambda o: F.count_if(F.col("outcome") == o)
+    counters = marked.agg(F.count("*").alias("urls"), F.count("status").alias("fetched"), *[count(o).alias(n) for o, n in (("skipped", "skipped"), ("delisted", "delisted"), ("noProduct", "no_product"), ("excluded", "excluded"), ("failed", "failed"))])
+    return marked.where("outcome = 'parsed'").drop("outcome", "status", "body"), counters
+
+
+def page_shelf(body: Column, path: str, primary: str) -> Column:
+    """struct(path, primary): the shelf that a page's state names. path, primary: patterns with one group; an empty
+    answer is none."""
+    at = F.nullif(F.regexp_extract(body, path, 1), F.lit(""))
+    return F.struct(F.filter(F.split(F.coalesce(at, F.lit("")), "/"), lambda x: x != "").alias("path"), F.nullif(F.regexp_extract(body, primary, 1), F.lit("")).alias("primary"))
+
+
+def deepest_link(links: Column, pattern: str) -> Column:
+    """Of the links that match the one with the most segments, of equal ones the first."""
+    fitting = F.filter(links, lambda x: F.regexp_like(x, F.lit(pattern)))
+    return F.array_max(F.transform(fitting, lambda x, i: F.struct(F.size(F.split(x, "/+")).alias("n"), (-i).alias("i"), x.alias("link"))))["link"]
+
+
 def _decoded(value: Column) -> Column:
     value = F.regexp_replace(value, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1")
-    for sign, meant in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#38;", "&amp;"), ("&#39;", "'")):
+    for sign, meant in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'")):
         value = F.replace(value, F.lit(sign), F.lit(meant))
+    codes = F.array_distinct(F.regexp_extract_all(value, F.lit(r"&#(\d{1,7});"), F.lit(1)))
+    there = F.filter(codes, lambda c: (c.cast("int") <= 0x10FFFF) & ~c.cast("int").between(0xD800, 0xDFFF))
+    letter = lambda c: F.decode(F.unhex(F.lpad(F.hex(c.cast("int")), 8, "0")), "UTF-32")
+    value = F.aggregate(there, value, lambda v, c: F.replace(v, F.concat(F.lit("&#"), c, F.lit(";")), letter(c)))
     return F.trim(F.replace(value, F.lit("&amp;"), F.lit("&")))
 
 
@@ -154,19 +186,26 @@ def department_pages(pages: DataFrame, body: str = "body", marker: str = "impres
 
 
 def leaflet_offers(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Offers of leaflet pages with the category they stand under."""
+    """Offers of leaflet pages with the category they stand under, and their place; an offer of several categories is
+    several rows (see first_shelf)."""
     offer = "struct<klNr:string,title:string,subtitle:string,unit:string,detailTitle:string,detailDescription:string>"
     shape = f"struct<cycles:array<struct<categories:array<struct<displayName:string,offers:array<{offer}>>>>>>"
-    cycles = pages.select(F.explode(F.from_json(braced('"offerData":')(body), shape)["cycles"]).alias("c"))
-    shelves = cycles.select(F.explode("c.categories").alias("s"))
-    offers = shelves.select(F.col("s.displayName").alias("shelf"), F.explode("s.offers").alias("o"))
-    return offers.select(F.trim("o.klNr").alias("external_id"), "shelf", "o.title", "o.subtitle", F.col("o.unit").alias("unit_text"), F.col("o.detailTitle").alias("detail_title"), F.col("o.detailDescription").alias("detail_description")).where("external_id <> ''").dropDuplicates(["external_id"])
-
-
-def without_themed(offers: DataFrame, themed: str) -> DataFrame:
-    """Offers of which none stands under a shelf that matches themed, the first shelf of each."""
-    outside = offers.where(F.regexp_like("shelf", F.lit(themed))).select("external_id").distinct()
-    return offers.join(outside, "external_id", "left_anti")
+    cycles = pages.select(F.posexplode(F.from_json(braced('"offerData":')(body), shape)["cycles"]).alias("i", "c"))
+    shelves = cycles.select("i", F.posexplode("c.categories").alias("j", "s"))
+    offers = shelves.select("i", "j", F.col("s.displayName").alias("shelf"), F.posexplode("s.offers").alias("k", "o"))
+    return offers.select(F.trim("o.klNr").alias("external_id"), F.array("i", "j", "k").alias("place"), "shelf", "o.title", "o.subtitle", F.col("o.unit").alias("unit_text"), F.col("o.detailTitle").alias("detail_title"), F.col("o.detailDescription").alias("detail_description")).where("external_id <> ''")
+
+
+def first_shelf(offers: DataFrame, themed: str | None = None) -> DataFrame:
+    """Each offer once, from the shelf that comes first on its page, and without its place.
+
+    Offers of which any copy stands under a shelf that matches themed go as a whole, whichever shelf comes first.
+    """
+    kept = offers
+    if themed is not None:
+        kept = offers.join(offers.where(F.regexp_like("shelf", F.lit(themed))).select("external_id").distinct(), "external_id", "left_anti")
+    first = F.min_by(F.struct(*[c for c in offers.columns if c != "external_id"]), F.struct("place", "shelf", "title"))
+    return kept.groupBy("external_id").agg(first.alias("x")).select("external_id", "x.*").drop("place")
 
 
 def _state_product(node, depth: int = 0):

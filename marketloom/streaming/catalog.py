@@ -30,8 +30,11 @@ def import_stream(records: DataFrame, retailer: str, started_at, load: Callable,
     return records.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def liveness(fetches: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Pages fetched and the last sign of life of each run and minute. fetches: run_id, ts."""
+def liveness(fetches: DataFrame, late: str = "10 minutes", runs: DataFrame | None = None) -> DataFrame:
+    """Pages fetched and the last sign of life of each run and minute. fetches: run_id, ts; with runs (run_id, status), a
+    table, what comes from runs that aren't running is dropped: a late report must not make a closed run look alive."""
+    if runs is not None:
+        fetches = fetches.join(runs.where("status = 'running'").select("run_id"), "run_id")
     minutes = fetches.withWatermark("ts", late).groupBy("run_id", F.window("ts", "1 minute"))
     return minutes.agg(F.count("*").alias("pages_read"), F.max("ts").alias("last_alive_at")).select("run_id", F.col("window.start").alias("minute"), "pages_read", "last_alive_at")
 
@@ -55,7 +58,8 @@ def limited_stream(bumps: DataFrame, limit: int = 120, late: str = "1 hour") ->
         rows = pd.concat(list(frames)).sort_values(["ts", "bump_id"])
         keep = rows.head(max(0, limit - used))
         state.update((used + len(keep),))
-        state.setTimeoutTimestamp(int(pd.Timestamp(key[1]).timestamp() * 1000) + 3_600_000)
+        # A row can come when the watermark has passed its hour: a time that is over already would end the stream.
+        state.setTimeoutTimestamp(max(int(pd.Timestamp(key[1]).timestamp() * 1000) + 3_600_000, state.getCurrentWatermarkMs() + 1))
         yield keep[["bump_id", "user_id", "ts"]]
 
     hours = bumps.where("user_id is not null").withWatermark("ts", late).withColumn("hour", F.date_trunc("hour", "ts"))

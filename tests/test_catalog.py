@@ -159,6 +159,13 @@ def test_reap_stop_and_counters(spark):
     assert stopped.where("run_id = 'a'").first()["status"] == "partial"
     added = runs.add_counters(stopped, spark.createDataFrame([("a", 5), ("b", 3), ("b", -9)], "run_id string, products_found long"), ["products_found"])
     assert {x["run_id"]: x["products_found"] for x in added.collect()} == {"a": 0, "b": 3}
+    said = spark.createDataFrame([("b", 1, T0, {"x": "1", "y": "1"}), ("b", 1, T1, {"x": "2"}), ("a", 1, T1, {"x": "3"}), ("b", 1, T1, None)], "run_id string, products_found long, reported_at timestamp, stats map<string,string>")
+    merged = runs.add_counters(stopped.withColumn("stats", F.create_map(F.lit("y"), F.lit("0"), F.lit("z"), F.lit("0"))), said, ["products_found"])
+    assert {x["run_id"]: (x["products_found"], x["stats"]) for x in merged.collect()} == {"a": (0, {"y": "0", "z": "0"}), "b": (3, {"x": "2", "y": "1", "z": "0"})}
+    live = stopped.withColumns({"pages_read": F.lit(1).cast("long"), "last_alive_at": F.lit(None).cast("timestamp"), "progress_done": F.lit(None).cast("long"), "progress_total": F.lit(9).cast("long"), "progress_unit": F.lit("page")})
+    told = spark.createDataFrame([("b", T0, 5, 3, 10, "shelf"), ("b", T1, -2, 4, None, " "), ("a", T1, 7, 7, 7, "x")], "run_id string, reported_at timestamp, pages long, done long, total long, unit string")
+    got = {x["run_id"]: (x["pages_read"], x["last_alive_at"], x["progress_done"], x["progress_total"], x["progress_unit"]) for x in runs.alive(live, told).collect()}
+    assert got == {"a": (1, None, None, 9, "page"), "b": (6, T1, 4, 10, "shelf")}
 
 
 def test_run_listings_and_purge(spark):
@@ -227,17 +234,19 @@ def test_display_name_barcode_and_badges(spark, shop):
 
 def test_admin_edits(spark):
     goods = spark.createDataFrame([("p1", "Tea", "A", None, None, "drinks", "a|tea|-"), ("p2", "Rye", None, None, None, None, "|rye|-")], "product_id string, canonical_name string, brand string, quantity decimal(18,3), quantity_unit string, category string, merge_key string")
-    codes = spark.createDataFrame([("p1", "gtin", "12345678")], "product_id string, identifier_type string, identifier_value string")
-    new = spark.createDataFrame([(1, "Oat", None, None, None, None), (2, "TEA", "a", None, None, None), (3, "", None, None, None, None), (4, "Corn", None, None, None, "12345678"), (5, "Bran", None, None, None, "12")], "edit_id int, name string, brand string, quantity decimal(18,3), unit string, barcode string")
-    accepted, rejected = admin.create(new, goods, codes)
-    assert [r["edit_id"] for r in accepted.collect()] == [1]
-    assert {r["edit_id"]: r["error"] for r in rejected.collect()} == {2: "duplicate_product", 3: "bad_name", 4: "duplicate_barcode", 5: "bad_barcode"}
-    edits = spark.createDataFrame([(1, "p1", None, "", "pantry", None), (2, "p9", "x", None, None, None)], "edit_id int, product_id string, name string, brand string, category string, barcode string")
-    after, bad = admin.update(edits, goods, codes)
+    codes = spark.createDataFrame([("p1", "gtin", "12345678", "admin"), ("p2", "gtin", "87654321", "shop")], schema.IDENTIFIER)
+    new = spark.createDataFrame([(1, "Oat", None, None, None, None), (2, "TEA", "a", None, None, None), (3, "", None, None, None, None), (4, "Corn", None, None, None, "12345678"), (5, "Bran", None, None, None, "12"), (6, "Fig", None, None, None, "11112222"), (7, "Nut", None, None, None, "11112222"), (8, "Pea", None, None, None, "33334444")], "edit_id int, name string, brand string, quantity decimal(18,3), unit string, barcode string")
+    accepted, coded, rejected = admin.create(new, goods, codes)
+    assert sorted(r["edit_id"] for r in accepted.collect()) == [1, 8]
+    assert sorted(r["identifier_value"] for r in coded.collect()) == ["12345678", "33334444", "87654321"]
+    assert {r["edit_id"]: r["error"] for r in rejected.collect()} == {2: "duplicate_product", 3: "bad_name", 4: "duplicate_barcode", 5: "bad_barcode", 6: "duplicate_barcode", 7: "duplicate_barcode"}
+    edits = spark.createDataFrame([(0, "p1", "Coffee", None, None, None), (1, "p1", None, "", "pantry", "55556666"), (2, "p9", "x", None, None, None), (3, "p2", None, None, None, "")], "edit_id int, product_id string, name string, brand string, category string, barcode string")
+    after, coded, bad = admin.update(edits, goods, codes)
+    assert after.count() == 2 and sorted((r["product_id"], r["identifier_value"]) for r in coded.collect()) == [("p1", "55556666"), ("p2", "87654321")]
     p1 = after.where("product_id = 'p1'").first()
     assert (p1["canonical_name"], p1["brand"], p1["category"], p1["merge_key"]) == ("Tea", None, "pantry", "|tea|-")
     assert [r["error"] for r in bad.collect()] == ["unknown_product"]
-    assert admin.delete(spark.createDataFrame([("p1",)], "product_id string"), goods, codes)[1].count() == 0
+    assert admin.delete(spark.createDataFrame([("p1",)], "product_id string"), goods, codes)[1].first()["product_id"] == "p2"
 
 
 def test_popularity_and_logs(spark, shop):

@@ -19,6 +19,8 @@ def test_sitemaps(spark):
     body = '<urlset><url><loc>https://a?x=1&amp;lt;y</loc><lastmod>2024-02-03</lastmod></url><url><loc></loc><xhtml:link rel="alternate" href="https://b"/></url><url><loc>https://c</loc><lastmod>soon</lastmod></url><url></url><url><loc>https://broken'
     got = {r["loc"]: r["lastmod"] for r in captures.urlset(spark.createDataFrame([(body,)], "body string")).collect()}
     assert got == {"https://a?x=1&lt;y": dt.datetime(2024, 2, 3), "https://b": None, "https://c": None}
+    coded = "<url><loc>https://d/caf&#233;&#38;lt;&#128512;&#9999999;&#55296;</loc></url>"
+    assert captures.urlset(spark.createDataFrame([(coded,)], "body string")).first()["loc"] == "https://d/café&lt;😀&#9999999;&#55296;"
 
 
 def test_outcomes(spark):
@@ -42,6 +44,23 @@ def test_jsonld(spark):
     assert (got[2]["name"], got[2]["price"], got[2]["availability"]) == ("A &amp; B", 2.0, "OutOfStock")
 
 
+@pytest.mark.parametrize(
+    ("offers", "price"),
+    [
+        ({"price": 12.345}, 12.345), ({"price": 1e7}, 1e7), ({"price": "1.299"}, 1299.0), ([{"price": ""}, {"price": "5"}], 5.0), ([{"price": "ask"}, {"priceSpecification": [{"price": "?"}, {"price": "7,5"}]}], 7.5),
+        ([{"priceSpecification": {"price": ""}}, {"price": 0}], 0.0), ([{"url": "u"}], None), ({"priceSpecification": {"price": 3}}, 3.0),
+    ],
+)
+def test_prices_of_offers(spark, offers, price):
+    node = {"@type": "Product", "name": "x", "image": ["i.png", "j.png"], "description": " d ", "offers": offers}
+    deep = node
+    for _ in range(6):
+        deep = {"@graph": [[deep]]}
+    pages = spark.createDataFrame([(1, f'<script type="application/ld+json">{json.dumps(deep)}</script>')], "id int, html string")
+    got = jsonld.products(pages, "id").first()
+    assert (got["price"], got["image"], got["description"]) == (price, "i.png", "d")
+
+
 def test_shop_payloads(spark):
     page = "x var impressionData = {\"impressions\": [{\"id\": \"1\", \"name\": \"a } b\", \"price\": \"2\"}]}; y"
     rows = spark.createDataFrame([(1, page), (2, "no payload"), (3, 'impressionData = {"impressions": []}')], "id int, body string")
@@ -49,7 +68,9 @@ def test_shop_payloads(spark):
     assert got == {1: (False, 1), 2: (True, 0), 3: (False, 0)}
     leaflet = {"cycles": [{"categories": [{"displayName": "Milch", "offers": [{"klNr": "1", "title": "Zuzu", "subtitle": "Lapte", "detailTitle": "x", "detailDescription": "ZUZU\nmore"}, {"klNr": "2", "title": "A/B"}]}]}]}
     offers = captures.leaflet_offers(spark.createDataFrame([('a "offerData":' + json.dumps(leaflet) + ",b",)], "body string"))
-    named = products.leaflet_names(offers).collect()
+    again = captures.first_shelf(offers.unionByName(offers.withColumns({"shelf": F.lit("Blumen"), "place": F.array(F.lit(9), F.lit(0), F.lit(0))}).where("external_id = '2'")), "(?i)blumen")
+    assert [(r["external_id"], r["shelf"]) for r in again.collect()] == [("1", "Milch")]
+    named = products.leaflet_names(captures.first_shelf(offers)).collect()
     assert [(r["external_id"], r["name"], r["brand"]) for r in named] == [("1", "Lapte", "Zuzu")]
     state = json.dumps({"props": json.dumps({"page": {"objectID": "9", "name": "Brot", "currentPrice": {"priceValue": 1.5}}})})
     got = captures.page_state_products(spark.createDataFrame([("u", f'<script id="__NEXT_DATA__" type="x">{state}</script>'), ("v", "none")], "url string, body string"), "url").collect()

@@ -68,12 +68,14 @@ def test_bundles(spark):
 
 
 def test_jobs(spark):
-    rows = spark.createDataFrame([("s", "Fructe & legume", "MERE 2 kg", "IDARED", None, "//x/p/40063813339311", "3,5", "InStock")], "retailer string, shelf string, name string, brand string, gtin string, product_url string, price string, availability string")
+    rows = spark.createDataFrame([("s", "Fructe & legume", "MERE 2 KG", "IDARED", None, "//x/p/40063813339311", "3,5", "InStock")], "retailer string, shelf string, name string, brand string, gtin string, product_url string, price string, availability string")
     out = products.with_keys(products.with_size(products.with_clean_fields(rows, r"/p/(\d+)$", "2")))
     rules = spark.createDataFrame([("s", 1, "lapte", "dairy"), ("s", 2, "fructe|legume", "produce")], "retailer string, ord int, pattern string, category string")
     r = products.with_flags(products.with_category(out, rules)).first()
     assert (r["name"], r["brand"], r["external_id"], r["price"], r["category"], r["available"]) == ("Mere 2 kg", "Idared", "40063813339311", 3.5, "produce", True)
     assert r["merge_key"] == "idared|mere|g:2000"
+    mixed = products.with_clean_fields(rows.withColumns({"name": F.lit("MERE 2 kg"), "price": F.lit(12345678.5)})).first()
+    assert (mixed["name"], mixed["price"]) == ("MERE 2 kg", 12345678.5)  # not all capitals; a number is no text
 
 
 def test_word_similarity():
