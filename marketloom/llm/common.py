@@ -31,8 +31,9 @@ class Memo(dict):
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
-        got = self.older.get(key)
-        self[key] = got = self.make(key) if got is None else got
+        if (got := self.older.get(key)) is None:
+            got = self.make(key)
+        self[key] = got
         return got
 
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -42,8 +43,9 @@ class WordEncoder:
 
     PLAIN = regex.compile(r"[!-~\u00a1-\u00ac\u00ae-\u024f\u2013-\u2026]+")
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+    SIGNS = b".,;:!?)"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int = MEMO_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,19 +54,23 @@ class WordEncoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
-        self.words, self.parts = Memo(self._word, 2 * MEMO_WORDS), Memo(self._part)
+        self.words, self.parts = Memo(self._word, 2 * memory), Memo(self._part, memory)
 
     @classmethod
-    def of(cls, path: str) -> WordEncoder:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+    def of(cls, path: str, memory: int = MEMO_WORDS) -> WordEncoder:
+        if (path, memory) not in _ENCODERS:
+            _ENCODERS[path, memory] = cls(path, memory)
+        return _ENCODERS[path, memory]
 
     def _part(self, part: str) -> bytes:
-        tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-        return np.array([t.id for t in tokens], "<u2").tobytes()
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return array("H", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
     def _word(self, word: bytes) -> bytes:
+        if word.isalpha():  # ASCII letters are one part, with a sign after them two
+            return self.parts[word.lower().decode()]
+        if word[:-1].isalpha() and word[-1:] in self.SIGNS:
+            return self.parts[word[:-1].lower().decode()] + self.parts[chr(word[-1])]
         text = word.decode("utf-8", "replace")
         if "<|" in text or not self.PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
@@ -168,16 +174,18 @@ def pack_block(docs: list[tuple], first_id: int) -> tuple[list[tuple], int]:
     return rows, sequence
 
 
-def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, memory: int = MEMO_WORDS) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every document ends with END_ID, so that a null or empty text is one piece of one token. Equal rows are packed as
-    documents of their own; a null doc_id is kept as null; an empty table gives no rows.
+    documents of their own; a null doc_id is kept as null; an empty table gives no rows. A very long text is encoded as
+    one array of its ids and cut into windows like any other. Columns other than doc_id and text are not looked at,
+    whatever their names. memory: words that a worker remembers, twice over; it bounds memory and changes no result.
     """
     tuned(docs.sparkSession)
 
     def run(batches):
-        encoder = WordEncoder.of(tokenizer_path)
+        encoder = WordEncoder.of(tokenizer_path, memory)
         block, tokens, sequence = [], 0, TaskContext.get().partitionId() << 40
 
         def flushed():

@@ -47,7 +47,7 @@ def op9_embedding_dedup(spark, sf_dir):
 
 
 def op10_packing(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), memory=300_000)
 
 
 QUERIES = {
