@@ -169,8 +169,8 @@ def upsert_listings(spark, d):
     from marketloom import schema
 
     first, later = rows.where("nth = 1"), rows.where("nth > 1")
-    before = written(match.upsert(match.observed(first, accepted(first), empty := _empty(spark, schema.LISTING)), empty, "all", "2024-01-01 00:00:00"))
-    after = match.upsert(match.observed(later, accepted(later), before), before, "all", "2024-01-02 00:00:00")
+    before = written(match.upsert(match.observed(first.drop("product_id"), accepted(first), empty := _empty(spark, schema.LISTING)), empty, "all", "2024-01-01 00:00:00"))
+    after = match.upsert(match.observed(later.drop("product_id"), accepted(later), before), before, "all", "2024-01-02 00:00:00")
     return after.select("external_id", F.col("price").cast("double").alias("price"), "available", F.col("previous_price").cast("double").alias("previous_price"), "first_seen_at", "last_seen_at", "last_price_at")
 
 
@@ -179,7 +179,7 @@ def price_changes(spark, d):
     rows, accepted = _seen(spark, d)
     from marketloom import schema
 
-    seen = match.observed(rows, accepted(rows), _empty(spark, schema.LISTING)).where("left is not null")
+    seen = match.observed(rows.drop("product_id"), accepted(rows), _empty(spark, schema.LISTING)).where("left is not null")
     return seen.join(rows.select("ordinal", F.col("nth").cast("long").alias("nth")), "ordinal").select("external_id", "nth", F.col("left.price").cast("double").alias("previous_price"), F.col("now.price").cast("double").alias("price"))
 
 

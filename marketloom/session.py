@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -26,9 +27,12 @@ def local_session(cores: int = 8, memory: str = "8g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a folder of our own only where that is unset, as in tests."""
+    """spark.checkpoint.dir; a folder of our own only where that is unset and the master is local, as in tests: executors
+    of a cluster don't see each other's folders."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="marketloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -42,6 +46,16 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes the files of tables that written() made and nothing reads any more, views of them included."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if "/marketloom/" in folder:
+                where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 _SHIPPED: set[str] = set()
 
 
