@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.session import shared_folder, written  # noqa: F401
+from marketloom.session import discard, shared_folder, written  # noqa: F401
 
 #: Rows in an Arrow batch. Texts run to 100 kB and more, so that a batch stays far below an executor's memory.
 BATCH_ROWS = 512
@@ -55,6 +55,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def aside(docs: DataFrame, *kept: str):
+    """docs with all columns but kept under names that no operator uses, and a function that gives a result the columns
+    of docs back, in their order."""
+    names = {c: f"own_{i}" for i, c in enumerate(docs.columns) if c not in kept}
+    return docs.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in docs.columns]), lambda df: df.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
+
+
 def blobs(column) -> list[bytes]:
     """UTF-8 bytes of an Arrow string column; null is empty."""
     import pyarrow as pa
@@ -92,22 +99,23 @@ def components(edges: DataFrame) -> DataFrame:
     pair = lambda a, b: edges_from.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     edges_from = edges.where("a <> b")
     now = written(pair("a", "b").distinct())
-    seen = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = written(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
         least = written(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a")
-        now = written(
+        before, now = now, written(
             small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(least.select("a", F.col("m").alias("b")))
             .where("a <> b").distinct()
         )
-        sums = now.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.max("a")).first()
-        if sums == seen:
+        # Stars: no node that others hang on hangs on another one itself, and none hangs on two.
+        many = now.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
+        hanging = now.select(F.col("b").alias("a")).distinct().join(now.select("a"), "a", "left_semi")
+        discard(before, low, large, least)
+        if many.select("a").unionByName(hanging.select("a")).isEmpty():
             break
-        seen = sums
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
