@@ -34,8 +34,13 @@ def op6_lm_scoring(spark, sf_dir):
     return lmscore.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: A passage of op7's further columns: bytes, bytes of its first name, words.
+PASSAGE = (240, 64, 50)
+
+
 def op7_suffix(spark, sf_dir):
-    return suffix.cut(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = suffix.cut(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=PASSAGE)
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "n_passage_bytes")
 
 
 def op8_token_counts(spark, sf_dir):

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, give_back, tuned, written
+from .common import blobs, discard, give_back, tuned, written
 
 LENGTH, GRAM, BLOCK = 400, 100, 20
 #: Bytes that are hashed at once; longer texts are cut, with LENGTH - 1 bytes of overlap.
@@ -86,7 +86,7 @@ def _name(data: bytes, seed: int = 0) -> tuple[int, int]:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Rows that share d and th have the same text and so the same result."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("d"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
@@ -172,7 +172,9 @@ def _refined(docs: DataFrame, reps: DataFrame, length: int) -> DataFrame:
     last = written(last)
     repeated = written(last.groupBy("w1", "w2").agg(F.count("*").alias("n"), F.max("still").alias("some")).where("n > 1 and some").select("w1", "w2"))
     single = last.where("still").join(repeated, ["w1", "w2"]).select("d", "th", F.col("s").alias("s"), (F.col("s") + length).alias("e"))
-    return decided.select("d", "th", (F.col("a") - F.col("c1")).alias("s"), (F.col("a") - F.col("c0") + length).alias("e")).unionByName(single)
+    found = written(decided.select("d", "th", (F.col("a") - F.col("c1")).alias("s"), (F.col("a") - F.col("c0") + length).alias("e")).unionByName(single))
+    discard(held, named, extents, cores, last, repeated)
+    return found
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -182,15 +184,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     mixed = (F.min("u1") != F.max("u1")) | (F.min("u2") != F.max("u2"))
     grams = written(every.groupBy("g").agg(F.count("*").alias("n"), mixed.alias("mixed")).where("n > 1").select("g", "mixed"))
     shared = written(every.join(grams, "g"))
+    discard(every, grams)
     whole = lambda df: df.select("d", "th", (F.col("a") - F.col("hi")).alias("s"), (F.col("a") - F.col("lo") + length).alias("e"))
     unlike = shared.where("mixed")
     alike = written(
         unlike.groupBy("u1", "u2").agg(F.count("*").alias("n"), F.min(F.struct("d", "th", "a", "lo", "hi")).alias("x")).select("u1", "u2", "x.*", (F.col("n") == 1).alias("open"))
     )
     copies = unlike.join(alike.where("not open").select("u1", "u2"), ["u1", "u2"])
-    found = whole(shared.where("not mixed")).unionByName(whole(copies)).unionByName(_refined(docs, alike, length))
+    refined = _refined(docs, alike, length)
+    found = whole(shared.where("not mixed")).unionByName(whole(copies)).unionByName(refined)
     packed = F.shiftleft(F.col("s").cast("long"), 32).bitwiseOR(F.col("e").cast("long"))
-    return written(found.groupBy("d", "th").agg(F.collect_set(packed).alias("spans")))
+    spans = written(found.groupBy("d", "th").agg(F.collect_set(packed).alias("spans")))
+    discard(shared, alike, refined)
+    return spans
 
 
 def _merged(packed) -> list[tuple[int, int]]:
@@ -204,37 +210,77 @@ def _merged(packed) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def _within(docs: DataFrame, spans: DataFrame, length: int, gram: int) -> DataFrame:
+    """The repeated spans of length bytes, looked for within spans, the repeated ones of fewer bytes.
+
+    A repeated string's own parts repeat, so that it lies within a run of them, and so does each of its other places.
+    """
+
+    def regions(batches):
+        for b in batches:
+            rows = []
+            for d, th, text, packed in zip(b.column("d").to_pylist(), b.column("th").to_pylist(), blobs(b.column("text")), b.column("spans").to_pylist()):
+                rows += [(d, th, s, text[s:e]) for s, e in _merged(packed) if e - s >= length]
+            yield _batch(rows, ["doc_id", "th", "at", "text"], [pa.int64(), pa.int64(), pa.int32(), pa.binary()])
+
+    cut_out = written(_keyed(docs).join(spans, ["d", "th"]).mapInArrow(regions, "doc_id long, th long, at int, text binary"))
+    found = repeated_spans(cut_out, length, gram).withColumnRenamed("th", "region")
+    placed = cut_out.select(F.col("doc_id").alias("d"), "th", "at", F.xxhash64("text").alias("region")).join(found, ["d", "region"])
+    shift = F.col("at").cast("long")
+    moved = placed.select("d", "th", F.explode(F.transform("spans", lambda x: x + F.shiftleft(shift, 32) + shift)).alias("x"))
+    spans = written(moved.groupBy("d", "th").agg(F.collect_set("x").alias("spans")))
+    discard(cut_out, found)
+    return spans
+
+
+#: Added by cut, and with a passage.
+ADDED, PASSAGES = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"], ["n_passages", "n_passage_bytes"]
+
+
+def cut(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: int = 0, passage: tuple[int, int, int] | None = None) -> DataFrame:
     """All columns of docs, and n_bytes, n_removed, n_spans, kept_sha256, kept (the bytes left of the text).
 
-    A null text counts as empty; texts under length bytes stay whole; two equal rows remove each other's repeats, as any
-    two documents do; an empty table gives no rows; other columns go through, those named like an added one are dropped.
+    With words, a run of repeated bytes goes only if it holds at least so many words (split at white space; one that the
+    run's end cuts counts). passage (bytes under length, gram, words) adds n_passages and n_passage_bytes: the runs of
+    repeated strings of so many bytes that hold so many words, which are counted and not removed. A null text counts as
+    empty; texts under length bytes stay whole, very long ones are hashed in parts that overlap; two equal rows remove
+    each other's repeats, as any two documents do; an empty table gives no rows; other columns go through, those named
+    like an added one are dropped.
     """
-    ours = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
-    spans = repeated_spans(docs, length, gram)
-    base = docs.select([c for c in docs.columns if c not in (*ours, "__d", "__th", "__spans")])
-    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("__d"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("__th")]
-    named = spans.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    joined = base.select("*", *keys).join(named, ["__d", "__th"], "left").drop("__d", "__th")
+    ours, types = [*ADDED, *PASSAGES] if passage else ADDED, [pa.int64()] * 3 + [pa.string(), pa.binary()] + [pa.int64()] * 2 * bool(passage)
+    named = lambda spans, name: spans.select(F.col("d").alias("__d"), F.col("th").alias("__th"), F.col("spans").alias(name))
+    if passage:
+        shorter = repeated_spans(docs, *passage[:2])
+        spans = named(_within(docs, shorter, length, gram), "__spans").join(named(shorter, "__shorter"), ["__d", "__th"], "right")
+    else:
+        spans = named(repeated_spans(docs, length, gram), "__spans")
+    base = docs.select([c for c in docs.columns if c not in (*ours, "__d", "__th", "__spans", "__shorter")])
+    keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("__d"), F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))).alias("__th")]
+    joined = base.select("*", *keys).join(spans, ["__d", "__th"], "left").drop("__d", "__th")
     schema = base.schema
 
     def run(batches):
         for b in batches:
-            rows = []
-            for text, packed in zip(blobs(b.column("text")), b.column("__spans").to_pylist()):
-                ranges = _merged(packed or ())
+            rows, none = [], [None] * b.num_rows
+            shorter = b.column("__shorter").to_pylist() if passage else none
+            for text, packed, some in zip(blobs(b.column("text")), b.column("__spans").to_pylist(), shorter):
+                ranges = [(s, e) for s, e in _merged(packed or ()) if not words or len(text[s:e].split()) >= words]
                 at, kept = 0, []
                 for s, e in ranges:
                     kept.append(text[at:s])
                     at = e
                 kept = b"".join([*kept, text[at:]])
                 rows.append((len(text), len(text) - len(kept), len(ranges), hashlib.sha256(kept).hexdigest(), kept))
-            own = _batch(rows, ours, [pa.int64()] * 3 + [pa.string(), pa.binary()])
+                if passage:
+                    sizes = [e - s for s, e in _merged(some or ()) if len(text[s:e].split()) >= passage[2]]
+                    rows[-1] += (len(sizes), sum(sizes))
+            own = _batch(rows, ours, types)
             cols = [b.column(c) for c in schema.names] + own.columns
             yield pa.record_batch(cols, names=[*schema.names, *ours])
 
-    out = joined.schema
-    kept_schema = type(schema)([f for f in out.fields if f.name != "__spans"]).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept", "binary")
+    kept_schema = type(schema)(list(schema.fields)).add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("kept", "binary")
+    for name in PASSAGES if passage else ():
+        kept_schema = kept_schema.add(name, "long")
     return joined.mapInArrow(run, kept_schema)
 
 
