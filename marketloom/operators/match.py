@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import text
+from marketloom.operators import graph
 from marketloom.session import written
 
 
@@ -47,8 +48,7 @@ def _clean(rows: DataFrame) -> DataFrame:
 
 
 def components(rows: DataFrame, products: DataFrame, identifiers: DataFrame, listings: DataFrame) -> DataFrame:
-    """(ordinal, component): rows of one component can depend on each other. Smallest ordinals spread over shared keys
-    until nothing changes; each round is written, so that the lineage stays short."""
+    """(ordinal, component): rows of one component can depend on each other, through keys that they share."""
     known = rows.select("external_id").distinct().join(listings.select("external_id", "product_id"), "external_id")
     barred = rows.where("gtin is not null").select("gtin").distinct().join(identifiers.select(F.col("identifier_value").alias("gtin"), "product_id"), "gtin")
     name_of = products.select("product_id", F.split_part("merge_key", F.lit("|"), F.lit(2)).alias("key_name"))
@@ -65,15 +65,10 @@ def components(rows: DataFrame, products: DataFrame, identifiers: DataFrame, lis
         .where("key is not null").distinct()
     )
     links = written(links)
-    label = links.select("ordinal").distinct().withColumn("component", F.col("ordinal"))
-    before = None
-    while True:
-        by_key = written(links.join(label, "ordinal").groupBy("key").agg(F.min("component").alias("component")))
-        label = written(links.join(by_key, "key").groupBy("ordinal").agg(F.min("component").alias("component")))
-        total = label.agg(F.sum("component")).first()[0]
-        if total == before:
-            return label
-        before = total
+    # Each row hangs on the first one of each of its keys.
+    first = links.groupBy("key").agg(F.min("ordinal").alias("first"))
+    joined = graph.components(links.join(first, "key").select(F.col("ordinal").alias("a"), F.col("first").alias("b")))
+    return links.select("ordinal").distinct().join(joined.withColumnRenamed("node", "ordinal"), "ordinal", "left").withColumn("component", F.coalesce("component", "ordinal"))
 
 
 def _replayed(retailer: str):
