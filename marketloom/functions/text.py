@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from marketloom.schema import SIZE
 
 # Letters and signs that stand for several, and letters that don't decompose.
-EXPANSIONS = {"ß": "ss", "ẞ": "SS", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "½": "1/2", "¼": "1/4", "¾": "3/4", "®": "(r)", "©": "(c)", "™": "(tm)", "×": "*", "÷": "/", "…": "...", "№": "No"}
-SINGLES = {"đ": "d", "Đ": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ı": "i", "ð": "d", "Ð": "D", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-"}
+EXPANSIONS = {
+    "ß": "ss", "ẞ": "SS", "œ": "oe", "Œ": "OE", "æ": "ae", "Æ": "AE", "½": "1/2", "¼": "1/4", "¾": "3/4", "®": "(r)", "©": "(c)", "™": "(tm)", "×": "*", "÷": "/", "…": "...", "№": "No",
+    "Þ": "TH", "þ": "th", "«": "<<", "»": ">>", "±": "+/-", "¡": "!", "¿": "?", "„": ",,", "‚": ",", "‹": "<", "›": ">", "Ĳ": "IJ", "ĳ": "ij", "ŉ": "'n", "⅓": "1/3", "⅔": "2/3", "⅛": "1/8", "℃": "°C", "ℓ": "l",
+}
+SINGLES = {"đ": "d", "Đ": "D", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ı": "i", "ð": "d", "Ð": "D", "ŋ": "n", "Ŋ": "N", "ſ": "s", "ĸ": "q", "ƒ": "f", "ŀ": "l", "Ŀ": "L", "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-"}
 # Words for units, and what makes a key.
 UNIT_WORDS = {
     "kg": ("kg", 1), "kilograme": ("kg", 1), "kilogram": ("kg", 1), "g": ("g", 1), "gr": ("g", 1), "grame": ("g", 1), "mg": ("g", 0.001),

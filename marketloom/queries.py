@@ -16,7 +16,7 @@ from marketloom.streaming import catalog as streams
 _FOLD = "trim(regexp_replace(lower(strip_accents({})), '\\s+', ' ', 'g'))"
 _SPELLED = "text"
 for _sign, _word in text.EXPANSIONS.items():
-    _SPELLED = f"replace({_SPELLED}, '{_sign}', '{_word}')"
+    _SPELLED = f"replace({_SPELLED}, '{_sign}', '{_word.replace(chr(39), chr(39) * 2)}')"
 _FOLDED = _FOLD.format(_SPELLED)
 _KEYED = f"trim(regexp_replace({_FOLDED}, '[^a-z0-9%]+', ' ', 'g'))"
 

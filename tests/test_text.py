@@ -12,6 +12,7 @@ FOLDS = [
     ("Apă Plată", "apa plata", "apa plata"), ("Șuncă Țărănească", "sunca taraneasca", "sunca taraneasca"), ("ÎNGHEȚATĂ", "inghetata", "inghetata"), ("Ţigări", "tigari", "tigari"), ("Müsli Bär", "musli bar", "musli bar"),
     ("Nestlé® Cocoa", "nestle(r) cocoa", "nestle r cocoa"), ("Straße", "strasse", "strasse"), ("œuf", "oeuf", "oeuf"), ("Đakovo", "dakovo", "dakovo"), ("Æther", "aether", "aether"), ("½ litru", "1/2 litru", "1 2 litru"),
     ("Coca-Cola   Zero", "coca-cola zero", "coca cola zero"), ("  spaced  out  ", "spaced out", "spaced out"), ("Lapte 3,5%", "lapte 3,5%", "lapte 3 5%"), ("A/B test", "a/b test", "a b test"), ("Ciocolată 2 × 100 g", "ciocolata 2 * 100 g", "ciocolata 2 100 g"),
+    ("Þór «x» ±1 ⅓ ŋ", "thor <<x>> +/-1 1/3 n", "thor x 1 1 3 n"),
     ("L'Or Espresso", "l'or espresso", "l or espresso"), (None, "", ""), ("", "", ""),
 ]
 
