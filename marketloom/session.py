@@ -38,11 +38,16 @@ def shared_folder(spark: SparkSession) -> str:
     return where
 
 
+#: Folders that written() has made: nothing else is ever deleted.
+_MADE: set[str] = set()
+
+
 def written(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder: cuts the lineage, and a lost executor loses nothing of it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}"
+    spark, name = df.sparkSession, uuid.uuid4().hex
+    path = f"{shared_folder(spark)}/marketloom/{name}"
     df.write.parquet(path)
+    _MADE.add(name)
     return spark.read.parquet(path)
 
 
@@ -51,9 +56,10 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         spark = df.sparkSession
         for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            if "/marketloom/" in folder:
+            if (name := folder.rpartition("/")[2]) in _MADE:
+                where = spark._jvm.org.apache.hadoop.fs.Path(folder)
                 where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+                _MADE.discard(name)
 
 
 _SHIPPED: set[str] = set()
