@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import tuned
 
 SPACE = "▁"
-#: Chunks that a worker remembers; longest chunk, in characters, that is encoded as a matrix row.
-MEMO_CHUNKS, ROW = 500_000, 48
+#: Chunks that a worker remembers; longest chunk, in characters, that is encoded as a matrix row, and that is remembered.
+MEMO_CHUNKS, ROW, LONGEST = 500_000, 48, 1024
 
 _CODECS: dict = {}
 
@@ -178,7 +178,11 @@ class Codec:
         memo.update((c, older[c]) for c in new if c in older)
         self.learn([c for c in new if c not in memo])
         bos, eos = (np.array([i], "<u2").tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
-        return [np.frombuffer(b"".join([bos, *map(memo.__getitem__, chunks), eos]), "<u2") for chunks in split]
+        out = [np.frombuffer(b"".join([bos, *map(memo.__getitem__, chunks), eos]), "<u2") for chunks in split]
+        for c in new:
+            if len(c) > LONGEST:
+                del memo[c]
+        return out
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the space that encoding puts first is taken off."""
@@ -192,7 +196,9 @@ def encode_decode(docs: DataFrame, model_path: str, check: bool = True) -> DataF
     """doc_id, n_tokens, ids_sha256, decoded_sha256, ids (binary, 32-bit little-endian), decoded: a row for each row.
 
     A null text counts as empty (begin and end only). With check, a batch that differs from the sentencepiece library in
-    any id or any decoded character raises an error. Equal rows give equal results; an empty table gives no rows.
+    any id or any decoded character raises an error. Equal rows give equal results; an empty table gives no rows. A very
+    long text is encoded whole; a long run without a space is one chunk, encoded through a heap and not remembered. Other
+    columns are not looked at, whatever their names.
     """
     tuned(docs.sparkSession)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"]
