@@ -35,7 +35,7 @@ def _exact(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def threshold_search(ids: np.ndarray, c: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int):
-    """Yields (place of the query, ids, scores) of its k best rows of c, rows with the query's own id left out."""
+    """Yields (place of the query, ids, scores, rows scored) of its k best rows of c, rows with the query's own id left out."""
     m, d = c.shape
     order = np.argsort(c, axis=0, kind="stable") if c.dtype != object else np.array([sorted(range(m), key=lambda i: c[i, j]) for j in range(d)]).T
     lists = np.take_along_axis(c, order, axis=0)
@@ -64,7 +64,7 @@ def threshold_search(ids: np.ndarray, c: np.ndarray, query_ids: np.ndarray, q: n
         t, pos, neg = int(need[i]), np.flatnonzero(q[i] > 0), np.flatnonzero(q[i] < 0)
         rows = np.unique(np.concatenate([order[m - t :, pos].ravel(), order[:t, neg].ravel(), read]))
         rows = rows[ids[rows] != query_ids[i]]
-        yield (i, *_top(ids[rows], c[rows] @ q[i], k))
+        yield (i, *_top(ids[rows], c[rows] @ q[i], k), len(rows))
     whole = np.flatnonzero(whole)
     for j in range(0, len(whole), ROWS):
         part = whole[j : j + ROWS]
@@ -76,7 +76,7 @@ def threshold_search(ids: np.ndarray, c: np.ndarray, query_ids: np.ndarray, q: n
             picks = [np.arange(m)] * len(part)
         for i, s, rows in zip(part.tolist(), scores, picks):
             rows = rows[ids[rows] != query_ids[i]]
-            yield (i, *_top(ids[rows], s[rows], k))
+            yield (i, *_top(ids[rows], s[rows], k), m)
 
 
 def _top(ids: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +117,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64)
         if asks.any() and not asks.all():
             c, q = _exact(x[~asks], x[asks])
             query_ids = ids[asks]
-            for i, found, score in threshold_search(ids[~asks], c, query_ids, q, k):
+            for i, found, score, _ in threshold_search(ids[~asks], c, query_ids, q, k):
                 out[0].append(np.full(len(found), query_ids[i]))
                 out[1].append(found)
                 out[2].append(np.array([min(max(int(s), long[0]), long[1]) for s in score.tolist()], np.int64))
