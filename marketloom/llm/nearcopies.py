@@ -4,6 +4,7 @@ Texts with the same set of shingles are one class. Bands of min-hashes bring cla
 shares a bucket is compared exactly, unless the two are joined already by other pairs. A bucket's classes are first
 compared with one of them, later with some of each component that it still holds, so that a large group of copies costs a
 comparison for each member and not one for each pair.
+Texts whose numbers of shingles differ too much to be near copies are no pair.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blobs, components, give_back, tuned, written
+from .common import blobs, components, discard, give_back, written
 
 #: Words of a shingle; similarity from which texts are near copies. At 0.8 a pair misses all buckets once in 2800 times.
 SHINGLE, SIMILAR = 5, 0.8
@@ -38,8 +39,8 @@ def similarity(a: set[bytes], b: set[bytes]) -> float:
     return both / (len(a) + len(b) - both) if a or b else 1.0
 
 
-def signature(text: bytes) -> tuple[int, list[int]]:
-    """Name of the set of shingles, and a bucket for each band."""
+def signature(text: bytes, fingerprint) -> tuple[int, list[int], int, int]:
+    """Name of the set of shingles, a bucket for each band, the fingerprint of the shingles' hashes, and their number."""
     digest = xxhash.xxh64_intdigest
     grams = shingles(text)
     h = np.sort(np.fromiter((digest(g, SEED) for g in grams), np.uint64, len(grams)))
@@ -47,19 +48,20 @@ def signature(text: bytes) -> tuple[int, list[int]]:
     for i in range(0, len(h), 4096):
         low = np.minimum(low, (h[i : i + 4096, None] * _TIMES + _PLUS).min(axis=0))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    return signed(digest(h.tobytes(), SEED)), [signed(digest(row.tobytes(), k)) for k, row in enumerate(low.reshape(BANDS, DEPTH))]
+    buckets = [signed(digest(row.tobytes(), k)) for k, row in enumerate(low.reshape(BANDS, DEPTH))]
+    return signed(digest(h.tobytes(), SEED)), buckets, signed(fingerprint(h)), len(h)
 
 
-def _signed(docs: DataFrame) -> DataFrame:
-    """docs with row (its own number), cls and buckets."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    schema = rows.withColumns({"_cls": F.lit(0).cast("long"), "_buckets": F.array(F.lit(0).cast("long"))}).schema
+def signed(docs: DataFrame, fingerprint) -> DataFrame:
+    """docs with __row (its own number), __cls, __buckets, __fp and __size; fingerprint: a function of an array of hashes."""
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    schema = rows.withColumns({"__cls": F.lit(0).cast("long"), "__buckets": F.array(F.lit(0).cast("long")), "__fp": F.lit(0).cast("long"), "__size": F.lit(0).cast("long")}).schema
 
     def run(batches):
         for b in batches:
-            found = [signature(x) for x in blobs(b.column("text"))]
-            added = pa.array([c for c, _ in found], pa.int64()), pa.array([k for _, k in found], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, "_cls", "_buckets"])
+            found = list(zip(*[signature(x, fingerprint) for x in blobs(b.column("text"))])) or [(), (), (), ()]
+            added = [pa.array(c, t) for c, t in zip(found, (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, *added], [*b.schema.names, "__cls", "__buckets", "__fp", "__size"])
         give_back()
 
     return rows.mapInArrow(run, schema)
@@ -77,49 +79,44 @@ def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _joined(classes: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """(node, component) of the classes (cls, buckets) that have a near copy; None if there is no pair to compare."""
-    members = classes.select("cls", F.explode("buckets").alias("bucket"))
-    shared = written(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
-    left = written(members.join(shared, "bucket"))
-    tested = edges = named = None
-    leaders = 1
+def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> DataFrame:
+    """(node, component) of the classes (cls, buckets, size: shingles) that have a near copy. first_pairs (a, b): compared
+    before others."""
+    members = classes.select("cls", "size", F.explode("buckets").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    left = written(members.join(shared, "bucket").select("bucket", "cls", "size"))
+    tested = written(first_pairs.distinct())
+    found = written(_near(tested, texts))
+    named = written(components(found))
+    leaders, again = 1, False
     while True:
-        now = left.withColumn("component", F.col("cls"))
-        if named is not None:
-            now = left.join(named.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        now = written(now)
+        now = written(left.join(named.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
         mixed = written(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"))
-        now = written(now.join(mixed, "bucket"))
+        before, now = now, written(now.join(mixed, "bucket"))
+        discard(before, mixed, left)
         if now.isEmpty():
             return named
-        order = Window.partitionBy("bucket", *([] if tested is None else ["component"])).orderBy("cls")
-        first = written(now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders).select("bucket", F.col("cls").alias("lead"), F.col("component").alias("of")))
-        pairs = now.join(first, "bucket").where("component <> of").select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
-        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        order = Window.partitionBy("bucket", *(["component"] if again else [])).orderBy("cls")
+        lead = written(now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders).select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("component").alias("of")))
+        fits = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size") - 1e-9  # else even one set within the other is too unlike
+        pairs = now.join(lead, "bucket").where((F.col("component") != F.col("of")) & fits).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
         found = written(_near(pairs, texts))
-        edges = found if edges is None else edges.unionByName(found)
-        leaders = leaders if tested is None else 2 * leaders
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        named = written(components(edges))
+        tested = tested.unionByName(pairs)
+        # What is joined already is a star for each component, so that few steps add what is new.
+        stars = named.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        old, named = named, written(components(stars.unionByName(found)))
         # A leader has been compared with all of its bucket that it is not joined to.
-        left = now.select("bucket", "cls").join(first.select("bucket", F.col("lead").alias("cls")), ["bucket", "cls"], "left_anti")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each group of near copies, the one with the smallest doc_id, of equal ids the one whose text has the smallest digest.
-
-    Rows are chosen by themselves and not by doc_id: a null doc_id, or one that other texts have too, is no reason to
-    go; null ids come last. Null and empty texts are copies of each other. An empty table gives no rows.
-    """
-    tuned(docs.sparkSession)
-    rows = written(_signed(docs))
-    classes = written(rows.groupBy("_cls").agg(F.min("_row").alias("row"), F.min("_buckets").alias("buckets")).withColumnRenamed("_cls", "cls"))
-    texts = rows.join(classes.select(F.col("row").alias("_row")), "_row", "left_semi").select(F.col("_cls").alias("cls"), "text")
-    named = _joined(classes.select("cls", "buckets"), texts)
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("digest"), "_row")
-    least = written(rows.groupBy("_cls").agg(F.min(key).alias("best")))
-    if named is not None:
-        least = least.join(named.withColumnRenamed("node", "_cls"), "_cls", "left").groupBy(F.coalesce("component", "_cls").alias("group")).agg(F.min("best").alias("best"))
-    chosen = written(least.select(F.col("best._row").alias("_row")))
-    return rows.join(chosen, "_row", "left_semi").select(docs.columns)
+        left = now.select("bucket", "cls", "size").join(lead.select("bucket", F.col("lead").alias("cls")), ["bucket", "cls"], "left_anti")
+        left = written(left)
+        discard(now, lead, old, found)
+        leaders, again = 2 * leaders if again else 1, True
+
+
+def chosen(docs: DataFrame, rows: DataFrame, named: DataFrame, done: tuple[DataFrame, ...]) -> DataFrame:
+    """Of rows (signed) the best one of each component of named. done: tables that nothing else reads any more."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2("text", 256).alias("digest"), "__row")
+    least = rows.groupBy("__cls").agg(F.min(key).alias("best")).join(named.withColumnRenamed("node", "__cls"), "__cls", "left")
+    best = written(least.groupBy(F.coalesce("component", "__cls").alias("group")).agg(F.min("best").alias("best")).select(F.col("best.__row").alias("__row")))
+    discard(named, *done)
+    return rows.join(best, "__row", "left_semi").select(docs.columns)

@@ -16,7 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, components, give_back, local_components, tuned, written
+from . import nearcopies
+from .common import aside, blobs, components, give_back, local_components, tuned, written
 
 SEED, SHINGLE, RADIUS = 42, 3, 2
 #: Fingerprints in a range, at least (few large ranges: a fingerprint visits about 1 + b + b (b - 1) / 2 of 2 ** b ranges); ranges, at most (their top nodes go to every task: 16 bytes each); visitors in a task.
@@ -29,8 +30,13 @@ def fingerprint(text: bytes) -> int:
     if not words:
         return 0
     grams = map(b" ".join, zip(words, words[1:], words[2:])) if len(words) >= SHINGLE else [b" ".join(words)]
-    total, n, digest = np.zeros(64, np.int64), 0, xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(g, SEED) for g in grams), np.uint64)
+    digest = xxhash.xxh64_intdigest
+    return majority(np.fromiter((digest(g, SEED) for g in grams), np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
+    total, n = np.zeros(64, np.int64), 0
     for i in range(0, len(hashes), 1 << 14):
         part = hashes[i : i + (1 << 14)].astype(">u8").view(np.uint8).reshape(-1, 8)
         total += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
@@ -95,7 +101,7 @@ class GrayIndex:
             yield q + i, node
 
 
-def _links(fps: DataFrame, radius: int) -> DataFrame:
+def links(fps: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) between fingerprints (a spanning forest of each task's links). fps: distinct, column fp, written."""
     n = fps.count()
     size = max(RANGE_ROWS, math.ceil(n / RANGES))
@@ -162,7 +168,7 @@ def _links(fps: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One row for each document: doc_id, fingerprint (16 hex digits), component_id.
+    """One row for each document: doc_id, fingerprint (16 hex digits), component_id. Very long texts are hashed whole.
 
     Fingerprints that differ in at most radius bits are linked; component_id is the smallest doc_id reachable.
     Null and empty texts have fingerprint zero and link like any other; equal rows stay as they are, each with the same
@@ -170,8 +176,31 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     rows = written(fingerprints(docs))
     fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("head")))
-    joined = components(_links(fps, radius))
+    joined = components(links(fps, radius))
     heads = written(fps.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")))
     least = written(heads.groupBy("component").agg(F.min("head").alias("component_id")))
     named = heads.select("fp", "component").join(least, "component").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """One row of each group of near copies: five-word shingles, a Jaccard similarity of 0.8 or more.
+
+    Fingerprints of the shingles are linked through the index as in near_duplicates, and each link is confirmed by the
+    exact similarity of the two texts. Texts of a similarity of 0.8 differ in ten of 64 bits, which no such index reaches:
+    what is left over is brought together by min-hashes and confirmed alike (nearcopies). Of a group the row with the
+    smallest doc_id stays, of equal ids the one whose text has the smallest digest. Rows are chosen by themselves and not
+    by doc_id: a null doc_id, or one that other texts have too, is no reason to go; null ids come last. Null and empty
+    texts are copies of each other. An empty table gives no rows; all columns go through, whatever their names.
+    """
+    tuned(docs.sparkSession)
+    docs, back = aside(docs, "doc_id", "text")
+    rows = written(nearcopies.signed(docs, majority))
+    classes = written(rows.groupBy("__cls").agg(F.min("__row").alias("row"), F.min("__buckets").alias("buckets"), F.min("__fp").alias("fp"), F.min("__size").alias("size")).withColumnRenamed("__cls", "cls"))
+    texts = rows.join(classes.select(F.col("row").alias("__row")), "__row", "left_semi").select(F.col("__cls").alias("cls"), "text")
+    heads = written(classes.groupBy("fp").agg(F.min("cls").alias("head")))
+    alike = classes.join(heads, "fp").where("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b"))
+    head = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
+    linked = links(heads.select("fp"), radius).join(head("a"), "a").join(head("b"), "b").select(F.least("head_a", "head_b").alias("a"), F.greatest("head_a", "head_b").alias("b"))
+    named = nearcopies.joined(classes.select("cls", "buckets", "size"), texts, alike.unionByName(linked))
+    return back(nearcopies.chosen(docs, rows, named, (classes, heads)))
