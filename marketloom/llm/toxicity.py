@@ -17,11 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tuned
-
-#: Labelled documents used for training, at most: a sample by hash. Voters, at most; documents a voter must fire on.
-MAX_LABELLED, MAX_VOTERS, LEAST_DOCS = 20_000, 160, 4
-PREFIXES = range(3, 9)
+from .common import tuned, written
+
+#: Documents used for training, at most, with labels and without: samples by hash. Voters, at most; documents a voter must
+#: fire on; letters of the beginnings that vote; longest word that is looked at.
+MAX_LABELLED, MAX_UNLABELLED, MAX_VOTERS, LEAST_DOCS = 20_000, 10_000, 160, 4
+PREFIXES, LONGEST = range(3, 9), 64
+#: How often a label is taken to be right, at most: it is a strong voter among others, and not the truth.
+TRUST = 0.98
 #: Plain insults, as seed voters.
 SEED = (
     "idiot moron stupid scum trash loser worthless pathetic disgusting clown dumb imbecile jerk bastard vermin filth "
@@ -46,7 +49,7 @@ class _Memo(dict):
     def __missing__(self, word):
         if len(self) > 150_000:
             self.clear()
-        self[word] = got = tuple(self.place[f] for f in features_of(word) if f in self.place) if len(word) < 64 else ()
+        self[word] = got = tuple(self.place[f] for f in features_of(word) if f in self.place) if len(word) < LONGEST else ()
         return got
 
 
@@ -91,23 +94,30 @@ def _rows(x: np.ndarray, n: np.ndarray) -> np.ndarray:
 def label_model(votes: np.ndarray, gold: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior of toxic for each row, and each voter's rates of firing (on toxic, on other) and its share of a vote.
 
-    gold (0, 1) is one more voter, right nine times in ten to begin with. Voters whose votes stay correlated given the
-    label share one vote between them.
+    gold (0, 1, or -1 for a row without a label) is one more voter, whose rate of being right is estimated like the
+    others', up to TRUST. The correlations of the voters given the label are estimated from what the rates leave over:
+    a voter that others repeat counts once among them, by the sum of the squared correlations.
     """
-    trust, post = 0.9, np.where(gold == 1, 0.9, 0.1)
+    labelled = gold >= 0
+    trust = 0.9
+    # Rows without a label begin with what the voters say whose rates the labelled rows give.
+    post = np.where(gold == 1, 0.9, np.where(gold == 0, 0.1, 0.0))
+    fit = labelled.astype(float)
     share = np.ones(votes.shape[1])
     for k in range(rounds):
-        p = post.mean()
-        on = (post @ votes + 0.5) / (post.sum() + 1)
-        off = ((1 - post) @ votes + 0.5) / ((1 - post).sum() + 1)
-        if k == 3:  # once the rates are sensible
+        on_w, off_w = fit * post, fit * (1 - post)
+        p = float(np.clip(on_w.sum() / fit.sum(), 1e-4, 1 - 1e-4))
+        on = (on_w @ votes + 0.5) / (on_w.sum() + 1)
+        off = (off_w @ votes + 0.5) / (off_w.sum() + 1)
+        if k % 8 == 3:  # once the rates are sensible, and again as they change
             left = votes - np.outer(post, on).astype(votes.dtype) - np.outer(1 - post, off).astype(votes.dtype)
             sd = np.sqrt((left**2).mean(axis=0)) + 1e-9
-            share = 1 / np.maximum(1, (np.abs(left.T @ left) / len(votes) / np.outer(sd, sd) > 0.4).sum(axis=1))
+            share = 1 / ((left.T @ left / len(votes) / np.outer(sd, sd)) ** 2).sum(axis=1)
         lean = votes @ (share * np.log(on / off)) + (1 - votes) @ (share * np.log((1 - on) / (1 - off)))
-        lean += np.log(p / (1 - p)) + np.where(gold == 1, 1, -1) * np.log(trust / (1 - trust))
+        lean += np.log(p / (1 - p)) + np.where(labelled, np.where(gold == 1, 1, -1) * np.log(trust / (1 - trust)), 0)
         post = 1 / (1 + np.exp(-np.clip(lean, -30, 30)))
-        trust = float(np.clip(np.where(gold == 1, post, 1 - post).mean(), 0.6, 0.99))
+        fit = np.ones(len(gold))
+        trust = float(np.clip(np.where(gold == 1, post, 1 - post)[labelled].mean(), 0.6, TRUST))
     return post, np.stack([on, off]), share
 
 
@@ -133,20 +143,27 @@ def held_out(doc_id) -> F.Column:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learns from labels outside the held-out fold only. Without both classes among them the seed lexicon decides alone."""
+    """Learns from labels outside the held-out fold only, and from texts without labels, equally outside it. Without both
+    classes among the labels the seed lexicon decides alone."""
     tuned(docs.sparkSession)
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = min(1.0, MAX_LABELLED / max(1, usable.count()))
     chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    # The sample is bounded by MAX_LABELLED rows of two numbers, whatever the size of the tables.
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    # Both samples are bounded, whatever the size of the tables; of a doc_id that rows share the first text by digest counts.
+    hashed = lambda seed: F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30))
+    some = min(1.0, MAX_UNLABELLED / max(1, docs.count()))
+    drawn = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).join(F.broadcast(chosen), "doc_id", "left")
+    drawn = drawn.where(F.col("toxic").isNotNull() | (hashed(29) < int(some * (1 << 30))))
+    drawn = drawn.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text"), F.max(F.coalesce("toxic", F.lit(-1))).cast("int").alias("toxic"))
+    every = written(drawn.select("text", "toxic"))
+    sample = every.where("toxic >= 0")
 
     def mined(batches):
         seen, n = (Counter(), Counter()), [0, 0]
         for b in batches:
             for text, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 n[y] += 1
-                seen[y].update({f for w in set(_WORD.findall((text or "").lower())) if len(w) < 64 for f in features_of(w)})
+                seen[y].update({f for w in set(_WORD.findall((text or "").lower())) if len(w) < LONGEST for f in features_of(w)})
         names = [*(seen[0].keys() | seen[1].keys()), ""]
         yield pa.record_batch({"f": pa.array(names), "n1": pa.array([seen[1][f] for f in names[:-1]] + [n[1]], pa.int64()), "n0": pa.array([seen[0][f] for f in names[:-1]] + [n[0]], pa.int64())})
 
@@ -173,11 +190,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             got = [_counts(t or "", memo, len(voters)) for t in b.column("text").to_pylist()]
             yield pa.record_batch({"x": pa.array([x.tolist() for x, _ in got], pa.list_(pa.float32())), "n": pa.array([n for _, n in got], pa.int64()), "y": b.column("toxic")})
 
-    rows = sample.mapInArrow(counted, "x array<float>, n long, y int").toPandas()
+    rows = every.mapInArrow(counted, "x array<float>, n long, y int").toPandas()
     x, n, gold = np.stack(rows["x"]), rows["n"].to_numpy(), rows["y"].to_numpy()
     del rows
     post, _, _ = label_model((x > 0).astype(np.float32), gold)
-    weights, bias = _logistic(_rows(x, n), post)
+    # Texts without a label shape the rates; the classifier learns from the posteriors of those that have one.
+    own = gold >= 0
+    weights, bias = _logistic(_rows(x[own], n[own]), post[own])
     return Model(voters, weights, bias)
 
 
@@ -185,7 +204,9 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs.
 
     A null or empty text scores as a text without votes; a document labelled twice counts as toxic if either says so;
-    labels without a document, null labels and null ids are not learned from; equal rows get equal scores.
+    labels without a document, null labels and null ids are not learned from; equal rows get equal scores. Very long texts
+    are read whole, words of LONGEST letters and more cast no vote. Columns other than the id and the text are not looked
+    at, whatever their names; an empty table gives no rows, and without usable labels the seed lexicon scores.
     """
     model = train(docs, labels)
 
