@@ -144,6 +144,10 @@ def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r["doc_id"]: r["predicted"] for r in rows_of(toxicity.score(docs, none))} == {1: 1, 2: 0, 3: 0}
     assert rows_of(toxicity.score(empty_like(docs), none)) == []
+    some = spark.createDataFrame([(k, 1, k % 2) for k in range(9)], "doc_id long, quality int, toxic int")
+    assert rows_of(toxicity.score(empty_like(docs), some)) == []
+    odd = docs.unionByName(spark.createDataFrame([(4, "you idiot " * 200_000), (4, "fine")], docs.schema)).withColumns({"toxic": F.lit("clash"), "score": F.lit("clash")})
+    assert sorted((r["doc_id"], r["predicted"]) for r in rows_of(toxicity.score(odd, none))) == [(1, 1), (2, 0), (3, 0), (4, 0), (4, 1)]
 
 
 def test_label_model_finds_rates_and_repeated_voters():
@@ -154,8 +158,11 @@ def test_label_model_finds_rates_and_repeated_voters():
     gold = np.where(rng.random(4000) < 0.9, y, ~y).astype(int)
     post, rates, share = toxicity.label_model(votes, gold)
     assert abs(rates[0, 0] - 0.8) < 0.06 and abs(rates[1, 0] - 0.05) < 0.03
-    assert share[0] == share[2] == 0.5 and share[1] == 1
+    assert share[[0, 2]] == pytest.approx([0.5, 0.5], abs=0.02) and share[1] > 0.95
     assert ((post > 0.5) == y).mean() > 0.93
+    gold[2000:] = -1  # half of the rows have no label and are judged all the same
+    post, rates, _ = toxicity.label_model(votes, gold)
+    assert abs(rates[0, 0] - 0.8) < 0.08 and ((post > 0.5) == y)[2000:].mean() > 0.9
 
 
 # --- personal data -------------------------------------------------------------------------------------------------------
@@ -251,19 +258,38 @@ def test_top_k(spark, monkeypatch, shape):
     for a in range(0, 300, 20):
         scored = sorted((-max(min(sum(m * n for m, n in zip(q[a], q[b])), 2**63 - 1), -(2**63)), b) for b in range(300) if b != a)[:5]
         want[a] = [(k + 1, b, -s) for k, (s, b) in enumerate(scored)]
-    if shape != "huge":
-        assert {k: sorted(v) for k, v in got.items()} == want
+    if shape == "huge":  # scores beyond a long are cut to its range, and tie there
+        assert set(got) == set(want)
+        for a, found in got.items():
+            score = {b: max(min(sum(m * n for m, n in zip(q[a], q[b])), 2**63 - 1), -(2**63)) for b in range(300) if b != a}
+            assert all(s == score[b] for _, b, s in found) and sorted((-s for *_, s in found)) == sorted(-s for s in score.values())[:5]
     else:
-        assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+        assert {k: sorted(v) for k, v in got.items()} == want
     assert rows_of(topk.top_k(empty_like(df), empty_like(df))) == []
 
 
+def test_threshold_stops_on_structured_vectors():
+    """Where a few components decide the scores, the bound stops the reading after a small part of the rows."""
+    rng = np.random.default_rng(12)
+    c = np.floor(64 * rng.normal(size=(4000, 8)) * 0.5 ** np.arange(8))
+    c[:200] = np.floor(c[:200] * 6)
+    q = c[:50] + 1
+    ids, read = np.arange(4000), []
+    for i, found, score, n in topk.threshold_search(ids, c, np.arange(50), q, 5):
+        s = c @ q[i]
+        s[i] = -np.inf
+        best = np.lexsort((ids, -s))[:5]
+        assert found.tolist() == best.tolist() and score.tolist() == s[best].tolist()
+        read.append(n)
+    assert np.mean(np.array(read) < 4000) > 0.8 and np.median(read) < 1500
+
+
 def test_top_k_of_a_zero_query():
     c = np.random.default_rng(2).integers(-9, 10, (300, 3)).astype(float)
     ids = np.arange(300)[::-1].copy()
     c[:5] = -20
     c[5:10] = 20
-    found = {i: (v.tolist(), s.tolist()) for i, v, s in topk.threshold_search(ids, c, np.array([0, 7000]), np.zeros((2, 3)), 5)}
+    found = {i: (v.tolist(), s.tolist()) for i, v, s, _ in topk.threshold_search(ids, c, np.array([0, 7000]), np.zeros((2, 3)), 5)}
     assert found == {0: ([1, 2, 3, 4, 5], [0] * 5), 1: ([0, 1, 2, 3, 4], [0] * 5)}
 
 
@@ -278,6 +304,7 @@ def test_lm_scores(spark, monkeypatch):
     monkeypatch.setattr(lmscore, "CHUNK", 300)
     t = texts(9, 60)
     docs = spark.createDataFrame([(None if i == 8 else i, x) for i, x in enumerate(t)], "doc_id long, text string").repartition(3)
+    docs = docs.withColumns({"target": F.lit("clash"), "part": F.lit("clash")})
     target = spark.createDataFrame([(1, "lamp river stone lamp river"), (2, None), (3, "green walks lamp river")], "item_id long, text string")
     got = rows_of(lmscore.score(docs, target))
     assert len(got) == len(t)
@@ -285,8 +312,7 @@ def test_lm_scores(spark, monkeypatch):
     corpora = [list(map(split, t)), [split(r["text"]) for r in target.collect()]]
     counts = [Counter(w for x in c for w in x) for c in corpora]
     totals = [sum(c.values()) for c in counts]
-    known = {w for w in counts[0] if counts[0][w] >= max(2, lmscore.RARE * totals[0])} | {w for w in counts[1] if counts[1][w] >= max(2, lmscore.TARGET_RARE * totals[1])}
-    seq = lambda x: [w if w in known else None for w in x]
+    known, seq = {w for c in counts for w in c}, list  # every word of either
     losses = []
     for c, total in zip(corpora, totals):
         uni = Counter(w for x in c for w in seq(x))
@@ -338,7 +364,29 @@ def test_suffix_cuts(spark, seed):
         r = got[None if i == 9 else i]
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[i], i
         assert r["extra"] == 5
-    assert rows_of(suffix.cut(empty_like(docs), length=12, gram=4)) == []
+    # The same through shorter passages, which are counted too: one word each here, so that none is left out.
+    shorter = slow_cut([*ts, ts[5]], 7)
+    for r in rows_of(suffix.cut(docs, 12, 4, passage=(7, 3, 1))):
+        i = 9 if r["doc_id"] is None else r["doc_id"]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[i], i
+        assert (r["n_passage_bytes"], r["n_passages"]) == shorter[i][1:3], i
+    assert rows_of(suffix.cut(empty_like(docs), 12, 4)) == rows_of(suffix.cut(empty_like(docs), 12, 4, passage=(7, 3, 1))) == []
+
+
+@pytest.mark.parametrize("n_words", [50, 51, 55, 60, 70])
+def test_passages_by_their_words(spark, n_words):
+    """Passages of 50 words and more are passages, whether they have 400 bytes or not; those of 400 bytes go."""
+    rng = random.Random(n_words)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages, lines = [text(n_words) for _ in range(10)], [text(45) for _ in range(10)]
+    ts = [f"{text(60)} {p} {text(80)}" for p in [*passages, *lines] * 2] + [text(150) for _ in range(10)]
+    docs = spark.createDataFrame(list(enumerate(ts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in rows_of(suffix.cut(docs, passage=(240, 64, 50)))}
+    want = slow_cut(ts, 400)
+    for i in range(len(ts)):
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (want[i][1], want[i][3])
+        assert (got[i]["n_passages"] > 0) == (i < 40 and i % 20 < 10), i
 
 
 def test_suffix_text_longer_than_a_buffer(spark, monkeypatch):

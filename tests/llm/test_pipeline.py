@@ -111,3 +111,60 @@ def test_rows_are_chosen_and_not_ids(spark):
     rows = [(None, text(1)), (None, text(2)), (None, text(3)), (9, text(3)), (5, text(4)), (5, text(5)), (5, text(6)), (4, text(6)), (7, text(7)), (7, text(7))]
     gone = [(None, text(3)), (5, text(6))]
     assert near_stage(spark, rows) == sorted({r for r in rows if r not in gone}, key=str)
+
+
+CLASHES = ["kept", "clean_text", "n_bytes", "n_spans", "spans", "row", "cls", "__cls", "score", "toxic", "label", "component"]
+
+
+def test_stages_keep_rows_and_columns_that_are_not_theirs(spark, corpus):
+    """Null ids, null and empty texts, one very long text, a row twice and columns with the operators' own names."""
+    d, _, _ = corpus
+    rng = random.Random(11)
+    text = lambda n=60: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = text(80)
+    texts = [text(), None, "", "a b", "x" * 300_000, text() + " " + passage, passage + " " + text(), "mail a@b.cd " + text()]
+    rows = [(None if i in (0, 5) else i, t, *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(texts)]
+    rows.append(rows[0])
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHES)).repartition(2)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, d)
+        assert out.columns == docs.columns and out.schema == docs.schema
+        got = {r["kept"]: r for r in out.collect()}
+        assert all(r[c] == c + k[4:] for k, r in got.items() for c in CLASHES)
+        assert set(got) == {f"kept{i}" for i in range(8)} - ({"kept2"} if name == "simhash" else set()) or (name == "simhash" and len(got) == 7), name
+        if name == "suffix":
+            assert all(passage[50:300] not in (got[f"kept{i}"]["text"] or "") for i in (5, 6)) and got["kept4"]["text"] == texts[4]
+        if name == "pii":
+            assert got["kept7"]["text"].startswith("mail <EMAIL> ") and got["kept0"]["text"] == texts[0]
+        assert stage(spark, docs.where("false"), d).collect() == [], name
+    packed = corpus_pipeline.pack(spark, docs, d).collect()
+    assert sum(r["doc_tokens"] == 1 for r in packed) == 2 and sum(r["length"] for r in packed if r["doc_id"] == 3) == 3
+    assert corpus_pipeline.pack(spark, docs.where("false"), d).collect() == []
+
+
+def test_empty_labels(spark, corpus, tmp_path):
+    d, text, _ = corpus
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = common.table(spark, d, "documents")
+    assert corpus_pipeline.drop_toxic(spark, docs, str(tmp_path)).count() == docs.count()
+
+
+def test_short_passages_of_fifty_words_go(spark):
+    rng = random.Random(13)
+    text = lambda n: " ".join("".join(rng.choice("abcdefghijkl") for _ in range(rng.randrange(4, 8))) for _ in range(n))
+    passages, lines = [text(n) for n in (51, 53, 56, 60, 70)], [text(44) for _ in range(5)]
+    rows = [(k, f"{text(70)} {p} {text(70)}", "en", "s", 0) for k, p in enumerate([*passages, *lines] * 2)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    for k, p in enumerate([*passages, *lines] * 2):
+        assert (p not in got[k] and p[20:200] not in got[k]) if k % 10 < 5 else got[k] == rows[k][1]
+
+
+def test_documents_that_share_a_passage_stay(spark):
+    """Many texts with one passage in common meet in the same buckets; none is a near copy."""
+    rng = random.Random(17)
+    text = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = text(60)
+    rows = [(k, f"{text(20)} {passage} {text(20)}") for k in range(150)]
+    copies = [(1000 + k, t + " end") for k, t in rows[:20]]
+    assert near_stage(spark, rows + copies) == sorted(rows, key=str)
