@@ -1,7 +1,7 @@
 """Near-duplicate vectors through a robust-pruned flat graph.
 
 Exact copies are one class. Classes go to the shards of the medoids that are nearly as near as the nearest one, so that
-shards overlap. Each shard builds a graph: a node's candidates, near and random, are pruned robustly (a candidate is left
+shards overlap: to some as nodes of their graphs, to more as queries. Each shard builds a graph: a node's candidates, near and random, are pruned robustly (a candidate is left
 out if a chosen neighbour is much nearer to it than the node is). A node's adjacency lists from all its shards are united.
 Then each shard is searched from its medoid: greedily to a query's surroundings, and on from there through everything
 that is nearly in range. A link counts in the home shard of its target, so that each is counted once; every link is
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, tuned, written
+from .common import components, discard, local_components, tuned, written
 
 THRESHOLD = 0.9
 #: Classes of a shard, about; members of a graph and queries of a task, at most; vectors that medoids are fitted on;
@@ -26,10 +26,10 @@ THRESHOLD = 0.9
 SHARD, GRAPH, ASKED, FITTED, MEDOIDS, AUDITED, RECALL = 2048, 12_288, 24_576, 20_000, 4096, 200, 0.995
 #: Neighbours of a node; near and random candidates; how much nearer the chosen neighbour has to be.
 DEGREE, NEAR, FAR, ALPHA = 24, 40, 16, 1.2
-#: Similarity below that of the nearest medoid to which a class joins further shards; beam width; similarity below the
-#: threshold through which a search still goes on. All but the first are for an audit that falls short; a beam of 0 stands
-#: for the exact search, every class in every shard.
-EFFORTS = ((0.12, 12, 0.05), (0.3, 32, 0.15), (2.1, 64, 0.4), (2.1, 0, 0.0))
+#: Similarity below that of the nearest medoid to which a class asks further shards, and to which it is a node of their
+#: graphs; beam width; similarity below the threshold through which a search still goes on. All but the first are for an
+#: audit that falls short; a beam of 0 stands for the exact search, every class asked of every shard.
+EFFORTS = ((0.12, 0.03, 12, 0.05), (0.3, 0.1, 32, 0.15), (2.1, 0.3, 64, 0.4), (2.1, 0.0, 0, 0.0))
 #: Links from which a class of the audit belongs to a large group; those and the others have to reach RECALL each.
 LARGE = 100
 
@@ -82,7 +82,7 @@ def build(x: np.ndarray) -> np.ndarray:
 
 class Graph:
     """Undirected links of n nodes: all of them as one run of neighbours for each node, and for the greedy walk rows of
-    at most 4 * DEGREE, of a hub's many links some."""
+    at most 2 * DEGREE, of a hub's many links some."""
 
     def __init__(self, pairs: np.ndarray, n: int):
         pairs = np.unique(np.concatenate([pairs, pairs[:, ::-1]]), axis=0)
@@ -91,7 +91,7 @@ class Graph:
         self.first, self.to = np.cumsum(self.count) - self.count, pairs[:, 1]
         order = np.lexsort((np.random.default_rng(3).random(len(pairs)), pairs[:, 0]))
         place = np.arange(len(pairs)) - np.repeat(self.first, self.count)
-        width = min(4 * DEGREE, max(1, int(self.count.max(initial=0))))
+        width = min(2 * DEGREE, max(1, int(self.count.max(initial=0))))
         few = place < width
         self.rows = np.full((n, width), -1)
         self.rows[pairs[order, 0][few], place[few]] = pairs[order, 1][few]
@@ -103,8 +103,9 @@ class Graph:
         return of, self.to[np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[nodes], count)]
 
 
-def range_search(x: np.ndarray, graph: Graph, start: int, queries: np.ndarray, beam: int, low: float):
-    """Yields (places of queries, places of rows) with a similarity of low or more that the search reaches."""
+def range_search(x: np.ndarray, graph: Graph, start: int, queries: np.ndarray, own: np.ndarray, beam: int, low: float):
+    """Yields (places of queries, places of rows) with a similarity of low or more that the search reaches. own: the rows
+    that the queries are themselves, where there is no way to walk, -1 for queries that are none."""
     x32, step = x.astype(np.float32), 256
     links, n = graph.rows, len(x)
     beam = min(beam, n)
@@ -116,7 +117,9 @@ def range_search(x: np.ndarray, graph: Graph, start: int, queries: np.ndarray, b
         ids = np.full((m, beam), -1)
         sim = np.full((m, beam), -2, np.float32)
         done = np.ones((m, beam), bool)
-        ids[:, 0], sim[:, 0], done[:, 0], seen[:, start] = start, q @ x32[start], False, True
+        at = own[i : i + step]
+        ids[:, 0] = first = np.where(at < 0, start, at)
+        sim[:, 0], done[:, 0], seen[row, first] = np.einsum("ij,ij->i", q, x32[first]), at >= 0, True
         for _ in range(8 * beam):
             best = np.where(done, -3, sim).argmax(axis=1)
             live = np.flatnonzero(~done[row, best])
@@ -164,11 +167,11 @@ def _vectors(column) -> np.ndarray:
     return unit(flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1))
 
 
-def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, slack: float) -> DataFrame:
+def _searched(classes: DataFrame, threshold: float, margin: float, inner: float, beam: int, slack: float) -> DataFrame:
     """Rows (a, links, b): links of class a to copies of other classes, or an edge a - b if b is not null."""
     n = classes.count()
     share = min(1.0, FITTED / max(1, n))
-    fitted = classes.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("x").limit(2 * FITTED).toPandas()
+    fitted = classes.where(F.pmod(F.xxhash64("x", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30))).select("x").limit(2 * FITTED).toPandas()
     sizes = {len(v) for v in fitted["x"]}
     chosen = {d: medoids(unit(np.stack([v for v in fitted["x"] if len(v) == d])), min(MEDOIDS, math.ceil(n / SHARD))) for d in sorted(sizes)}
     first, at = {}, 0
@@ -184,11 +187,11 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
                 home = sim.argmax(axis=1)
                 row, shard = np.nonzero(sim >= sim.max(axis=1, keepdims=True) - margin)
                 base = first.get(d, -d)  # vectors of a length that the sample missed are a shard of their own
-                yield pa.record_batch({"shard": pa.array((base + shard).astype(np.int32)), "home": pa.array(shard == home[row]), "id": part.column("id").take(pa.array(row)), "n": part.column("n").take(pa.array(row)), "x": part.column("x").take(pa.array(row))})
+                yield pa.record_batch({"shard": pa.array((base + shard).astype(np.int32)), "home": pa.array(shard == home[row]), "node": pa.array(sim[row, shard] >= sim.max(axis=1)[row] - inner), "id": part.column("id").take(pa.array(row)), "n": part.column("n").take(pa.array(row)), "x": part.column("x").take(pa.array(row))})
 
-    members = written(classes.mapInArrow(dealt, "shard int, home boolean, id long, n long, x array<double>"))
-    counts = members.groupBy("shard").agg(F.count("*").alias("members")).collect()  # a row for each medoid
-    salts = {r["shard"]: math.ceil(r["members"] / GRAPH) for r in counts if r["members"] > GRAPH}
+    members = written(classes.mapInArrow(dealt, "shard int, home boolean, node boolean, id long, n long, x array<double>"))
+    counts = members.groupBy("shard").agg(F.count("*").alias("members"), F.count_if("node").alias("nodes")).collect()  # a row for each medoid
+    salts = {r["shard"]: math.ceil(r["nodes"] / GRAPH) for r in counts if r["nodes"] > GRAPH}
     asks = {r["shard"]: math.ceil(r["members"] / ASKED) for r in counts if r["members"] > ASKED}
     lookup = lambda m: F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in m.items() for v in kv]), F.col("shard")), F.lit(1)) if m else F.lit(1)
     members = members.withColumn("salts", lookup(salts)).withColumn("chunks", lookup(asks))
@@ -199,17 +202,18 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
         links = build(_vectors(group.column("x")))
         return pa.table({"id": pa.array(ids), "near": pa.array([ids[r[r >= 0]].tolist() for r in links], pa.list_(pa.int64()))})
 
-    lists = members.groupBy("shard", "salt").applyInArrow(built, "id long, near array<long>")
+    lists = members.where("node").groupBy("shard", "salt").applyInArrow(built, "id long, near array<long>")
     united = lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    known = written(members.join(united, "id"))
+    asking = members.where("not node").withColumn("near", F.array().cast("array<long>"))
+    known = written(members.where("node").join(united, "id").unionByName(asking))
     every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     # In a shard of several graphs or several groups of queries, each graph meets each group of queries.
-    cells = known.select("*", F.explode(every("salts")).alias("g")).select("*", F.explode(every("chunks")).alias("c")).where("g = salt or c = chunk")
+    cells = known.select("*", F.explode(every("salts")).alias("g")).select("*", F.explode(every("chunks")).alias("c")).where("(node and g = salt) or c = chunk")
 
     def searched(group: pa.Table) -> pa.Table:
         g = lambda c: group.column(c).to_numpy(zero_copy_only=False)
         ids, copies, home, x = g("id"), g("n"), g("home").astype(bool), _vectors(group.column("x"))
-        inside, asked = np.flatnonzero(g("salt") == g("g")), np.flatnonzero(g("chunk") == g("c"))
+        inside, asked = np.flatnonzero((g("salt") == g("g")) & g("node").astype(bool)), np.flatnonzero(g("chunk") == g("c"))
         out = [np.empty(0, np.int64)] * 3
         if len(inside) and len(asked):
             order = np.argsort(ids[inside])
@@ -222,9 +226,11 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
             y = x[inside]
             start = int((y @ y.mean(axis=0)).argmax())
             pairs = np.stack([of[there], to[there]], axis=1)
+            own = np.minimum(np.searchsorted(ids[inside], ids[asked]), len(inside) - 1)
+            own = np.where(ids[inside][own] == ids[asked], own, -1)
             links = np.zeros(len(ids))
             forest = (np.empty(0, np.int64), np.empty(0, np.int64))
-            reached = range_search(y, Graph(pairs, len(y)), start, x[asked], beam, threshold - slack) if beam else block_search(y, x[asked], threshold - 1e-9)
+            reached = range_search(y, Graph(pairs, len(y)), start, x[asked], own, beam, threshold - slack) if beam else block_search(y, x[asked], threshold - 1e-9)
             for a, b in reached:
                 for t in range(0, len(a), 200_000):
                     p, q = asked[a[t : t + 200_000]], inside[b[t : t + 200_000]]
@@ -240,7 +246,9 @@ def _searched(classes: DataFrame, threshold: float, margin: float, beam: int, sl
             return pa.table({"a": out[0], "links": out[1], "b": out[2], "edge": np.append(np.zeros(len(some), bool), np.ones(len(forest[0]), bool))})
         return pa.table({"a": out[0], "links": out[1], "b": out[2], "edge": np.empty(0, bool)})
 
-    return written(cells.groupBy("shard", "g", "c").applyInArrow(searched, "a long, links long, b long, edge boolean"))
+    found = written(cells.groupBy("shard", "g", "c").applyInArrow(searched, "a long, links long, b long, edge boolean"))
+    discard(members, known)
+    return found
 
 
 def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
@@ -249,7 +257,7 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
     Classes of large groups and of small ones are counted apart, and the lesser share is the result.
     """
     n = classes.count()
-    picked = classes.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30)) < int(min(1.0, AUDITED / max(1, n)) * (1 << 30))).select("id", "x").limit(2 * AUDITED).toPandas()
+    picked = classes.where(F.pmod(F.xxhash64("x", F.lit(17)), F.lit(1 << 30)) < int(min(1.0, AUDITED / max(1, n)) * (1 << 30))).select("id", "x").limit(2 * AUDITED).toPandas()
     if not len(picked):
         return 1.0
     ids, sizes = picked["id"].to_numpy(), picked["x"].map(len).to_numpy()
@@ -271,27 +279,32 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row for each row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept.
+    """A row for each row of vectors (vec_id, embedding): vec_id, n_links, component_id, kept, audited_recall.
 
     Null, empty and zero vectors and those with null or non-finite components link with nothing. Vectors are compared
     with those of their own length. Equal vectors link with each other; of rows that share a vec_id each counts. An empty
-    table gives no rows; a null vec_id keeps its row and never names a component that has another member.
+    table gives no rows; a null vec_id keeps its row and never names a component that has another member. audited_recall
+    is the audit's share, RECALL at least: a search that falls short is widened, and the last one is exact.
     """
     tuned(vectors.sparkSession)
     x = F.col("embedding").cast("array<double>")
     fine = x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(x, lambda v: v != 0)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(F.coalesce(fine, F.lit(False)), F.transform(x, lambda v: v + F.lit(0.0))).alias("x"))
+    # Classes are told apart by the vectors themselves and numbered; rows find theirs by 128 bits of it.
+    name = {"k1": F.xxhash64("x"), "k2": F.xxhash64(F.lit(7), "x")}
     grouped = rows.where("x is not null").groupBy("x").agg(F.min("vec_id").alias("low"), F.count("*").alias("n"))
-    classes = written(grouped.select(F.xxhash64("x").alias("id"), "low", "n", "x"))
-    for margin, beam, slack in EFFORTS:
-        found = _searched(classes.select("id", "n", "x"), threshold, margin, beam, slack)
+    classes = written(grouped.select(F.monotonically_increasing_id().alias("id"), *[c.alias(k) for k, c in name.items()], "low", "n", "x"))
+    for effort in EFFORTS:
+        found = _searched(classes.select("id", "n", "x"), threshold, *effort)
         links = written(found.where("not edge").groupBy("a").agg(F.sum("links").alias("links")))
-        if audit(classes, links, threshold) >= RECALL:
+        recall = audit(classes, links, threshold) if effort[2] else 1.0  # without a beam the search is exact
+        if recall >= RECALL:
             break
     joined = components(found.where("edge").select("a", "b"))
     named = classes.drop("x").join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     named = written(named.join(links.withColumnRenamed("a", "id"), "id", "left"))
     least = written(named.groupBy("component").agg(F.min("low").alias("component_id")))
-    known = written(named.join(least, "component").select("id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
-    out = rows.withColumn("id", F.when(F.col("x").isNotNull(), F.xxhash64("x"))).join(known, "id", "left")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id")).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    known = written(named.join(least, "component").select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
+    out = rows.select("vec_id", *[F.when(F.col("x").isNotNull(), c).alias(k) for k, c in name.items()]).join(known, ["k1", "k2"], "left")
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumns({"kept": F.col("vec_id").eqNullSafe(F.col("component_id")), "audited_recall": F.lit(float(recall))})

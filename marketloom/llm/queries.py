@@ -48,7 +48,7 @@ def op8_token_counts(spark, sf_dir):
 
 
 def op9_embedding_dedup(spark, sf_dir):
-    return graphdedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return graphdedup.near_duplicates(table(spark, sf_dir, "embeddings")).drop("audited_recall")
 
 
 def op10_packing(spark, sf_dir):
