@@ -95,7 +95,7 @@ def test_gray_index_and_ranges(spark, monkeypatch, shape):
     near = {(int(a), int(b)) for a in x for b in x if int(a ^ b).bit_count() <= 2}
     assert found == near
     fps = common.written(spark.createDataFrame([(int(v),) for v in x], "fp long"))
-    joined = {r["node"]: r["component"] for r in common.components(simhash._links(fps, 2)).collect()}
+    joined = {r["node"]: r["component"] for r in common.components(simhash.links(fps, 2)).collect()}
     low = linked([int(v) for v in x], [p for p in near if p[0] < p[1]])
     assert {n: joined.get(n, n) for n in low} == low
 
