@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import graphdedup, lmscore, packing, pieces, pii, simhash, suffix, tokencount, topk, toxicity
+from . import codes, crosstokens, graphdedup, lmscore, oneperm, packing, pieces, pii, simhash, suffix, tokencount, topk, toxicity
 from .common import table
 
 
@@ -55,9 +55,24 @@ def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), memory=300_000)
 
 
+def op11_vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fingerprints(spark, sf_dir):
+    return oneperm.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_cross_tokens(spark, sf_dir):
+    return crosstokens.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash, op2_toxicity, op3_pii, op4_sentencepiece, op5_top_k, op6_lm_scoring, op7_suffix, op8_token_counts, op9_embedding_dedup, op10_packing)
+    for f in (
+        op1_simhash, op2_toxicity, op3_pii, op4_sentencepiece, op5_top_k, op6_lm_scoring, op7_suffix, op8_token_counts, op9_embedding_dedup, op10_packing,
+        op11_vector_codes, op12_fingerprints, op13_cross_tokens,
+    )
 }
 #: Joins and aggregates over brute force; of the other queries SQL can't express the tokenizers, learned scores or hashes.
 ORACLES = {
