@@ -105,17 +105,18 @@ def _pattern(rule: Column) -> Column:
 def robots_rules(files: DataFrame, agents: list[str]) -> DataFrame:
     """(host, allow, path) of the groups for * and for the given agents in robots files (host, body).
 
-    A group is a run of agent lines and the rules up to the next one; lines are told apart by their place.
+    A group is a run of agent lines and the rules up to the next one; any other field ends the run of agent lines, but for
+    sitemap, which stands outside of groups. Lines without a colon don't count; lines are told apart by their place.
     """
     line = files.select("host", F.posexplode(F.split("body", r"\r?\n")).alias("n", "line")).withColumn("line", F.trim(F.regexp_replace("line", "#.*$", "")))
     field, value = F.lower(F.trim(F.split_part("line", F.lit(":"), F.lit(1)))), F.trim(F.regexp_extract("line", r"^[^:]*:(.*)$", 1))
-    parsed = line.select("host", "n", field.alias("field"), value.alias("value")).where(F.col("field").isin("user-agent", "allow", "disallow"))
+    parsed = line.select("host", "n", "line", field.alias("field"), value.alias("value")).where(F.contains("line", F.lit(":")) & (F.col("field") != "sitemap"))
     order = Window.partitionBy("host").orderBy("n")
     agent = F.col("field") == "user-agent"
     opens = agent & ~F.coalesce(F.lag("field").over(order) == "user-agent", F.lit(False))
     grouped = parsed.withColumn("opens", opens.cast("int")).withColumn("group", F.sum("opens").over(order))
     ours = grouped.where(agent & F.lower("value").isin("*", *[a.lower() for a in agents])).select("host", "group").distinct()
-    rules = grouped.where(~agent & (F.col("value") != "")).join(ours, ["host", "group"], "left_semi")
+    rules = grouped.where(F.col("field").isin("allow", "disallow") & (F.col("value") != "")).join(ours, ["host", "group"], "left_semi")
     return rules.select("host", (F.col("field") == "allow").alias("allow"), F.col("value").alias("path"))
 
 

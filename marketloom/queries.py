@@ -494,7 +494,7 @@ def narrowest_department(spark, d):
 def robots_admission(spark, d):
     pages = read(spark, d, "pages").select("page_id", "url")
     hosts = pages.select(F.parse_url("url", F.lit("HOST")).alias("host")).distinct()
-    files = hosts.select("host", F.lit("User-agent: other\nDisallow: /\n\nUser-agent: *\nUser-agent: loom\nDisallow: /en/ # most\nAllow: /en/4\nDisallow: /*.html$").alias("body"))
+    files = hosts.select("host", F.lit("User-agent: loom\nCrawl-delay: 5\nUser-agent: other\nno field\nDisallow: /\n\nUser-agent: *\nSitemap: https://x/s.xml\nUser-agent: loom\nDisallow: /en/ # most\nAllow: /en/4\nDisallow: /*.html$").alias("body"))
     return crawl.allowed(pages, crawl.robots_rules(files, ["loom"])).select("page_id", "allowed")
 
 

@@ -75,15 +75,19 @@ def ndjson_broken(spark, d):
 
 
 def _api(spark, d):
-    """Products as pages of a catalog API: two sellers each, the default one second in every second product."""
+    """Products as pages of a catalog API: two sellers each, the default one second in every second product. Every third has
+    no multiplier, so that its name says the size, and a reference in place of a code; one row a page has no name."""
     p, even = _parts(spark, d), F.col("product_id") % 2 == 0
     seller = lambda i, default, price: F.struct(F.lit(i).alias("sellerId"), default.alias("sellerDefault"), F.struct(price.alias("Price"), F.lit(3.0).alias("AvailableQuantity")).alias("commertialOffer"))
-    item = F.struct(F.col("gtin").alias("ean"), F.lit("kg").alias("measurementUnit"), F.lit(0.5).alias("unitMultiplier"), F.array(seller("1", F.lit(False), F.col("price") + 1), seller("2", even, F.col("price"))).alias("sellers"))
-    one = F.struct(F.col("product_id").cast("string").alias("productId"), F.upper("canonical_name").alias("productName"), F.col("brand"), F.concat(F.lit("https://x/"), F.col("product_id").cast("string")).alias("link"), F.array(F.lit("/1/"), F.concat(F.lit("/1/"), F.col("p_size").cast("string"), F.lit("/"))).alias("categoriesIds"), F.array(item).alias("items"))
-    return _pages_of(p, one, 50).select(F.to_json("items").alias("body"))
+    third = F.col("product_id") % 3 == 0
+    item = F.struct(F.when(~third, F.col("gtin")).alias("ean"), F.lit("kg").alias("measurementUnit"), F.when(~third, F.lit(0.5)).alias("unitMultiplier"), F.array(seller("1", F.lit(False), F.col("price") + 1), seller("2", even, F.col("price"))).alias("sellers"))
+    one = F.struct(F.col("product_id").cast("string").alias("productId"), F.upper(F.concat("canonical_name", F.when(third, " 500 g").otherwise(""))).alias("productName"), F.when(third, F.col("gtin")).alias("productReference"), F.col("brand"), F.concat(F.lit("https://x/"), F.col("product_id").cast("string")).alias("link"), F.array(F.lit("/1/"), F.concat(F.lit("/1/"), F.col("p_size").cast("string"), F.lit("/"))).alias("categoriesIds"), F.array(item).alias("items"))
+    nameless = F.concat(F.lit('[{"productId":"n'), F.col("page").cast("string"), F.lit('","productName":" "},'))
+    return _pages_of(p, one, 50).select(F.concat(nameless, F.substr(F.to_json("items"), F.lit(2))).alias("body"))
 
 
-@query("SELECT CAST(product_id AS VARCHAR) AS external_id, upper(left(canonical_name, 1)) || substr(lower(canonical_name), 2) AS name, gtin, CAST(p_retailprice AS DOUBLE) + CASE WHEN product_id % 2 = 0 THEN 0 ELSE 1 END AS price, true AS available, CAST(0.5 AS DOUBLE) AS quantity, 'kg' AS unit FROM goods JOIN part ON p_partkey = product_id", True)
+@query("""SELECT CAST(product_id AS VARCHAR) AS external_id, upper(left(canonical_name, 1)) || substr(lower(canonical_name), 2) || CASE WHEN product_id % 3 = 0 THEN ' 500 g' ELSE '' END AS name, gtin, CAST(p_retailprice AS DOUBLE) + CASE WHEN product_id % 2 = 0 THEN 0 ELSE 1 END AS price, true AS available,
+    CAST(CASE WHEN product_id % 3 = 0 THEN 500 ELSE 0.5 END AS DOUBLE) AS quantity, CASE WHEN product_id % 3 = 0 THEN 'g' ELSE 'kg' END AS unit FROM goods JOIN part ON p_partkey = product_id""", True)
 def api_products(spark, d):
     got = jobs.with_size(captures.catalog_api(_api(spark, d)), "measured")
     return got.select("external_id", "name", "gtin", "price", "available", F.col("quantity").cast("double").alias("quantity"), "unit")
@@ -105,12 +109,12 @@ def category_tree(spark, d):
 
 @query("SELECT CAST(floor(p_partkey / 24) AS BIGINT) AS page, CAST(floor(p_partkey / 24) AS BIGINT) % 9 = 0 AS unreadable, CAST(CASE WHEN CAST(floor(p_partkey / 24) AS BIGINT) % 9 = 0 THEN 0 ELSE count(*) END AS INTEGER) AS n, CASE WHEN CAST(floor(p_partkey / 24) AS BIGINT) % 9 = 0 THEN NULL ELSE min(CAST(p_partkey AS VARCHAR)) END AS first_id FROM part GROUP BY 1")
 def department_pages(spark, d):
-    """24 products to a page; every ninth page has lost its payload, which is not the same as an empty one."""
+    """24 products to a page; every ninth page has lost its payload, or the array in it, which is not the same as an empty one."""
     p = _parts(spark, d)
-    item = F.struct(F.col("product_id").cast("string").alias("id"), F.concat(F.lit("} \""), "canonical_name").alias("name"), F.col("brand"), F.col("price").cast("string").alias("price"))
+    item = F.struct(F.col("product_id").cast("string").alias("id"), F.concat(F.lit("} \""), "canonical_name").alias("name"), F.col("brand"), "price")
     pages = _pages_of(p, item, 24)
-    body = F.concat(F.lit("var a = 1; var impressionData = "), F.to_json(F.struct(F.col("items").alias("impressions"))), F.lit("; more {}"))
-    got = captures.department_pages(pages.select("page", F.when(F.col("page") % 9 == 0, "<p>late</p>").otherwise(body).alias("body")))
+    body = F.concat(F.lit("var a = 1; var impressionData = "), F.to_json(F.struct(F.lit("EUR").alias("currency"), F.struct(F.lit("x").alias("list"), F.col("items").alias("impressions")).alias("ecommerce"))), F.lit("; more {}"))
+    got = captures.department_pages(pages.select("page", F.when(F.col("page") % 18 == 0, "<p>late</p>").when(F.col("page") % 9 == 0, 'var impressionData = {"ecommerce":{"impressions":{}}};').otherwise(body).alias("body")))
     return got.select("page", "unreadable", F.size("products").alias("n"), F.array_min(F.transform("products", lambda x: x["id"])).alias("first_id"))
 
 
@@ -131,15 +135,24 @@ def leaflet_offers(spark, d):
     return jobs.leaflet_names(kept).select("external_id", "shelf", "name", "brand")
 
 
-@query("SELECT CAST(p_partkey AS VARCHAR) AS url, 'o' || CAST(p_partkey AS VARCHAR) AS external_id, p_name AS name, p_brand AS brand, CAST(p_retailprice AS DOUBLE) AS price, p_partkey % 3 <> 0 AS available FROM part WHERE p_partkey % 4 <> 0")
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS url, 'o' || CAST(p_partkey AS VARCHAR) AS external_id, p_name AS name, p_brand AS brand, CASE WHEN p_partkey % 5 > 0 THEN CAST(p_retailprice AS DOUBLE) END AS price, p_partkey % 3 = 1 AS available,
+    CASE WHEN p_partkey % 7 = 0 THEN 'own' ELSE 'size-' || CAST(p_size AS VARCHAR) END AS shelf, CASE WHEN p_partkey % 7 <> 0 THEN 'aisle' END AS aisle FROM part WHERE p_partkey % 4 <> 0""")
 def page_state(spark, d):
-    """A page's state is a text within its JSON; every fourth page has none."""
-    p = _parts(spark, d)
-    product = F.struct(F.concat(F.lit("o"), F.col("product_id").cast("string")).alias("objectID"), F.col("canonical_name").alias("name"), F.col("brand").alias("brandName"), F.struct(F.col("price").alias("priceValue")).alias("currentPrice"), F.when(F.col("product_id") % 3 == 0, False).alias("isAvailable"))
-    inner = F.to_json(F.struct(F.array(F.struct(F.lit(1).alias("no"))).alias("first"), F.struct(product.alias("product")).alias("page")))
-    state = F.to_json(F.struct(F.struct(inner.alias("apiData")).alias("props")))
-    body = F.when(F.col("product_id") % 4 == 0, "<p/>").otherwise(F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), state, F.lit("</script>")))
-    return captures.page_state_products(p.select(F.col("product_id").alias("url"), body.alias("body")), "url").select("url", "external_id", "name", "brand", "price", "available")
+    """A page's state holds a text of JSON: a teaser without a category, category levels (not on every seventh page) and the
+    product; of three products one is in stock, one is not and one doesn't say. Every fourth page has no state."""
+    p, k = _parts(spark, d), F.col("product_id")
+    teaser = F.struct(F.lit("t1").alias("objectID"), F.lit("teaser").alias("name"))
+    level = lambda key: F.struct(key.alias("categoryKey"))
+    levels = F.when(k % 7 != 0, F.struct(F.struct(level(F.concat(F.lit("size-"), F.col("p_size").cast("string"))).alias("parent"), level(F.lit("aisle")).alias("current")).alias("data")))
+    product = F.struct(
+        F.concat(F.lit("o"), k.cast("string")).alias("objectID"), F.lit("own").alias("mainCategoryID"), F.col("canonical_name").alias("name"), F.col("brand").alias("brandName"),
+        F.struct(F.when(k % 5 == 0, 0.0).otherwise(F.col("price")).alias("priceValue")).alias("currentPrice"), F.when(k % 3 == 0, False).when(k % 3 == 1, True).alias("isAvailable"),
+    )
+    part = lambda i, *fields: F.to_json(F.struct(F.lit(i).alias("id"), F.struct(*fields).alias("res")))
+    inner = F.concat(F.lit("["), part("teasers", F.array(teaser).alias("items")), F.lit(","), part("page", levels.alias("parentCategory"), F.array(product).alias("items")), F.lit("]"))
+    state = F.to_json(F.struct(F.struct(F.struct(inner.alias("apiData")).alias("pageProps")).alias("props")))
+    body = F.when(k % 4 == 0, "<p/>").otherwise(F.concat(F.lit('<script id="__NEXT_DATA__" type="application/json">'), state, F.lit("</script>")))
+    return captures.page_state_products(p.select(k.alias("url"), body.alias("body")), "url").drop("unit_text")
 
 
 @query("SELECT DISTINCT external_id FROM listing WHERE retailer_id = (SELECT min(retailer_id) FROM listing) AND last_seen_at >= TIMESTAMP '1997-01-01'", True)

@@ -116,15 +116,17 @@ def write_ndjson(records: DataFrame, path: str) -> None:
 
 
 _VTEX = (
-    "array<struct<productId:string,productName:string,brand:string,linkText:string,link:string,categories:array<string>,categoriesIds:array<string>,"
+    "array<struct<productId:string,productName:string,productReference:string,brand:string,linkText:string,link:string,categories:array<string>,categoriesIds:array<string>,"
     "items:array<struct<itemId:string,name:string,ean:string,measurementUnit:string,unitMultiplier:double,"
     "sellers:array<struct<sellerId:string,sellerDefault:boolean,commertialOffer:struct<Price:double,ListPrice:double,AvailableQuantity:double,IsAvailable:boolean>>>>>>>"
 )
 
 
 def catalog_api(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Products of catalog API pages, each once; the seller is the default one, else number 1, else the first."""
-    one = pages.select(F.explode(F.from_json(body, _VTEX)).alias("p")).select("p.*").dropDuplicates(["productId"])
+    """Products of catalog API pages, each once; the seller is the default one, else number 1, else the first. The size is
+    that of the item where it has a multiplier, and is left to the name where it has none."""
+    rows = pages.select(F.explode(F.from_json(body, _VTEX)).alias("p")).select("p.*").withColumn("productId", F.trim("productId"))
+    one = rows.where("productId <> '' and trim(productName) <> ''").dropDuplicates(["productId"])
     item = F.try_element_at("items", F.lit(1))
     sellers = item["sellers"]
     pick = F.coalesce(
@@ -132,8 +134,8 @@ def catalog_api(pages: DataFrame, body: str = "body") -> DataFrame:
     )
     offer = pick["commertialOffer"]
     return one.select(
-        F.col("productId").alias("external_id"), text.unshout(text.squeeze(F.col("productName"))).alias("name"), text.unshout_brand(text.usable_brand(F.col("brand"))).alias("brand"), text.valid_gtin(item["ean"]).alias("gtin"),
-        F.when(offer["Price"] > 0, offer["Price"]).alias("price"), F.struct(F.coalesce(item["unitMultiplier"], F.lit(1.0)).alias("quantity"), item["measurementUnit"].alias("unit")).alias("measured"),
+        F.col("productId").alias("external_id"), text.unshout(text.squeeze(F.col("productName"))).alias("name"), text.unshout_brand(text.usable_brand(F.col("brand"))).alias("brand"), F.coalesce(text.valid_gtin(item["ean"]), text.valid_gtin(F.col("productReference"))).alias("gtin"),
+        F.when(offer["Price"] > 0, offer["Price"]).alias("price"), F.struct(item["unitMultiplier"].alias("quantity"), item["measurementUnit"].alias("unit")).alias("measured"),
         F.col("link").alias("product_url"), F.coalesce(offer["IsAvailable"], offer["AvailableQuantity"] > 0, F.lit(False)).alias("available"), F.col("categories").alias("category_paths"), F.col("categoriesIds").alias("category_ids"),
     )
 
@@ -143,46 +145,19 @@ def api_total(header: Column) -> Column:
     return F.nullif(F.regexp_extract(header, r"/(\d+)\s*$", 1), F.lit("")).cast("long")
 
 
-def _braced(value: str | None, marker: str) -> str | None:
-    """The object literal after marker, up to its own closing brace; braces within strings don't count."""
-    at = -1 if value is None else value.find(marker)
-    start = value.find("{", at + len(marker)) if at >= 0 else -1
-    if start < 0:
-        return None
-    depth, quote, skip = 0, "", False
-    for i in range(start, len(value)):
-        c = value[i]
-        if skip:
-            skip = False
-        elif quote:
-            skip, quote = c == "\\", "" if c == quote else quote
-        elif c in "\"'":
-            quote = c
-        elif c == "{":
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if not depth:
-                return value[start : i + 1]
-    return None
-
-
-def braced(marker: str):
-    """Column function: the JSON object that follows marker in a page."""
-
-    @F.pandas_udf("string")
-    def found(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: _braced(p, marker), na_action="ignore")
-
-    return found
+def payload(body: Column | str, marker: str) -> Column:
+    """What follows marker in a page, from the first brace on; from_json reads the value there and no further."""
+    return F.nullif(F.regexp_extract(body, rf"(?s)\Q{marker}\E.*?(\{{.*)", 1), F.lit(""))
 
 
-def department_pages(pages: DataFrame, body: str = "body", marker: str = "impressionData") -> DataFrame:
-    """pages with products (array) and unreadable: a page without a payload is not the same as an empty one."""
-    item = "struct<id:string,name:string,brand:string,price:string,category:string,dimension10:string>"
-    got = pages.withColumn("payload", braced(marker)(body))
-    listed = F.from_json("payload", f"struct<impressions:array<{item}>,products:array<{item}>>")
-    return got.withColumns({"unreadable": listed.isNull(), "products": F.coalesce(listed["impressions"], listed["products"], F.array().cast(f"array<{item}>"))}).drop("payload")
+def department_pages(pages: DataFrame, body: str = "body", marker: str = "var impressionData") -> DataFrame:
+    """pages with products (array) and unreadable: a page whose payload has no array of impressions is not the same as an
+    empty one. A price that is no number above zero is null."""
+    item = "struct<id:string,name:string,brand:string,price:double,category:string,dimension10:string>"
+    listed = F.from_json(payload(body, marker), f"struct<ecommerce:struct<impressions:array<{item}>>>")["ecommerce"]["impressions"]
+    price = lambda x: F.when(x["price"] > 0, x["price"])
+    products = F.transform(F.coalesce(listed, F.array().cast(f"array<{item}>")), lambda x: x.withField("price", price(x)))
+    return pages.withColumns({"unreadable": listed.isNull(), "products": products})
 
 
 def leaflet_offers(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -190,7 +165,7 @@ def leaflet_offers(pages: DataFrame, body: str = "body") -> DataFrame:
     several rows (see first_shelf)."""
     offer = "struct<klNr:string,title:string,subtitle:string,unit:string,detailTitle:string,detailDescription:string>"
     shape = f"struct<cycles:array<struct<categories:array<struct<displayName:string,offers:array<{offer}>>>>>>"
-    cycles = pages.select(F.posexplode(F.from_json(braced('"offerData":')(body), shape)["cycles"]).alias("i", "c"))
+    cycles = pages.select(F.posexplode(F.from_json(payload(body, '"offerData":'), shape)["cycles"]).alias("i", "c"))
     shelves = cycles.select("i", F.posexplode("c.categories").alias("j", "s"))
     offers = shelves.select("i", "j", F.col("s.displayName").alias("shelf"), F.posexplode("s.offers").alias("k", "o"))
     return offers.select(F.trim("o.klNr").alias("external_id"), F.array("i", "j", "k").alias("place"), "shelf", "o.title", "o.subtitle", F.col("o.unit").alias("unit_text"), F.col("o.detailTitle").alias("detail_title"), F.col("o.detailDescription").alias("detail_description")).where("external_id <> ''")
@@ -208,35 +183,48 @@ def first_shelf(offers: DataFrame, themed: str | None = None) -> DataFrame:
     return kept.groupBy("external_id").agg(first.alias("x")).select("external_id", "x.*").drop("place")
 
 
-def _state_product(node, depth: int = 0):
-    if depth > 8:
+def _first(node, test, depth: int = 0):
+    """The first object below node, depth first and eight levels down at most, for which test holds."""
+    if depth > 8 or not isinstance(node, (dict, list)):
         return None
-    if isinstance(node, str) and node[:1] in "{[":
-        try:
-            node = json.loads(node)
-        except ValueError:
-            return None
-    if isinstance(node, dict):
-        if "objectID" in node and "name" in node:
-            return node
-        node = list(node.values())
-    if isinstance(node, list):
-        return next((x for v in node if (x := _state_product(v, depth + 1))), None)
-    return None
+    if isinstance(node, dict) and test(node):
+        return node
+    return next((x for v in (node.values() if isinstance(node, dict) else node) if (x := _first(v, test, depth + 1)) is not None), None)
+
+
+def _state_product(state: str) -> str | None:
+    """Product and category levels, as JSON, of a page's state; its API data may be a text of JSON."""
+    try:
+        data = json.loads(state)
+        for step in ("props", "pageProps", "apiData"):
+            data = data.get(step) if isinstance(data, dict) else None
+        data = json.loads(data) if isinstance(data, str) else data
+    except ValueError:
+        return None
+    product = _first(data, lambda o: "mainCategoryID" in o and "name" in o)
+    levels = _first(data, lambda o: isinstance(o.get("parentCategory"), (dict, list)))
+    return None if product is None else json.dumps({"product": product, "levels": levels and levels["parentCategory"]})
 
 
 def page_state_products(pages: DataFrame, key: str, body: str = "body") -> DataFrame:
-    """The product in the page state of each page: a JSON text within JSON, searched in depth, eight levels at most."""
-    raw = pages.select(F.col(key).cast("string").alias(key), F.nullif(F.regexp_extract(body, r'(?s)id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1), F.lit("")).alias("state")).where("state is not null")
+    """The product in the page state of each page that has one. Only a stated availability counts as one; a price that is
+    no number above zero is null; the shelf is the parent category, or else the product's own."""
+    raw = pages.select(F.col(key).cast("string").alias(key), F.nullif(F.regexp_extract(body, r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1), F.lit("")).alias("state")).where("state is not null")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            b["product"] = [json.dumps(p) if (p := _state_product(s)) else None for s in b["state"]]
-            yield b[[key, "product"]]
+            yield b.assign(product=[_state_product(s) for s in b["state"]])[[key, "product"]]
 
     found = raw.mapInPandas(run, f"{key} string, product string").where("product is not null").withColumn("v", F.try_parse_json("product"))
-    g = lambda path, kind="string": F.try_variant_get("v", path, kind)
-    return found.select(key, g("$.objectID").alias("external_id"), g("$.name").alias("name"), g("$.brandName").alias("brand"), g("$.salesUnit").alias("unit_text"), g("$.currentPrice.priceValue", "double").alias("price"), F.coalesce(g("$.isAvailable", "boolean"), F.lit(True)).alias("available"), g("$.mainCategoryID").alias("shelf"), g("$.parentCategory").alias("parent_shelf"))
+    at = lambda path: F.try_variant_get("v", path, "string")
+    said = lambda path: F.when(F.schema_of_variant(F.try_variant_get("v", path, "variant")) == "STRING", F.nullif(F.trim(at(path)), F.lit("")))
+    price = F.when(~F.schema_of_variant(F.try_variant_get("v", "$.product.currentPrice.priceValue", "variant")).isin("STRING", "BOOLEAN"), F.try_variant_get("v", "$.product.currentPrice.priceValue", "double"))
+    stock = F.try_variant_get("v", "$.product.isAvailable", "variant")
+    return found.select(
+        key, said("$.product.objectID").alias("external_id"), said("$.product.name").alias("name"), said("$.product.brandName").alias("brand"), said("$.product.salesUnit").alias("unit_text"),
+        F.when(price > 0, price).alias("price"), F.coalesce((F.schema_of_variant(stock) == "BOOLEAN") & (at("$.product.isAvailable") == "true"), F.lit(False)).alias("available"),
+        F.coalesce(said("$.levels.data.parent.categoryKey"), said("$.product.mainCategoryID")).alias("shelf"), said("$.levels.data.current.categoryKey").alias("aisle"),
+    )
 
 
 def seen_since(listings: DataFrame, retailer: str, since, least: int = 10_000) -> DataFrame:

@@ -62,19 +62,60 @@ def test_prices_of_offers(spark, offers, price):
 
 
 def test_shop_payloads(spark):
-    page = "x var impressionData = {\"impressions\": [{\"id\": \"1\", \"name\": \"a } b\", \"price\": \"2\"}]}; y"
-    rows = spark.createDataFrame([(1, page), (2, "no payload"), (3, 'impressionData = {"impressions": []}')], "id int, body string")
-    got = {r["id"]: (r["unreadable"], len(r["products"])) for r in captures.department_pages(rows).collect()}
-    assert got == {1: (False, 1), 2: (True, 0), 3: (False, 0)}
     leaflet = {"cycles": [{"categories": [{"displayName": "Milch", "offers": [{"klNr": "1", "title": "Zuzu", "subtitle": "Lapte", "detailTitle": "x", "detailDescription": "ZUZU\nmore"}, {"klNr": "2", "title": "A/B"}]}]}]}
     offers = captures.leaflet_offers(spark.createDataFrame([('a "offerData":' + json.dumps(leaflet) + ",b",)], "body string"))
     again = captures.first_shelf(offers.unionByName(offers.withColumns({"shelf": F.lit("Blumen"), "place": F.array(F.lit(9), F.lit(0), F.lit(0))}).where("external_id = '2'")), "(?i)blumen")
     assert [(r["external_id"], r["shelf"]) for r in again.collect()] == [("1", "Milch")]
     named = products.leaflet_names(captures.first_shelf(offers)).collect()
     assert [(r["external_id"], r["name"], r["brand"]) for r in named] == [("1", "Lapte", "Zuzu")]
-    state = json.dumps({"props": json.dumps({"page": {"objectID": "9", "name": "Brot", "currentPrice": {"priceValue": 1.5}}})})
-    got = captures.page_state_products(spark.createDataFrame([("u", f'<script id="__NEXT_DATA__" type="x">{state}</script>'), ("v", "none")], "url string, body string"), "url").collect()
-    assert [(r["url"], r["external_id"], r["price"], r["available"]) for r in got] == [("u", "9", 1.5, True)]
+
+
+def page_of(data):
+    state = json.dumps({"props": {"pageProps": {"apiData": json.dumps(data)}}})
+    return f'<script id="__NEXT_DATA__" type="x">{state}</script>'
+
+
+def test_page_state(spark):
+    full = {"objectID": " p1 ", "name": "Brot", "mainCategoryID": "own", "isAvailable": True, "currentPrice": {"priceValue": 1.5}}
+    levels = {"parentCategory": {"data": {"parent": {"categoryKey": "pantry"}, "current": {"categoryKey": "bread"}}}}
+    teaser = {"objectID": "t1", "name": "teaser"}
+    pages = {
+        "all": [teaser, levels, {"deep": [full]}], "bare": [full | {"isAvailable": "true", "currentPrice": {"priceValue": 0}, "objectID": 7}],
+        "text price": [{"name": "x", "mainCategoryID": "own", "currentPrice": {"priceValue": "2"}}], "teaser alone": [teaser],
+    }
+    rows = [(k, page_of(v)) for k, v in pages.items()] + [("none", "redesigned"), ("broken", '<script id="__NEXT_DATA__">{</script>'), ("null", None)]
+    got = captures.page_state_products(spark.createDataFrame(rows, "url string, body string"), "url")
+    assert {r["url"]: tuple(r)[1:] for r in got.collect()} == {
+        "all": ("p1", "Brot", None, None, 1.5, True, "pantry", "bread"), "bare": (None, "Brot", None, None, None, False, "own", None), "text price": (None, "x", None, None, None, False, "own", None),
+    }
+
+
+def test_department_payload_as_shops_write_it(spark):
+    bodies = {
+        "full": 'var impressionData = {"ecommerce":{"impressions":[{"id":"7","price":2.5},{"id":"8","price":"x"}]}}; push({});', "empty": 'var impressionData={"ecommerce":{"impressions":[]}}',
+        "top": 'var impressionData = {"impressions":[{"id":"7"}]};', "cut": 'var impressionData = {"ecommerce":{"impressions":[{"id":"7"}', "object": 'var impressionData = {"ecommerce":{"impressions":{}}}', "late": "<p/>",
+    }
+    got = captures.department_pages(spark.createDataFrame([*bodies.items(), ("null", None)], "k string, body string")).collect()
+    assert {r["k"]: (r["unreadable"], [(p["id"], p["price"]) for p in r["products"]]) for r in got} == {
+        "full": (False, [("7", 2.5), ("8", None)]), "empty": (False, []), "top": (True, []), "cut": (True, []), "object": (True, []), "late": (True, []), "null": (True, []),
+    }
+
+
+def test_a_size_without_multiplier_is_read_from_the_name(spark):
+    item = lambda **more: {"ean": "x", "measurementUnit": "kg", "sellers": [], **more}
+    made = lambda i, name, **more: {"productId": i, "productName": name, "productReference": "4006381333931", "items": [item(**more)]}
+    body = json.dumps([made("1", "Banane 500 g"), made("2", "Banane 500 g", unitMultiplier=2), made("3", "Banane", unitMultiplier=0), made("4", " "), made(" ", "x")])
+    got = products.with_size(captures.catalog_api(spark.createDataFrame([(body,)], "body string")), "measured").collect()
+    assert {r["external_id"]: (r["quantity"] and float(r["quantity"]), r["unit"], r["gtin"]) for r in got} == {"1": (500, "g", "4006381333931"), "2": (2, "kg", "4006381333931"), "3": (None, None, "4006381333931")}
+
+
+def test_robots_groups_end_at_other_fields(spark):
+    files = {
+        "a": "User-agent: loom\nCrawl-delay: 5\nUser-agent: other\nDisallow: /", "b": "User-agent: loom\nSitemap: x\nno field\nUser-agent: other\nDisallow: /",
+        "c": "user-agent: LOOM # us\r\n\r\nUser-agent: z\r\nDisallow:\r\nDisallow: /x", "d": "Disallow: /\nUser-agent: *\nHost: d\nDisallow: /y",
+    }
+    rules = crawl.robots_rules(spark.createDataFrame([*files.items()], "host string, body string"), ["loom"])
+    assert sorted((r["host"], r["allow"], r["path"]) for r in rules.collect()) == [("b", False, "/"), ("c", False, "/x"), ("d", False, "/y")]
 
 
 def test_catalog_api(spark):
