@@ -168,3 +168,41 @@ def test_documents_that_share_a_passage_stay(spark):
     rows = [(k, f"{text(20)} {passage} {text(20)}") for k in range(150)]
     copies = [(1000 + k, t + " end") for k, t in rows[:20]]
     assert near_stage(spark, rows + copies) == sorted(rows, key=str)
+
+
+def alike(n, shape, rng, size=300):
+    """n texts that share a base: of mutual similarity about 0.68, or each of a similarity to the base of 0.6 to 1."""
+    base, made = [f"w{i}" for i in range(size)], []
+    for i in range(n):
+        words, share = list(base), 0.019 if shape == "even" else rng.random() * 0.045
+        for at in rng.sample(range(size), round(share * size)):
+            words[at] = f"x{i}y{at}"
+        made.append(" ".join(words))
+    return made
+
+
+@pytest.mark.parametrize("shape", ["even", "mixed"])
+def test_pairs_compared_grow_with_the_rows(spark, monkeypatch, shape):
+    rng, compared = random.Random(4), {}
+    for n in (150, 600):
+        texts = alike(n, shape, rng)
+        counts, near = [], nearcopies._near
+        monkeypatch.setattr(nearcopies, "_near", lambda pairs, t: counts.append(pairs.count()) or near(pairs, t))
+        kept = {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], COLUMNS), "").collect()}
+        monkeypatch.undo()
+        compared[n] = sum(counts)
+        sets = [nearcopies.shingles(t.encode()) for t in texts]
+        low = list(range(n))
+
+        def head(i):
+            while low[i] != i:
+                low[i] = i = low[low[i]]
+            return i
+
+        for i in range(n):
+            for j in range(i):
+                if head(i) != head(j) and nearcopies.similarity(sets[i], sets[j]) >= nearcopies.SIMILAR:
+                    low[max(head(i), head(j))] = min(head(i), head(j))
+        assert kept == {i for i in range(n) if head(i) == i}
+    # Pairs that are alike, but not enough, cost no texts; of the others only those close below the line are compared.
+    assert compared[600] <= (600 if shape == "even" else 600 * 599 // 2 // 20), compared
