@@ -1,27 +1,30 @@
 """Matching of import rows to products, and the listing upsert.
 
 Identity is decided row by row: barcode, known listing, merge key, new product. A row can match what an earlier row of the
-batch made, so rows are first parted into components that cannot touch each other: rows and products linked by a barcode,
-a known listing or the name part of the merge key. Components only part the work, they never merge products.
-
-A row is plain if nothing but its merge key can match it: no barcode, no known or repeated listing. Single rows, and
-components of plain rows only, are resolved by joins. The others are replayed in order, each component as a group of its
-own; of plain rows with a whole key (brand and size) only the first of each key is replayed, since no later row can change
-that product's key, and the rest follow it by a join. What a replay holds is thus the rows with barcodes or known
-listings that hang together, and one row for each key.
+batch made, so the rule is a sequence; it is resolved in rounds of claims, each a few joins over all rows that are open.
+
+A barcode and a listing, once they stand for a product, stand for it for good. A row is settled if no earlier open row can
+still give its barcode or its listing a product. Of the settled rows
+* those that a barcode or listing matches, and that have nothing the product lacks, are decided at once, however many;
+* those that only their merge key can match are decided up to the first row that may give a product this key or take it
+  from one: the first of a key makes the product, the others follow it;
+* those that bring a brand or size that their product lacks change its key. Of each product the first is decided, if no
+  earlier open row may hold or want either key; with it, where the key is taken, the others that want the same one.
+Rows that are not settled may come to touch any name that their barcodes and listings lead to, and so hold all rows of
+these names behind them. The first open row of all can always be decided. Rounds grow with the keys that change one after
+the other under one name, not with the rows of a barcode, listing or name.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions import text
 from marketloom.operators import graph
-from marketloom.session import written
+from marketloom.session import discard, written
 
 
 @dataclass
@@ -32,9 +35,6 @@ class Imported:
     decision: DataFrame  # ordinal, external_id, product_id, how, outcome, conflict, created, identifier_added, error
 
 
-_DECISION = "ordinal long, external_id string, product_id string, how string, conflict boolean, created boolean, add_gtin string, error string, brand string, quantity decimal(18,3), unit string, category string, name string"
-
-
 def _clean(rows: DataFrame) -> DataFrame:
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     gtin = blank("gtin")
@@ -47,171 +47,138 @@ def _clean(rows: DataFrame) -> DataFrame:
     return out.withColumn("key_name", F.split_part("merge_key", F.lit("|"), F.lit(2)))
 
 
-def components(rows: DataFrame, products: DataFrame, identifiers: DataFrame, listings: DataFrame) -> DataFrame:
-    """(ordinal, component): rows of one component can depend on each other, through keys that they share."""
-    known = rows.select("external_id").distinct().join(listings.select("external_id", "product_id"), "external_id")
-    barred = rows.where("gtin is not null").select("gtin").distinct().join(identifiers.select(F.col("identifier_value").alias("gtin"), "product_id"), "gtin")
-    name_of = products.select("product_id", F.split_part("merge_key", F.lit("|"), F.lit(2)).alias("key_name"))
-    tag = lambda kind, c: F.concat(F.lit(kind), F.col(c))
-    links = (
-        rows.select("ordinal", tag("n:", "key_name").alias("key"))
-        .unionByName(rows.select("ordinal", tag("l:", "external_id").alias("key")))
-        .unionByName(rows.where("gtin is not null").select("ordinal", tag("g:", "gtin").alias("key")))
-        .unionByName(rows.join(known, "external_id").select("ordinal", tag("p:", "product_id").alias("key")))
-        .unionByName(rows.join(barred, "gtin").select("ordinal", tag("p:", "product_id").alias("key")))
-        # A name stands for every product that has it, so that a row reaches them as well.
-        .unionByName(rows.join(known, "external_id").join(name_of.withColumnRenamed("key_name", "named"), "product_id").select("ordinal", tag("n:", "named").alias("key")))
-        .unionByName(rows.join(barred, "gtin").join(name_of.withColumnRenamed("key_name", "named"), "product_id").select("ordinal", tag("n:", "named").alias("key")))
-        .where("key is not null").distinct()
+def _registers(rows: DataFrame) -> DataFrame | None:
+    """(ordinal, register): rows that share barcodes or listings, directly or through others; None where none do."""
+
+    def shared(c: str) -> DataFrame:
+        first = written(rows.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("ordinal").alias("b"), F.max("ordinal").alias("last")).where("b < last").select(c, "b"))
+        return rows.join(first, c).select(F.col("ordinal").alias("a"), "b").where("a <> b")
+
+    edges = written(shared("external_id").unionByName(shared("gtin")))
+    return None if edges.isEmpty() else graph.components(edges).select(F.col("node").alias("ordinal"), F.col("component").alias("register"))
+
+
+@dataclass
+class _Claims:
+    """What stands so far: products (product_id, key, of_name, branded, sized), and what barcodes and listings stand for."""
+
+    products: DataFrame
+    gtins: DataFrame
+    shown: DataFrame
+
+
+def _settled(rows: DataFrame, now: _Claims) -> DataFrame:
+    """rows with what they find by barcode and listing, and kind: wait, key, fill or same."""
+    out = rows.join(now.shown.select("external_id", F.col("product_id").alias("by_listing")), "external_id", "left").join(now.gtins.select("gtin", F.col("product_id").alias("by_gtin")), "gtin", "left")
+    repeated = rows.where("register is not null")
+    first = lambda c: written(repeated.where(F.col(c).isNotNull()).groupBy(c).agg(F.min("ordinal").alias(f"first_{c}")))
+    out = out.join(first("external_id"), "external_id", "left").join(first("gtin"), "gtin", "left")
+    is_first = lambda c: F.coalesce(F.col("ordinal") <= F.col(f"first_{c}"), F.lit(True))
+    settled = (F.col("by_listing").isNotNull() | is_first("external_id")) & (F.col("gtin").isNull() | F.col("by_gtin").isNotNull() | is_first("gtin"))
+    conflict = F.coalesce(F.col("by_gtin") != F.col("by_listing"), F.lit(False))
+    out = out.withColumns({"settled": settled, "conflict": conflict, "found": F.when(conflict, F.col("by_listing")).otherwise(F.coalesce("by_gtin", "by_listing"))})
+    out = out.join(now.products.withColumnRenamed("product_id", "found"), "found", "left")
+    out = out.withColumns({"fills_brand": ~F.col("branded") & F.col("has_brand"), "fills_size": ~F.col("sized") & F.col("has_size")})
+    part = lambda n: F.split_part("key", F.lit("|"), F.lit(n))
+    new_key = F.concat_ws("|", F.when(F.col("fills_brand"), F.col("key_brand")).otherwise(part(1)), "of_name", F.when(F.col("fills_size"), F.col("key_size")).otherwise(part(3)))
+    kind = F.when(~F.col("settled"), "wait").when(F.col("found").isNull(), "key").when(F.col("fills_brand") | F.col("fills_size"), "fill").otherwise("same")
+    return out.withColumns({"new_key": new_key, "kind": kind}).drop("first_external_id", "first_gtin", "settled")
+
+
+def _round(open_: DataFrame, now: _Claims, retailer: str) -> tuple[DataFrame, _Claims]:
+    """The rows that can be decided, with their decisions, and what stands after them."""
+    base = written(_settled(open_, now))
+    kinds = {r["kind"] for r in base.select("kind").distinct().collect()}
+    of = lambda kind: base.where(F.col("kind") == kind)
+    earliest = lambda df, *by: df.groupBy(*by).agg(F.min("ordinal").alias("since"))
+    own_id = lambda c: F.concat(F.lit(f"{retailer}:"), F.col(c))
+    how = F.when(F.col("conflict"), "listing").when(F.col("by_gtin").isNotNull(), "gtin").otherwise("listing")
+    decided = [of("same").select("*", F.col("found").alias("product_id"), how.alias("how"), F.lit(False).alias("created"), F.lit(None).cast("string").alias("error"))]
+    # Names held by rows that wait, and by rows that may change a product's key after another one.
+    names = base.select("register", F.col("key_name").alias("name")).unionByName(base.where("of_name is not null").select("register", F.col("of_name").alias("name")))
+    held = names.where("register is not null").distinct().join(earliest(of("wait"), "register"), "register").select("name", "since")
+    fills, first = of("fill"), of("fill").groupBy("found").agg(F.min(F.struct("ordinal", "new_key")).alias("f"))
+    if "fill" in kinds:
+        first = written(first)
+        fills = written(fills.join(first, "found"))
+        held = held.unionByName(fills.where("new_key <> f.new_key").select(F.col("of_name").alias("name"), F.col("ordinal").alias("since")))
+    held = written(held.groupBy("name").agg(F.min("since").alias("held_since")))
+    if "fill" in kinds:
+        leads = fills.where("ordinal = f.ordinal")
+        wanted = written(leads.select(F.explode(F.array("key", "new_key")).alias("k"), F.struct("ordinal", "found").alias("w")).groupBy("k").agg(F.min("w").alias("w")))
+        asked = written(earliest(of("key"), "merge_key"))
+        since = lambda c, name: asked.select(F.col("merge_key").alias(c), F.col("since").alias(name))
+        taken_by = now.products.select(F.col("key").alias("new_key"), F.col("product_id").alias("taken_by"))
+        rows = fills.where("new_key = f.new_key").join(held.withColumnRenamed("name", "of_name"), "of_name", "left").join(wanted.withColumnRenamed("k", "new_key"), "new_key", "left")
+        rows = rows.join(since("new_key", "asked_new"), "new_key", "left").join(since("key", "asked_old"), "key", "left").join(taken_by, "new_key", "left")
+        rows = rows.join(first.select(F.col("found").alias("taken_by"), F.lit(True).alias("moving")), "taken_by", "left")
+        before = lambda c: F.col(c).isNull() | (F.col("ordinal") < F.col(c))
+        free = before("held_since") & before("asked_new") & before("asked_old") & ((F.col("w.found") == F.col("found")) | before("w.ordinal"))
+        taken = F.coalesce(F.col("taken_by") != F.col("found"), F.lit(False))
+        rows = rows.where(free & ((F.col("ordinal") == F.col("f.ordinal")) | (taken & F.col("moving").isNull())))
+        decided.append(rows.select(*base.columns, F.col("found").alias("product_id"), how.alias("how"), F.lit(False).alias("created"), F.when(taken, "merge_key_taken").alias("error")))
+    if "key" in kinds:
+        rows = of("key").join(held.withColumnRenamed("name", "key_name"), "key_name", "left").where("held_since is null or ordinal < held_since")
+        if "fill" in kinds:
+            rows = rows.join(wanted.select(F.col("k").alias("merge_key"), "w"), "merge_key", "left").where("w is null or ordinal < w.ordinal").drop("w")
+        rows = written(rows.join(now.products.select(F.col("key").alias("merge_key"), F.col("product_id").alias("by_key")), "merge_key", "left"))
+        made = written(rows.where("by_key is null and not exists").groupBy("merge_key").agg(F.min("ordinal").alias("made_at"), F.min_by("external_id", "ordinal").alias("maker")))
+        rows = rows.join(made, "merge_key", "left")
+        creates = F.coalesce(F.col("ordinal") == F.col("made_at"), F.lit(False))
+        product = F.coalesce("by_key", F.when(F.col("ordinal") >= F.col("made_at"), own_id("maker")))
+        follows = F.col("by_key").isNotNull() | F.coalesce(F.col("ordinal") > F.col("made_at"), F.lit(False))
+        decided.append(rows.select(*base.columns, product.alias("product_id"), F.when(follows, "key").otherwise("new").alias("how"), creates.alias("created"), F.when(product.isNull(), "product_exists").alias("error")))
+    out = decided[0]
+    for d in decided[1:]:
+        out = out.unionByName(d)
+    fine = F.col("error").isNull()
+    adds = fine & ~F.col("conflict") & F.col("by_gtin").isNull()
+    out = written(out.withColumns({"product_id": F.when(fine, F.col("product_id")), "conflict": F.col("conflict") & fine, "add_gtin": F.when(adds, F.col("gtin"))}))
+    # What follows for products: new ones, and keys, brands and sizes of those that were filled.
+    ok = out.where("error is null")
+    moved = written(ok.where("kind <> 'same'").groupBy("product_id").agg(
+        F.bool_or("has_brand").alias("more_brand"), F.bool_or("has_size").alias("more_size"), F.max(F.when(F.col("kind") == "fill", F.col("new_key"))).alias("moved_to"),
+        F.max(F.when(F.col("created"), F.struct("merge_key", "key_name"))).alias("made"),
+    ))
+    new = lambda c, *options: F.coalesce(*options).alias(c)
+    products = now.products.join(moved, "product_id", "full_outer").select(
+        "product_id", new("key", "moved_to", "key", "made.merge_key"), new("of_name", "of_name", "made.key_name"),
+        (F.coalesce("branded", F.lit(False)) | F.coalesce("more_brand", F.lit(False))).alias("branded"), (F.coalesce("sized", F.lit(False)) | F.coalesce("more_size", F.lit(False))).alias("sized"),
     )
-    links = written(links)
-    # Each row hangs on the first one of each of its keys.
-    first = links.groupBy("key").agg(F.min("ordinal").alias("first"))
-    joined = graph.components(links.join(first, "key").select(F.col("ordinal").alias("a"), F.col("first").alias("b")))
-    return links.select("ordinal").distinct().join(joined.withColumnRenamed("node", "ordinal"), "ordinal", "left").withColumn("component", F.coalesce("component", "ordinal"))
-
-
-def _replayed(retailer: str):
-    """Replays one component in order. The pandas frames hold its rows and the products they can reach."""
-
-    def run(key, rows: pd.DataFrame, context: pd.DataFrame) -> pd.DataFrame:
-        products, by_key, gtins, shown = {}, {}, {}, {}
-        for r in context.itertuples():
-            if r.kind == "product":
-                products[r.product_id] = dict(brand=r.brand, quantity=r.quantity, unit=r.unit, category=r.category, key=r.merge_key)
-                by_key[r.merge_key] = r.product_id
-            elif r.kind == "gtin":
-                gtins[r.value] = r.product_id
-            else:
-                shown[r.value] = r.product_id
-        out = []
-        for r in rows.sort_values("ordinal").itertuples():
-            none = lambda v: None if v is None or v is pd.NA or v != v else v
-            gtin, brand, quantity, unit, category = map(none, (r.gtin, r.brand, r.quantity, r.unit, r.category))
-            by_gtin, by_listing = gtins.get(gtin) if gtin else None, shown.get(r.external_id)
-            conflict = bool(by_gtin and by_listing and by_gtin != by_listing)
-            if conflict:
-                found, how, gtin = by_listing, "listing", None
-            else:
-                found = by_gtin or by_listing
-                how = "gtin" if by_gtin else "listing" if by_listing else None
-            if not found:
-                found, how = by_key.get(r.merge_key), "key"
-            created, error = False, None
-            if not found:
-                found, how, created = f"{retailer}:{r.external_id}", "new", True
-                if found in products:
-                    error = "product_exists"
-                else:
-                    products[found] = dict(brand=brand, quantity=quantity, unit=unit, category=category, key=r.merge_key)
-                    by_key[r.merge_key] = found
-            else:
-                p = products[found]
-                fill = p["quantity"] is None and unit is not None
-                new_brand, new_size = p["brand"] if p["brand"] is not None else brand, (quantity, unit) if fill else (p["quantity"], p["unit"])
-                if (new_brand, *new_size) != (p["brand"], p["quantity"], p["unit"]):
-                    parts = p["key"].split("|")
-                    new_key = "|".join([r.key_brand if new_brand is not p["brand"] else parts[0], parts[1], r.key_size if fill else parts[2]])
-                    if new_key != p["key"] and new_key in by_key:
-                        error = "merge_key_taken"  # the row fails as a whole
-                    else:
-                        by_key.pop(p["key"], None)
-                        by_key[new_key] = found
-                        p.update(brand=new_brand, quantity=new_size[0], unit=new_size[1], key=new_key)
-                if error is None and p["category"] is None:
-                    p["category"] = category
-            if error is None:
-                shown[r.external_id] = found
-                add = gtin if gtin and gtin not in gtins else None
-                if add:
-                    gtins[add] = found
-            else:
-                add, created, conflict = None, False, False
-            out.append((r.ordinal, r.external_id, None if error else found, how, conflict, created, add, error, brand, quantity, unit, category, r.name_text))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in _DECISION.split(", ")])
-
-    return run
+    shown = now.shown.unionByName(ok.where("by_listing is null").select("external_id", "product_id"))
+    gtins = now.gtins.unionByName(ok.where("add_gtin is not null").select(F.col("add_gtin").alias("gtin"), "product_id"))
+    after = _Claims(written(products), written(gtins), written(shown))
+    discard(base, held, moved)
+    return out.select("ordinal", "product_id", "how", "conflict", "created", "add_gtin", "error"), after
 
 
 def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: DataFrame, listings: DataFrame) -> DataFrame:
     """A decision for each row. rows: ordinal and the import row; products: with merge_key; listings: of this retailer."""
-    ready = written(_clean(rows).withColumns({"key_brand": F.split_part("merge_key", F.lit("|"), F.lit(1)), "key_size": F.split_part("merge_key", F.lit("|"), F.lit(3))}))
+    part = lambda c, n: F.split_part(c, F.lit("|"), F.lit(n))
+    ready = written(_clean(rows).withColumns({"key_brand": part("merge_key", 1), "key_size": part("merge_key", 3)}))
     good = ready.where("error is null")
-    codes = identifiers.where("identifier_type = 'gtin'").select("identifier_value", "product_id")
-    parted = good.join(components(good, products, codes, listings), "ordinal")
-    own_id = F.concat(F.lit(f"{retailer}:"), F.col("external_id"))
-    repeats = good.groupBy("external_id").agg((F.count("*") > 1).alias("repeated"))
-    parted = parted.join(written(repeats), "external_id").join(listings.select("external_id", F.lit(True).alias("listed")), "external_id", "left")
-    parted = parted.withColumn("own_id", own_id).join(products.select(F.col("product_id").alias("own_id"), F.lit(True).alias("made")), "own_id", "left")
-    parted = written(parted.withColumn("plain", F.col("gtin").isNull() & ~F.col("repeated") & F.col("listed").isNull() & F.col("made").isNull()).drop("own_id", "repeated", "listed", "made"))
-    sizes = written(parted.groupBy("component").agg(F.count("*").alias("rows"), F.bool_and("plain").alias("all_plain")))
-    parted = written(parted.join(sizes, "component"))
-    alone = parted.where("rows = 1 and not all_plain")
-    # Plain rows: the product that has the key, or the first row of the key.
-    plain = parted.where("all_plain")
-    firsts = written(plain.groupBy("merge_key").agg(F.min("ordinal").alias("first"), F.min_by("external_id", "ordinal").alias("first_id")))
-    by_key = plain.join(firsts, "merge_key").join(products.select("merge_key", F.col("product_id").alias("old_id")), "merge_key", "left")
-    made = F.col("old_id").isNull() & (F.col("ordinal") == F.col("first"))
-    text_null = F.lit(None).cast("string")
-    keyed = by_key.select(
-        "ordinal", "external_id", F.coalesce("old_id", F.concat(F.lit(f"{retailer}:"), "first_id")).alias("product_id"), F.when(made, "new").otherwise("key").alias("how"), F.lit(False).alias("conflict"), made.alias("created"),
-        text_null.alias("add_gtin"), text_null.alias("error"), "brand", "quantity", "unit", "category", "name",
-    )
-    # Fast path: nothing in the batch bears on these rows.
-    joined = (
-        alone.join(codes.select(F.col("identifier_value").alias("gtin"), F.col("product_id").alias("by_gtin")), "gtin", "left")
-        .join(listings.select("external_id", F.col("product_id").alias("by_listing")), "external_id", "left")
-        .join(products.select("merge_key", F.col("product_id").alias("by_key")), "merge_key", "left")
-    )
-    conflict = F.coalesce(F.col("by_gtin") != F.col("by_listing"), F.lit(False))
-    matched = F.when(conflict, F.col("by_listing")).otherwise(F.coalesce("by_gtin", "by_listing"))
-    how = F.when(conflict, "listing").when(F.col("by_gtin").isNotNull(), "gtin").when(F.col("by_listing").isNotNull(), "listing").when(F.col("by_key").isNotNull(), "key").otherwise("new")
-    fast = joined.select(
-        "*", F.coalesce(matched, "by_key", F.concat(F.lit(f"{retailer}:"), "external_id")).alias("product_id"), how.alias("how"), conflict.alias("conflict"),
-    )
-    old = products.select("product_id", F.col("brand").alias("old_brand"), F.col("quantity").alias("old_quantity"), F.col("quantity_unit").alias("old_unit"), F.col("merge_key").alias("old_key"))
-    fast = fast.join(old, "product_id", "left")
-    fills_size = F.col("old_quantity").isNull() & F.col("unit").isNotNull()
-    new_key = F.concat_ws("|", F.when(F.col("old_brand").isNull(), F.col("key_brand")).otherwise(F.split_part("old_key", F.lit("|"), F.lit(1))), F.split_part("old_key", F.lit("|"), F.lit(2)), F.when(fills_size, F.col("key_size")).otherwise(F.split_part("old_key", F.lit("|"), F.lit(3))))
-    fast = fast.withColumn("new_key", F.when((F.col("how") != "new") & (new_key != F.col("old_key")), new_key))
-    taken = products.select(F.col("merge_key").alias("new_key"), F.lit(True).alias("taken"))
-    made = products.select("product_id", F.lit(True).alias("exists"))
-    fast = fast.join(taken, "new_key", "left").join(made, "product_id", "left")
-    error = F.when(F.col("taken"), "merge_key_taken").when((F.col("how") == "new") & F.coalesce("exists", F.lit(False)), "product_exists")
-    done = error.isNull()
-    fast = fast.select(
-        "ordinal", "external_id", F.when(done, F.col("product_id")).alias("product_id"), "how", (F.col("conflict") & done).alias("conflict"), ((F.col("how") == "new") & done).alias("created"),
-        F.when(done & ~F.col("conflict") & F.col("by_gtin").isNull(), F.col("gtin")).alias("add_gtin"), error.alias("error"), "brand", "quantity", "unit", "category", "name",
-    )
-    # Slow path: the rest, with what each component can reach, one group for each component.
-    several = parted.where("rows > 1 and not all_plain")
-    whole = F.col("plain") & (F.col("key_brand") != "") & (F.col("key_size") != "-")
-    lead = written(several.where(whole).groupBy("merge_key").agg(F.min("ordinal").alias("lead")))
-    several = written(several.join(lead, "merge_key", "left"))
-    follows = F.coalesce(whole & (F.col("ordinal") > F.col("lead")), F.lit(False))
-    followers, several = several.where(follows), several.where(~follows)
-    reach = (
-        several.select("component", "external_id").join(listings.select("external_id", "product_id"), "external_id").select("component", "product_id")
-        .unionByName(several.select("component", F.col("gtin").alias("identifier_value")).join(codes, "identifier_value").select("component", "product_id"))
-    )
-    by_name = products.withColumn("key_name", F.split_part("merge_key", F.lit("|"), F.lit(2)))
-    names = several.select("component", "key_name").unionByName(reach.join(by_name.select("product_id", "key_name"), "product_id").select("component", "key_name")).distinct()
-    reach = reach.unionByName(names.join(by_name.select("key_name", "product_id"), "key_name").select("component", "product_id")).distinct()
-    size_null = F.lit(None).cast("decimal(18,3)")
-    context = (
-        reach.join(products, "product_id").select("component", F.lit("product").alias("kind"), "product_id", text_null.alias("value"), "brand", "quantity", F.col("quantity_unit").alias("unit"), "category", "merge_key")
-        .unionByName(reach.join(codes, "product_id").select("component", F.lit("gtin").alias("kind"), "product_id", F.col("identifier_value").alias("value"), text_null.alias("brand"), size_null.alias("quantity"), text_null.alias("unit"), text_null.alias("category"), text_null.alias("merge_key")))
-        .unionByName(several.select("component", "external_id").join(listings.select("external_id", "product_id"), "external_id").select("component", F.lit("listing").alias("kind"), "product_id", F.col("external_id").alias("value"), text_null.alias("brand"), size_null.alias("quantity"), text_null.alias("unit"), text_null.alias("category"), text_null.alias("merge_key")))
-    )
-    asked = several.select("component", "ordinal", "external_id", "gtin", "brand", "quantity", "unit", "category", "merge_key", "key_brand", "key_size", F.col("name").alias("name_text"))
-    context = context.withColumnRenamed("component", "of")
-    slow = asked.groupBy("component").cogroup(context.groupBy("of")).applyInPandas(_replayed(retailer), _DECISION)
-    slow = written(slow)
-    led = followers.join(slow.select(F.col("ordinal").alias("lead"), F.col("product_id").alias("led_id")), "lead").select(
-        "ordinal", "external_id", F.col("led_id").alias("product_id"), F.lit("key").alias("how"), F.lit(False).alias("conflict"), F.lit(False).alias("created"), text_null.alias("add_gtin"), text_null.alias("error"), "brand", "quantity", "unit", "category", "name",
-    )
-    bad = ready.where("error is not null").select("ordinal", "external_id", text_null.alias("product_id"), text_null.alias("how"), F.lit(False).alias("conflict"), F.lit(False).alias("created"), text_null.alias("add_gtin"), "error", "brand", "quantity", "unit", "category", "name")
-    return written(fast.unionByName(keyed).unionByName(slow).unionByName(led).unionByName(bad))
+    codes = identifiers.where("identifier_type = 'gtin'").select(F.col("identifier_value").alias("gtin"), "product_id")
+    shown = written(listings.select("external_id", "product_id").join(good.select("external_id").distinct(), "external_id", "left_semi"))
+    gtins = written(codes.join(good.select("gtin").distinct(), "gtin", "left_semi"))
+    # Products that rows can reach: those that stand behind a barcode or listing, and all of the names in question.
+    every = products.select("product_id", F.col("merge_key").alias("key"), part("merge_key", 2).alias("of_name"), F.col("brand").isNotNull().alias("branded"), F.col("quantity").isNotNull().alias("sized"))
+    behind = shown.select("product_id").unionByName(gtins.select("product_id")).distinct()
+    names = good.select(F.col("key_name").alias("of_name")).unionByName(every.join(behind, "product_id", "left_semi").select("of_name")).distinct()
+    now = _Claims(written(every.join(names, "of_name", "left_semi")), gtins, shown)
+    exists = products.select(F.col("product_id").alias("own_id"), F.lit(True).alias("exists"))
+    todo = good.withColumn("own_id", F.concat(F.lit(f"{retailer}:"), F.col("external_id"))).join(exists, "own_id", "left")
+    todo = todo.select("ordinal", "external_id", "gtin", "merge_key", "key_brand", "key_name", "key_size", F.col("brand").isNotNull().alias("has_brand"), F.col("unit").isNotNull().alias("has_size"), F.coalesce("exists", F.lit(False)).alias("exists"))
+    registers = _registers(good)
+    open_ = written(todo.withColumn("register", F.lit(None).cast("long")) if registers is None else todo.join(registers, "ordinal", "left"))
+    null = F.lit(None).cast("string")
+    decisions = ready.where("error is not null").select("ordinal", null.alias("product_id"), null.alias("how"), F.lit(False).alias("conflict"), F.lit(False).alias("created"), null.alias("add_gtin"), "error")
+    while not open_.isEmpty():
+        before = now
+        done, now = _round(open_, now, retailer)
+        decisions = decisions.unionByName(done)
+        open_, old = written(open_.join(done.select("ordinal"), "ordinal", "left_anti")), open_
+        discard(old, before.products, before.gtins, before.shown)
+    return written(ready.drop("error").join(decisions, "ordinal").select("ordinal", "external_id", "product_id", "how", "conflict", "created", "add_gtin", "error", "brand", "quantity", "unit", "category", "name"))
 
 
 _COMPARED = ["product_id", "retailer_name", "retailer_brand", "retailer_category", "price", "currency", "available", "product_url"]
