@@ -14,7 +14,6 @@ from marketloom.session import shared_folder, written
 from marketloom.streaming import catalog as streams
 
 _T = ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"]
-_IMPORTED: dict = {}
 
 
 def _rows(p, **columns):
@@ -28,16 +27,13 @@ def _rows(p, **columns):
 
 
 def _imports(spark, d):
-    """Three batches, once for each application and folder.
+    """Three batches.
 
     Shop a brings even parts with their codes. Shop b brings all parts: even ones that have a code under another name
     (found by code), other even ones under the same name (found by key, and given a category), odd ones as new. Then shop
     b brings all of them again, renamed (known listings): every fifth at another price, those found by key with a size,
     every seventh with the code of the part after the next one (a conflict).
     """
-    key = spark.sparkContext.applicationId, d
-    if key in _IMPORTED:
-        return _IMPORTED[key]
     p = products(spark, d).join(read(spark, d, "part").select(F.col("p_partkey").alias("product_id"), F.col("p_retailprice").alias("price")), "product_id")
     p = written(p)
     k, even = F.col("product_id"), F.col("product_id") % 2 == 0
@@ -56,8 +52,7 @@ def _imports(spark, d):
     for (shop, rows), at in zip(batches, _T):
         done.append(match.import_rows(rows, shop, at, *state))
         state = written(done[-1].product), written(done[-1].identifier), written(done[-1].listing)
-    _IMPORTED[key] = done, state
-    return _IMPORTED[key]
+    return done, state
 
 
 def _none(spark, shape):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,12 +12,46 @@ from marketloom.schema import CATEGORIES, PRICE, SIZE
 from marketloom.session import written
 
 
-@dataclass
 class Catalog:
-    retailer: DataFrame  # retailer (slug), market, enabled
-    product: DataFrame  # product_id, canonical_name, brand, quantity, quantity_unit, category, gtin, add_count, listing_count, popularity, first_seen_at, merge_key, search_blob
-    listing: DataFrame  # product_id, retailer, external_id, retailer_name, price, currency, available, first_seen_at, last_seen_at
-    observation: DataFrame  # product_id, retailer, external_id, seen_at, price, available, ordinal
+    """The tables. Each is laid out when a query first asks for it, from the folder's files as they are then; what several
+    tables are made from is written once for the query. Nothing outlives the query."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    @cached_property
+    def shops(self) -> DataFrame:
+        return retailers(self.spark, self.sf_dir)
+
+    @cached_property
+    def goods(self) -> DataFrame:
+        return products(self.spark, self.sf_dir)
+
+    @cached_property
+    def retailer(self) -> DataFrame:
+        """retailer (slug), market, enabled."""
+        return self.shops.drop("retailer_id")
+
+    @cached_property
+    def observation(self) -> DataFrame:
+        """product_id, retailer_id, seen_at, price, available, ordinal."""
+        return observations(self.spark, self.sf_dir)
+
+    @cached_property
+    def listing(self) -> DataFrame:
+        """product_id, retailer, external_id, what the shop says of it, price, currency, available, and times."""
+        named = self.goods.select("product_id", "canonical_name", "brand", "category")
+        listing = latest(self.observation).join(self.shops.select("retailer_id", "retailer"), "retailer_id").join(named, "product_id")
+        own = F.when(F.col("retailer_id") % 2 == 0, F.col("canonical_name")).otherwise(F.concat_ws(" ", "canonical_name", "brand"))
+        return written(listing.select(
+            "product_id", "retailer", F.col("product_id").cast("string").alias("external_id"), own.alias("retailer_name"), F.col("brand").alias("retailer_brand"), F.col("category").alias("retailer_category"), "price", F.lit("EUR").alias("currency"), "available",
+            F.concat(F.lit("https://"), "retailer", F.lit("/p/"), F.col("product_id").cast("string")).alias("product_url"), "previous_price", "last_price_at", "first_seen_at", "last_seen_at",
+        ))
+
+    @cached_property
+    def product(self) -> DataFrame:
+        """product_id, canonical_name, brand, size, category, gtin, add_count and what derived() adds."""
+        return written(derived(with_bumps(self.spark, self.sf_dir, self.goods), self.listing))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,28 +106,8 @@ def latest(observed: DataFrame) -> DataFrame:
     return out.select("retailer_id", "product_id", "last.price", "last.available", "first_seen_at", F.col("last.seen_at").alias("last_seen_at"), F.col("change.before").alias("previous_price"), F.col("change.seen_at").alias("last_price_at"), "seen")
 
 
-_BUILT: dict[tuple[str, str], Catalog] = {}
-
-
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
-    """The tables, built and written once for each application and folder: a catalog is built by imports, and asked often."""
-    key = spark.sparkContext.applicationId, sf_dir
-    if key not in _BUILT:
-        c = laid_out(spark, sf_dir)
-        _BUILT[key] = Catalog(*(written(t) for t in (c.retailer, c.product, c.listing, c.observation)))
-    return _BUILT[key]
-
-
-def laid_out(spark: SparkSession, sf_dir: str) -> Catalog:
-    shops, goods, seen = retailers(spark, sf_dir), products(spark, sf_dir), observations(spark, sf_dir)
-    named = goods.select("product_id", "canonical_name", "brand", "category")
-    listing = latest(seen).join(shops.select("retailer_id", "retailer"), "retailer_id").join(named, "product_id")
-    own = F.when(F.col("retailer_id") % 2 == 0, F.col("canonical_name")).otherwise(F.concat_ws(" ", "canonical_name", "brand"))
-    listing = listing.select(
-        "product_id", "retailer", F.col("product_id").cast("string").alias("external_id"), own.alias("retailer_name"), F.col("brand").alias("retailer_brand"), F.col("category").alias("retailer_category"), "price", F.lit("EUR").alias("currency"), "available",
-        F.concat(F.lit("https://"), "retailer", F.lit("/p/"), F.col("product_id").cast("string")).alias("product_url"), "previous_price", "last_price_at", "first_seen_at", "last_seen_at",
-    )
-    return Catalog(shops.drop("retailer_id"), derived(with_bumps(spark, sf_dir, goods), listing), listing, seen)
+    return Catalog(spark, sf_dir)
 
 
 def with_bumps(spark: SparkSession, sf_dir: str, goods: DataFrame) -> DataFrame:

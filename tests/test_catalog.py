@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def sequential(batches):
     products, by_key, gtins, listings, out = {}, {}, {}, {}, []
 
     def key(b, n, q, u):
-        return f"{(b or '').lower()}|{n.lower()}|{f'{u}:{q}' if u else '-'}"
+        return f"{re.sub('[^a-z0-9]+', ' ', (b or '').lower()).strip()}|{n.lower()}|{f'{u}:{q}' if u else '-'}"
 
     for shop, rows in batches:
         got = []
@@ -96,6 +97,26 @@ def test_import_is_the_sequential_loop(spark, seed):
     assert got_keys == keys
 
 
+def test_a_hot_component_is_the_sequential_loop_in_few_rounds(spark, monkeypatch):
+    """Half of the rows share a name, a barcode, a listing or all; brands that fold to nothing, sizes and brands that come
+    later, keys that are taken."""
+    rng, rounds, plain = random.Random(11), [], match._round
+    monkeypatch.setattr(match, "_round", lambda *a: rounds.append(1) or plain(*a))
+
+    def row(k):
+        size = rng.choice([None, "2", "3"])
+        shown = {"id": str(rng.randrange(30) if k % 2 else 99), "name": rng.choice(["hot", "hot", "hot", "tea", "rye"]), "brand": rng.choice([None, None, "a", "b", "!!"])}
+        return shown | {"gtin": rng.choice([None, None, "11111111", "11111111", "22222222", f"{33333333 + k}"]), "price": 1, "quantity": size, "unit": "g" if size else None}
+
+    batches = [("s1", [row(k) for k in range(70)])]
+    expected, keys = sequential(batches)
+    got, got_keys, _, done = run_batches(spark, batches)
+    assert got == expected and got_keys == keys
+    assert len(rounds) <= 20
+    plan = done.decision._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "Python" not in plan
+
+
 def test_import_twice_changes_nothing(spark):
     rows = [{"id": "1", "name": "Milk 1 l", "brand": "Zuzu", "gtin": "12345678", "price": 5}, {"id": "2", "name": "Tea", "price": 2}, {"id": "3", "name": None}]
     _, _, state, first = run_batches(spark, [("s", rows)])
