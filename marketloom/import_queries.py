@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from marketloom import schema
-from marketloom.operators import admin, crawl, match, popularity, runs, search, validate
+from marketloom.operators import admin, crawl, deltas, match, popularity, runs, search, validate
 from marketloom.plans.catalog import catalog, products, read, retailers
 from marketloom.registry import query
 from marketloom.session import shared_folder, written
@@ -294,3 +294,41 @@ def bumps_by_name(spark, d):
     asked = read(spark, d, "events").where("event_type = 'purchase'").join(c.product.select("product_id", F.upper("canonical_name").alias("name")), F.col("event_id") % n == F.col("product_id"))
     bumps = asked.select(F.col("event_id").alias("bump_id"), "user_id", "ts", "name", F.lit(None).cast("string").alias("maker"))
     return popularity.resolved(bumps, c.product, c.listing).select("bump_id", "product_id")
+
+
+#: Listings at last: those that are left of the last state.
+_LEFT = ", li AS (SELECT * FROM listing WHERE NOT (retailer_id % 2 = 0 AND product_id % 11 = 0))"
+
+
+def _in_three_batches(spark, d):
+    """Products, counted names and counted shops kept up over three states of the listings.
+
+    First come the listings of the first years, under old names and all in stock; then those seen up to the last years
+    under their names; at last all of them, but for even shops without every eleventh product.
+    """
+    c = catalog(spark, d)
+    years = F.year("first_seen_at")
+    early = c.listing.where(years <= 1993).withColumns({"retailer_name": F.concat(F.lit("Old "), "retailer_name"), "available": F.lit(True)})
+    even = F.substring("retailer", -1, 1).cast("int") % 2 == 0
+    states = [early, c.listing.where(years <= 1996), c.listing.where(~(even & (F.col("product_id") % 11 == 0)))]
+    goods = match.derived(c.product.select("product_id", "canonical_name", "brand", "quantity", "quantity_unit", "category", "add_count"), c.listing.where("false"))
+    names, shops, before = _none(spark, "product_id long, name string, first_seen_at timestamp, n long"), _none(spark, "retailer string, available boolean, n long"), c.listing.where("false")
+    for state in states:
+        signed = written(deltas.changes(before, state))
+        names, shops = written(deltas.merged(names, signed, deltas.NAMES)), written(deltas.merged(shops, signed, deltas.SHOPS))
+        goods, before = written(deltas.refreshed(goods, names, signed)), state
+    return goods, shops
+
+
+@query(_LEFT + """, o AS (SELECT product_id, count(*) AS n, min(first_seen_at) AS first, string_agg(DISTINCT lower(retailer_name), ' ' ORDER BY lower(retailer_name)) AS names FROM li GROUP BY 1)
+    SELECT product_id, coalesce(n, 0) AS listing_count, add_count + 5 * coalesce(n, 0) AS popularity, first IS NOT NULL AS seen, left(trim(name_folded || ' ' || brand_folded || ' ' || coalesce(names, '')), 1000) AS search_blob FROM product LEFT JOIN o USING (product_id)""", True)
+def derived_by_deltas(spark, d):
+    """What search reads of products after three batches of changes, held against a recount."""
+    goods, _ = _in_three_batches(spark, d)
+    return goods.select("product_id", "listing_count", "popularity", (F.col("listing_count") > 0).alias("seen"), "search_blob")
+
+
+@query(_LEFT + " SELECT retailer, count(*) AS listings, count(*) FILTER (WHERE available) AS available FROM li GROUP BY 1", True)
+def shops_by_deltas(spark, d):
+    _, shops = _in_three_batches(spark, d)
+    return deltas.shop_counts(shops)
