@@ -74,8 +74,34 @@ QUERIES = {
         op11_vector_codes, op12_fingerprints, op13_cross_tokens,
     )
 }
+
+
+def _codes_sql(rounds: int = 6) -> str:
+    """op11's contract: a table of nearest entries and one of codebooks for each round. a: part position, e: entry."""
+    square = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"d{k} AS MATERIALIZED (SELECT vec_id, label, a, e, x, {square} AS d FROM v JOIN b{k} USING (a)), n{k} AS MATERIALIZED (SELECT vec_id, label, a, min(d) AS d, arg_min(e, (d, e)) AS e, any_value(x) AS x FROM d{k} GROUP BY ALL)".replace("GROUP BY ALL", "GROUP BY vec_id, label, a"))
+        if k < rounds:
+            steps.append(
+                f"s{k} AS (SELECT a, e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS m FROM n{k}, range(1, 9) t(i) GROUP BY a, e, i), "
+                f"b{k + 1} AS MATERIALIZED (SELECT a, e, coalesce(g.c, b.c) AS c FROM b{k} b LEFT JOIN (SELECT a, e, list(m ORDER BY i) AS c FROM s{k} GROUP BY a, e) g USING (a, e))"
+            )
+    last = rounds
+    return f"""
+        WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS y FROM embeddings
+                   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        v AS MATERIALIZED (SELECT vec_id, label, a, y[a * 8 + 1 : a * 8 + 8] AS x FROM k, range(8) t(a)),
+        b0 AS MATERIALIZED (SELECT a, e, x AS c FROM v JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM k) USING (vec_id) WHERE e < 16),
+        {", ".join(steps)},
+        r AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY a) AS code, CAST(sum(d) AS BIGINT) AS error FROM n{last} GROUP BY vec_id, label)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY a, e)) FROM b{last}) AS codebooks_sha256 FROM r
+    """
+
+
 #: Joins and aggregates over brute force; of the other queries SQL can't express the tokenizers, learned scores or hashes.
 ORACLES = {
+    "op11_vector_codes": _codes_sql(),
     "op5_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS x FROM embeddings),
         s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
