@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from marketloom.functions import jsonld, text
 from marketloom.operators import admin, crawl, logs, match, popularity, runs, search, validate
 from marketloom.plans.catalog import catalog, observations, products, read, retailers
 from marketloom.registry import ORACLES, QUERIES, query  # noqa: F401
-from marketloom.session import written
+from marketloom.session import shared_folder, written
 from marketloom.sources import captures
 from marketloom.streaming import catalog as streams
 
@@ -259,6 +261,16 @@ def purge(spark, d):
     return left.select("product_id")
 
 
+@query(""", gone AS (SELECT * FROM listing WHERE product_id % 7 = 0 AND retailer_id % 2 = 0)
+    SELECT (SELECT count(*) FROM gone) AS listings_deleted, (SELECT count(DISTINCT product_id) FROM gone WHERE product_id NOT IN (SELECT product_id FROM listing WHERE NOT (product_id % 7 = 0 AND retailer_id % 2 = 0))) AS products_deleted""", True)
+def purge_counts(spark, d):
+    """What a purge of even shops takes: their listings, and the products that no odd shop sells."""
+    c = catalog(spark, d)
+    even = F.substring("retailer", -1, 1).cast("int") % 2 == 0
+    evidence = c.listing.where((F.col("product_id") % 7 == 0) & even).select("retailer", "external_id")
+    return runs.purge(evidence, c.product, _identifiers(c), c.listing, c.retailer)[3]
+
+
 def _identifiers(c):
     return c.product.where("gtin is not null").select("product_id", F.lit("gtin").alias("identifier_type"), F.col("gtin").alias("identifier_value"), F.lit("test").alias("source"))
 
@@ -297,6 +309,17 @@ def search_topk(spark, d):
     return s.select("request_id", "rank", "product_id", "name", "maker", "popularity", F.array_join("shops", ",").alias("shops"), F.col("min_price").cast("double").alias("min_price"), "available", "match_type", "score")
 
 
+@query(_SEARCH + """, own AS (SELECT DISTINCT product_id FROM listing WHERE enabled AND retailer_id % 4 = 1), t AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, popularity DESC, canonical_name, product_id) AS place FROM s JOIN own USING (product_id))
+    SELECT request_id, CAST(place AS INTEGER) AS rank, product_id, shops, match_type, CAST(score AS INTEGER) AS score FROM t WHERE place <= 5""", True)
+def search_in_shops(spark, d):
+    """The same requests, each kept to what one shop in four sells; the other shops still show."""
+    c = catalog(spark, d)
+    few = retailers(spark, d).where("retailer_id % 4 = 1").agg(F.array_sort(F.collect_list("retailer")).alias("few"))
+    asked = _requests(spark, d).drop("retailers").crossJoin(F.broadcast(few.withColumnRenamed("few", "retailers")))
+    s = search.search(asked, c.product, c.listing, c.retailer, limit=5)
+    return s.select("request_id", "rank", "product_id", F.array_join("shops", ",").alias("shops"), "match_type", "score")
+
+
 @query(_SEARCH + " SELECT match_type, count(*) AS n FROM s GROUP BY 1", True)
 def search_rungs(spark, d):
     c = catalog(spark, d)
@@ -327,6 +350,18 @@ def shops_for(spark, d):
     return s.select("folded", "product_id", "name", "maker", F.array_join("shops", ",").alias("shops"))
 
 
+@query(_NAMED + """, hit AS (SELECT DISTINCT lower(canonical_name) AS folded, product_id FROM goods UNION SELECT lower(retailer_name), product_id FROM listing),
+    sh AS (SELECT product_id, string_agg(DISTINCT retailer, ',' ORDER BY retailer) AS shops FROM listing WHERE enabled AND market = 'EUROPE' GROUP BY 1),
+    r AS (SELECT folded, product_id, brand AS maker, shops, row_number() OVER (PARTITION BY folded ORDER BY popularity DESC, canonical_name, product_id) AS n FROM hit JOIN product USING (product_id) JOIN sh USING (product_id) WHERE folded IN (SELECT lower(p_name) FROM part))
+    SELECT folded, product_id, display_name AS name, maker, shops FROM r JOIN dn USING (product_id) WHERE n = 1""", True)
+def shops_in_market(spark, d):
+    """Each part name, asked for in one market: products that it doesn't sell go before the choice."""
+    c = catalog(spark, d)
+    asked = read(spark, d, "part").select(F.col("p_name").alias("request_id")).distinct().select("request_id", F.array("request_id").alias("names"), F.array(F.lit("EUROPE")).alias("markets"))
+    s = search.shops_for(asked, c.product, c.listing, c.retailer)
+    return s.select("folded", "product_id", "name", "maker", F.array_join("shops", ",").alias("shops"))
+
+
 @query(_NAMED + """, sold AS (SELECT DISTINCT product_id FROM listing WHERE enabled AND market = 'EUROPE')
     SELECT gtin AS request_id, product_id, display_name AS name, brand AS maker, popularity FROM product JOIN dn USING (product_id) WHERE gtin IS NOT NULL AND product_id IN (SELECT product_id FROM sold)""", True)
 def barcode_lookup(spark, d):
@@ -404,14 +439,43 @@ def _lines(spark, d):
     return read(spark, d, "events").select(F.col("user_id").cast("string").alias("run_id"), F.col("ts").alias("t"), level.alias("level"), F.col("event_type").alias("scope"), F.col("props").alias("message"))
 
 
-@query(f"""WITH {_LINES}, n AS (SELECT *, row_number() OVER (PARTITION BY run_id, level ORDER BY t, scope, message) AS k FROM line), cap(level, cap) AS (VALUES ('info', 20), ('warn', 5)),
+_CAPPED = f"""WITH {_LINES}, n AS (SELECT *, row_number() OVER (PARTITION BY run_id, level ORDER BY t, scope, message) AS k FROM line), cap(level, cap) AS (VALUES ('info', 20), ('warn', 5)),
     s AS (SELECT run_id, level, count(*) AS n, max(t) AS t FROM line GROUP BY 1, 2)
     SELECT run_id, t, n.level AS level, scope, message FROM n LEFT JOIN cap ON cap.level = n.level WHERE cap IS NULL OR k <= cap
-    UNION ALL SELECT run_id, t, 'warn', 'run-log', CAST(n - cap AS VARCHAR) || ' ' || s.level || ' lines were not kept: a run keeps at most ' || CAST(cap AS VARCHAR) FROM s JOIN cap ON cap.level = s.level WHERE n > cap""")
+    UNION ALL SELECT run_id, t, 'warn', 'run-log', CAST(n - cap AS VARCHAR) || ' ' || s.level || ' lines were not kept: a run keeps at most ' || CAST(cap AS VARCHAR) FROM s JOIN cap ON cap.level = s.level WHERE n > cap"""
+
+
+@query(_CAPPED)
 def log_caps(spark, d):
     return logs.capped(_lines(spark, d), {"info": 20, "warn": 5})
 
 
+@query(_CAPPED)
+def stream_log_caps(spark, d):
+    """Lines arrive in three parts, each handled by a query of its own that goes on from the checkpoint of the one before;
+    runs close with the last part."""
+    from marketloom.streaming import logs as log_streams
+
+    path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}"
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before, lines = spark.conf.get(store), _lines(spark, d)
+    ends = lines.select("run_id").distinct()
+    span = lines.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
+    third = (span["b"] - span["a"]) / 3 if span["a"] else None
+    log_streams.with_state_store(spark)
+    try:
+        for k in range(3 if third else 0):
+            part = lines.where((F.col("t") >= span["a"] + k * third) if k else F.lit(True)).where((F.col("t") < span["a"] + (k + 1) * third) if k < 2 else F.lit(True))
+            part.write.mode("append").parquet(f"{path}/lines")
+            (ends if k == 2 else ends.limit(0)).write.mode("append").parquet(f"{path}/ends")
+            said, closed = (spark.readStream.schema(df.schema).parquet(f"{path}/{name}") for df, name in ((lines, "lines"), (ends, "ends")))
+            kept = log_streams.capped_stream(said, closed, {"info": 20, "warn": 5})
+            kept.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start(f"{path}/kept").awaitTermination()
+    finally:
+        spark.conf.set(store, before)
+    return spark.read.parquet(f"{path}/kept") if third else lines
+
+
 @query(f"WITH {_LINES} SELECT run_id, t, level FROM line WHERE t >= (TIMESTAMP '2024-02-05 00:00:00' - INTERVAL 30 DAY)")
 def log_ttl(spark, d):
     return logs.recent(_lines(spark, d), "2024-02-05 00:00:00").select("run_id", "t", "level")
@@ -451,10 +515,10 @@ def _sitemap(spark, d):
     escaped = F.when(F.col("page_id") % 2 == 0, F.replace(escaped, F.lit("é"), F.lit("&#233;"))).otherwise(escaped)
     loc = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit('<loc></loc><xhtml:link rel="alternate" href="'), escaped, F.lit('"/>'))).otherwise(F.concat(F.lit("<loc>"), escaped, F.lit("</loc>")))
     stamp = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<lastmod>2024-01-"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0"), F.lit("</lastmod>"))).when(F.col("page_id") % 5 == 0, "<lastmod>soon</lastmod>").otherwise("")
-    return p.groupBy(F.floor(F.col("page_id") / 10).alias("file")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(F.concat(F.lit("<url>"), loc, stamp, F.lit("</url>"))), ""), F.lit("</urlset>")).alias("body"))
+    return p.groupBy(F.floor(F.col("page_id") / 10).alias("file")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", F.concat(F.lit("<url>"), loc, stamp, F.lit("</url>")).alias("b")))), lambda x: x["b"]), ""), F.lit("</urlset>")).alias("body"))
 
 
-_ENTRIES = "e AS (SELECT url || '?é' AS loc, CASE WHEN page_id % 2 = 0 THEN make_timestamp(2024, 1, CAST(page_id % 28 + 1 AS BIGINT), 0, 0, 0.0) END AS lastmod FROM pages)"
+_ENTRIES = "e AS (SELECT page_id, url || '?é' AS loc, CASE WHEN page_id % 2 = 0 THEN make_timestamp(2024, 1, CAST(page_id % 28 + 1 AS BIGINT), 0, 0, 0.0) END AS lastmod FROM pages)"
 
 
 @query(f"WITH {_ENTRIES} SELECT loc, lastmod FROM e")
@@ -462,9 +526,11 @@ def sitemap_urls(spark, d):
     return captures.urlset(_sitemap(spark, d))
 
 
-@query(f"WITH {_ENTRIES}, k AS (SELECT loc, row_number() OVER (ORDER BY loc, lastmod NULLS FIRST) - 1 AS k FROM e WHERE lastmod IS NULL OR lastmod >= TIMESTAMP '2024-01-15') SELECT loc FROM k WHERE k % 3 = 1")
+@query(f"WITH {_ENTRIES}, k AS (SELECT loc, row_number() OVER (ORDER BY page_id) - 1 AS k FROM e WHERE lastmod IS NULL OR lastmod >= TIMESTAMP '2024-01-15') SELECT loc FROM k WHERE k % 3 = 1")
 def incremental_shard(spark, d):
-    return captures.shard(captures.incremental(captures.urlset(_sitemap(spark, d)), "2024-01-15 00:00:00"), 1, 3).select("loc")
+    """A third of what is new, by place in the sitemaps."""
+    entries = captures.urlset(_sitemap(spark, d), order="file")
+    return captures.shard(captures.incremental(entries, "2024-01-15 00:00:00"), 1, 3, "file", "place").select("loc")
 
 
 @query("""WITH p AS (SELECT l_suppkey AS department, l_linenumber AS page, list_sort(list(DISTINCT l_partkey % 3)) AS ids FROM lineitem GROUP BY 1, 2),

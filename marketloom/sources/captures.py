@@ -68,26 +68,28 @@ def sitemap_index(files: DataFrame, body: str = "body") -> DataFrame:
     return named.select(_decoded(F.col("loc")).alias("loc")).where("loc <> ''").distinct()
 
 
-def urlset(files: DataFrame, body: str = "body") -> DataFrame:
+def urlset(files: DataFrame, body: str = "body", order: str | None = None) -> DataFrame:
     """loc and lastmod of each url block; an empty loc falls back to the alternate link; a bad date is null; broken XML
-    gives fewer rows, never an error."""
-    block = files.select(F.explode(F.regexp_extract_all(body, F.lit(r"(?is)<url>(.*?)</url>"), F.lit(1))).alias("b"))
+    gives fewer rows, never an error. With order, the column that orders the files, that and each block's place in its
+    file come along."""
+    kept = [] if order is None else [order, "place"]
+    block = files.select(*kept[:1], F.posexplode(F.regexp_extract_all(body, F.lit(r"(?is)<url>(.*?)</url>"), F.lit(1))).alias("place", "b"))
     loc = _decoded(F.regexp_extract("b", r"(?is)<loc>\s*(.*?)\s*</loc>", 1))
     other = _decoded(F.regexp_extract("b", r"""(?is)<xhtml:link\b[^>]*?\bhref=["']([^"']+)["']""", 1))
     stamp = F.regexp_extract("b", r"(?is)<lastmod>\s*(.*?)\s*</lastmod>", 1)
-    return block.select(F.coalesce(F.nullif(loc, F.lit("")), other).alias("loc"), F.try_to_timestamp(F.nullif(stamp, F.lit(""))).alias("lastmod")).where("loc <> ''")
+    return block.select(*kept, F.coalesce(F.nullif(loc, F.lit("")), other).alias("loc"), F.try_to_timestamp(F.nullif(stamp, F.lit(""))).alias("lastmod")).where("loc <> ''")
 
 
 def incremental(entries: DataFrame, since) -> DataFrame:
     return entries if since is None else entries.where(F.col("lastmod").isNull() | (F.col("lastmod") >= F.lit(since).cast("timestamp")))
 
 
-def shard(entries: DataFrame, i: int, n: int, order: str = "loc") -> DataFrame:
-    """Every nth entry by its place in the order: rows are counted within ranges of the sorted table, so that no task
-    holds all of them."""
+def shard(entries: DataFrame, i: int, n: int, *order: str) -> DataFrame:
+    """Every nth entry by its place in the order (columns: the sitemap's and the place in it, as urlset gives them): rows
+    are counted within ranges of it, so that no task holds all of them. To be taken after the incremental filter."""
     from marketloom.session import written
 
-    placed = written(entries.repartitionByRange(order).sortWithinPartitions(order).withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    placed = written(entries.repartitionByRange(*order).sortWithinPartitions(*order).withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
     sizes = placed.groupBy("__part").agg(F.count("*").alias("n")).orderBy("__part").collect()  # a row for each partition
     before, starts = 0, []
     for r in sizes:
