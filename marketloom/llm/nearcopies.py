@@ -4,8 +4,9 @@ Texts with the same set of shingles are one class. Bands of min-hashes bring cla
 share a bucket have sketches, a bit of each of SKETCH min-hashes; a pair whose sketches differ in more bits than near
 copies do is no pair, which the join on the bucket itself finds out, so that a large group of texts that are alike, but
 not enough, costs bit counts and no texts. Every other pair is compared exactly, unless the two are joined already by
-other pairs. A bucket's classes are first compared with one of them, later with some of each component that it still
-holds, so that a large group of copies costs a comparison for each member and not one for each pair.
+other pairs. A bucket's classes are first compared with one of them, then with one of each component that it still
+holds, and then with all that they are not joined to, so that a large group of copies costs a comparison for each member
+and not one for each pair.
 Texts whose numbers of shingles differ too much to be near copies are no pair.
 """
 
@@ -14,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blobs, components, discard, give_back, written
@@ -127,16 +128,19 @@ def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> Data
     tested = written(first_pairs.distinct())
     found = written(_near(tested, texts))
     named = written(components(found))
-    leaders, again = 1, False
-    while True:
+    for turn in ("one", "each", "all"):
         now = written(left.join(named.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
-        mixed = written(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket"))
+        mixed = written(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cls").alias("first")).where("low <> high").select("bucket", "first"))
         before, now = now, written(now.join(mixed, "bucket"))
         discard(before, mixed, left)
         if now.isEmpty():
             return named
-        order = Window.partitionBy("bucket", *(["component"] if again else [])).orderBy("cls")
-        lead = written(now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders).select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("component").alias("of")))
+        # A bucket's members are held against its first class, then against the first of each component, then all.
+        lead = now.where("cls = first") if turn == "one" else now
+        if turn == "each":
+            firsts = written(now.groupBy("bucket", "component").agg(F.min("cls").alias("cls")).select("bucket", "cls"))
+            lead = now.join(firsts, ["bucket", "cls"], "left_semi")
+        lead = written(lead.select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("component").alias("of")))
         fits = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size") - 1e-9  # else even one set within the other is too unlike
         differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("lead_sketch")[k])) for k in range(SKETCH // 64)), F.lit(0))
         pairs = now.join(lead, "bucket").where((F.col("component") != F.col("of")) & fits & (differ <= DIFFER)).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
@@ -146,11 +150,10 @@ def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> Data
         # What is joined already is a star for each component, so that few steps add what is new.
         stars = named.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         old, named = named, written(components(stars.unionByName(found)))
-        # A leader has been compared with all of its bucket that it is not joined to.
-        left = now.select("bucket", "cls", "size", "sketch").join(lead.select("bucket", F.col("lead").alias("cls")), ["bucket", "cls"], "left_anti")
-        left = written(left)
+        left = written(now.select("bucket", "cls", "size", "sketch"))
         discard(now, lead, old, found)
-        leaders, again = 2 * leaders if again else 1, True
+    discard(left)
+    return named
 
 
 def chosen(docs: DataFrame, rows: DataFrame, named: DataFrame, done: tuple[DataFrame, ...]) -> DataFrame:
