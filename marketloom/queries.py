@@ -457,23 +457,21 @@ def stream_log_caps(spark, d):
     from marketloom.streaming import logs as log_streams
 
     path = f"{shared_folder(spark)}/marketloom/{uuid.uuid4().hex}"
-    store = "spark.sql.streaming.stateStore.providerClass"
-    before, lines = spark.conf.get(store), _lines(spark, d)
+    lines = _lines(spark, d)
     ends = lines.select("run_id").distinct()
     span = lines.agg(F.min("t").alias("a"), F.max("t").alias("b")).first()
-    third = (span["b"] - span["a"]) / 3 if span["a"] else None
-    log_streams.with_state_store(spark)
-    try:
-        for k in range(3 if third else 0):
+    if span["a"] is None:
+        return lines
+    third = (span["b"] - span["a"]) / 3
+    with log_streams.state_settings(spark):
+        for k in range(3):
             part = lines.where((F.col("t") >= span["a"] + k * third) if k else F.lit(True)).where((F.col("t") < span["a"] + (k + 1) * third) if k < 2 else F.lit(True))
             part.write.mode("append").parquet(f"{path}/lines")
             (ends if k == 2 else ends.limit(0)).write.mode("append").parquet(f"{path}/ends")
             said, closed = (spark.readStream.schema(df.schema).parquet(f"{path}/{name}") for df, name in ((lines, "lines"), (ends, "ends")))
             kept = log_streams.capped_stream(said, closed, {"info": 20, "warn": 5})
             kept.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").outputMode("append").trigger(availableNow=True).start(f"{path}/kept").awaitTermination()
-    finally:
-        spark.conf.set(store, before)
-    return spark.read.parquet(f"{path}/kept") if third else lines
+    return spark.read.parquet(f"{path}/kept")
 
 
 @query(f"WITH {_LINES} SELECT run_id, t, level FROM line WHERE t >= (TIMESTAMP '2024-02-05 00:00:00' - INTERVAL 30 DAY)")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,24 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from marketloom.operators.logs import CAPS, DAYS
 
 _LINE = ["run_id", "t", "level", "scope", "message"]
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def with_state_store(spark: SparkSession) -> SparkSession:
-    """Streams with state of this kind keep it in RocksDB; a checkpoint holds its changes."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    return spark
+#: State in RocksDB, whose changes a checkpoint holds; no batches without data, which state that expires asks for forever.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
+
+
+@contextmanager
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """The settings that these streams start under; the session's own come back after."""
+    before = {k: spark.conf.get(k) for k in SETTINGS}
+    try:
+        for k, v in SETTINGS.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class _Caps(StatefulProcessor):
@@ -55,7 +67,8 @@ def capped_stream(lines: DataFrame, closings: DataFrame, caps: dict[str, int] |
     ends, which brings the summary of each level that was cut.
 
     Of the lines of a batch the earliest come first; what earlier batches kept counts, restarts included. Lines that come
-    after a run's close are kept within what is left. Levels without a cap pass by the state.
+    after a run's close are kept within what is left. Levels without a cap pass by the state. To be started under
+    state_settings.
     """
     caps = CAPS if caps is None else caps
     levels = F.explode(F.array(*[F.lit(x) for x in sorted(caps)]))
