@@ -67,7 +67,7 @@ def test_run_is_the_stages(spark, corpus):
 
 
 def test_queries_are_named_by_operator():
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 def near_stage(spark, rows):
