@@ -23,10 +23,16 @@ from .common import blobs, components, discard, give_back, written
 #: Words of a shingle; similarity from which texts are near copies. At 0.8 a pair misses all buckets once in 2800 times.
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, DEPTH, SEED = 20, 5, 42
-#: Bits of a sketch, and how many may differ: at a similarity of 0.8 a tenth does on average (410 of 4,096, with a deviation
-#: of 19), so that four deviations more leave a pair out once in 30,000 times; they let hardly a pair below 0.72 through.
-SKETCH = 4096
-DIFFER = round(SKETCH * (1 - SIMILAR) / 2 + 4 * (SKETCH * (1 - SIMILAR) / 2 * (1 + SIMILAR) / 2) ** 0.5)
+#: Bits of a sketch, and the words of it that are looked at first.
+SKETCH, FIRST_WORDS = 4096, 16
+
+
+def differ(bits: int) -> int:
+    """How many of so many bits may differ: at a similarity of 0.8 a tenth does on average (410 of 4,096, with a deviation of
+    19), so that four deviations more leave a pair out once in 30,000 times; they let hardly a pair below 0.72 through."""
+    odd = (1 - SIMILAR) / 2
+    return round(bits * odd + 4 * (bits * odd * (1 - odd)) ** 0.5)
+
 
 _RNG = np.random.default_rng(23)
 _TIMES = _RNG.integers(0, 1 << 63, BANDS * DEPTH, np.uint64) << np.uint64(1) | np.uint64(1)
@@ -115,44 +121,65 @@ def sketched(texts: DataFrame) -> DataFrame:
     return texts.select("cls", "text").mapInArrow(run, "cls long, sketch array<long>")
 
 
+def _labels(found: DataFrame) -> DataFrame:
+    """(cls, label) of classes that links (a, b; a < b) join to a smaller one. Equal labels are joined by links; classes
+    that links join may still have different labels, which costs a comparison and loses nothing."""
+    label = written(found.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("label")))
+    up = label.select(F.col("cls").alias("label"), F.col("label").alias("above"))
+    higher = label
+    for _ in range(2):
+        higher = higher.join(up, "label", "left").select("cls", F.coalesce("above", "label").alias("label"))
+    got = written(higher)
+    discard(label)
+    return got
+
+
 def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> DataFrame:
     """(node, component) of the classes (cls, buckets, size: shingles) that have a near copy. first_pairs (a, b): compared
     before others."""
     members = classes.select("cls", "size", F.explode("buckets").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    left = written(members.join(shared, "bucket").select("bucket", "cls", "size"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cls").alias("first")).where("n > 1").select("bucket", "first")
+    left = written(members.join(shared, "bucket").select("bucket", "cls", "size", "first"))
     met = left.select("cls").distinct()
     bits = written(sketched(texts.join(met, "cls", "left_semi")))
     left, plain = written(left.join(bits, "cls")), left
     discard(plain, bits)
-    tested = written(first_pairs.distinct())
-    found = written(_near(tested, texts))
-    named = written(components(found))
+    words = [F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("lead_sketch")[k])) for k in range(SKETCH // 64)]
+    # Most pairs are told apart by the first bits; the rest is counted only for those that are left.
+    alike = (sum(words[:FIRST_WORDS], F.lit(0)) <= differ(64 * FIRST_WORDS)) & (sum(words, F.lit(0)) <= differ(SKETCH))
+    fits = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size") - 1e-9  # else even one set within the other is too unlike
+    none = texts.sparkSession.createDataFrame([], "a long, b long")
+    tested = found = none
+    made = []
+    now, label = left.withColumn("label", F.col("cls")), None
+    # A bucket's members are held against its first class, then against the first of each label, then all. Links join
+    # classes only at the end; labels between the turns are there to leave comparisons out.
     for turn in ("one", "each", "all"):
-        now = written(left.join(named.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls")))
-        mixed = written(now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cls").alias("first")).where("low <> high").select("bucket", "first"))
-        before, now = now, written(now.join(mixed, "bucket"))
-        discard(before, mixed, left)
-        if now.isEmpty():
-            return named
-        # A bucket's members are held against its first class, then against the first of each component, then all.
-        lead = now.where("cls = first") if turn == "one" else now
-        if turn == "each":
-            firsts = written(now.groupBy("bucket", "component").agg(F.min("cls").alias("cls")).select("bucket", "cls"))
+        if label is not None:
+            labelled = written(left.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
+            mixed = written(labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket"))
+            now = written(labelled.join(mixed, "bucket"))
+            discard(labelled, mixed, label, left)
+            left = now.drop("label")
+            if now.isEmpty():
+                break
+        lead = now
+        if turn == "one":
+            lead = now.where("cls = first")
+        elif turn == "each":
+            firsts = written(now.groupBy("bucket", "label").agg(F.min("cls").alias("cls")).select("bucket", "cls"))
             lead = now.join(firsts, ["bucket", "cls"], "left_semi")
-        lead = written(lead.select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("component").alias("of")))
-        fits = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size") - 1e-9  # else even one set within the other is too unlike
-        differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("lead_sketch")[k])) for k in range(SKETCH // 64)), F.lit(0))
-        pairs = now.join(lead, "bucket").where((F.col("component") != F.col("of")) & fits & (differ <= DIFFER)).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        found = written(_near(pairs, texts))
-        tested = tested.unionByName(pairs)
-        # What is joined already is a star for each component, so that few steps add what is new.
-        stars = named.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        old, named = named, written(components(stars.unionByName(found)))
-        left = written(now.select("bucket", "cls", "size", "sketch"))
-        discard(now, lead, old, found)
-    discard(left)
+        lead = written(lead.select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("label").alias("of")))
+        once = F.col("cls") > F.col("lead") if turn != "each" else F.col("cls") != F.col("lead")
+        pairs = now.join(lead, "bucket").where((F.col("label") != F.col("of")) & once & fits & alike).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b"))
+        pairs = written((pairs.unionByName(first_pairs) if turn == "one" else pairs).distinct().join(tested, ["a", "b"], "left_anti"))
+        discard(lead)
+        links = written(_near(pairs, texts))
+        tested, found = tested.unionByName(pairs), found.unionByName(links)
+        made += [pairs, links]
+        label = _labels(found) if turn != "all" else None
+    named = components(found)
+    discard(left, *made)
     return named
 
 
