@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marketloom.functions import text
+from marketloom.session import discard, written
 
 # Points of the ranks, best first, and of the bonuses.
 RANKS = {"name_exact": 100, "name_prefix": 80, "brand_exact": 70, "name_tokens": 60, "brand_prefix": 50, "blob_tokens": 30, "blob_substring": 20, "fuzzy": 5}
@@ -51,41 +50,52 @@ def candidates(requests: DataFrame, products: DataFrame, fuzzy: bool = False) ->
     return found
 
 
-def _trigrams(word: str) -> list[str]:
-    padded = f"  {word} "
-    return [padded[i : i + 3] for i in range(len(padded) - 2)]
+def trigrams(words: Column) -> Column:
+    """The trigrams of a text's words in order, each word with two blanks before it and one behind."""
+    pieces = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
+    return F.flatten(F.transform(F.filter(F.split(words, " "), lambda w: w != ""), pieces))
 
 
-def word_similarity(query: str, blob: str) -> float:
+def _once(value: Column, f) -> Column:
+    """f of value, which is worked out once for all its uses, inner ones included."""
+    return F.transform(F.array(value), f)[0]
+
+
+def word_similarity(query: Column, blob: Column) -> Column:
     """Greatest likeness of the query's trigrams and those of any run of the blob's: distinct trigrams in both over
-    distinct trigrams in either. A best run begins and ends with a trigram of the query."""
-    mine = {t for w in query.split() for t in _trigrams(w)}
-    theirs = [t for w in blob.split() for t in _trigrams(w)]
-    best = 0.0
-    for i, first in enumerate(theirs):
-        if first not in mine:
-            continue
-        run, common = set(), 0
-        for t in theirs[i:]:
-            if t not in run:
-                run.add(t)
-                common += t in mine
-                if t in mine:
-                    best = max(best, common / (len(mine) + len(run) - common))
-                elif len(mine) <= best * (len(run) + len(mine) - common):  # not even all of mine could win any more
-                    break
-    return best
-
-
-@F.pandas_udf(T.DoubleType())
-def _word_similarity(query: pd.Series, blob: pd.Series) -> pd.Series:
-    return pd.Series([word_similarity(q, b) for q, b in zip(query, blob)])
+    distinct trigrams in either; null texts and texts without words are like nothing (0).
+
+    A best run begins and ends with a trigram of the query. Its distinct trigrams are its length less the places at which
+    one comes again, so that only the query's places and those of repeats are gone through.
+    """
+
+    def marks(mine: Column, theirs: Column) -> Column:
+        """(place, the place where the trigram stood last or 0, whether it is the query's) of the query's and of repeats."""
+        back = lambda t, p: F.array_position(F.reverse(F.slice(theirs, F.lit(1), p)), t)
+        last = lambda t, p: _once(back(t, p), lambda k: F.when(k > 0, p + 1 - k).otherwise(F.lit(0)))
+        every = F.transform(theirs, lambda t, p: F.struct((p + 1).alias("at"), last(t, p).cast("int").alias("last"), F.array_contains(mine, t).alias("own")))
+        return F.filter(every, lambda m: m["own"] | (m["last"] > 0))
+
+    def best_from(a: Column, own: Column, again: Column, size: Column) -> Column:
+        def grow(run: Column, m: Column) -> Column:
+            n = m["at"] - a + 1 - F.size(F.filter(again, lambda r: (r["at"] <= m["at"]) & (r["last"] >= a)))
+            common = run["common"] + 1
+            return F.when((m["at"] < a) | (m["last"] >= a), run).otherwise(F.struct(common.alias("common"), F.greatest(run["best"], common / (size + n - common)).alias("best")))
+
+        return F.aggregate(own, F.struct(F.lit(0).alias("common"), F.lit(0.0).alias("best")), grow, lambda run: run["best"])
+
+    def best(mine: Column, marked: Column) -> Column:
+        among = lambda own, again: F.array_max(F.transform(own, lambda m: best_from(m["at"], own, again, F.size(mine))))
+        return _once(F.filter(marked, lambda m: m["own"]), lambda own: _once(F.filter(marked, lambda m: m["last"] > 0), lambda again: among(own, again)))
+
+    found = _once(F.array_distinct(trigrams(query)), lambda mine: _once(_once(trigrams(blob), lambda theirs: marks(mine, theirs)), lambda marked: best(mine, marked)))
+    return F.coalesce(found, F.lit(0.0))
 
 
 def fuzzy_matches(requests: DataFrame, products: DataFrame, least: float = FUZZY) -> DataFrame:
     """(request_id, product_id, similarity) of at least least. Only products that share a trigram of a word's beginning
     with the request are compared: such a share of the trigrams cannot be reached without any in common."""
-    pieces = lambda c: F.array_distinct(F.flatten(F.transform(F.split(c, " "), lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3))))))
+    pieces = lambda c: F.array_distinct(trigrams(c))
     mine = requests.select("request_id", F.size(pieces(F.col("query"))).alias("size"), F.explode(pieces(F.col("query"))).alias("gram"))
     theirs = products.select("product_id", F.explode(pieces(F.col("search_blob"))).alias("gram")).join(mine.select("gram").distinct(), "gram", "left_semi")
     # Of least * size in common, one at least is among the size - ceil(least * size) + 1 that fewest products have.
@@ -96,8 +106,13 @@ def fuzzy_matches(requests: DataFrame, products: DataFrame, least: float = FUZZY
     # Products often share a text: each pair of texts is compared once.
     pairs = close.join(requests.select("request_id", "query"), "request_id").join(products.select("product_id", "search_blob"), "product_id")
     shared = F.size(F.array_intersect(pieces(F.col("query")), pieces(F.col("search_blob"))))
-    enough = pairs.select("query", "search_blob").distinct().where(shared >= F.lit(least) * F.size(pieces(F.col("query"))))
-    alike = enough.withColumn("similarity", _word_similarity("query", "search_blob")).where(F.col("similarity") >= least)
+    # Both steps are tables: their conditions would else be worked out before the pairs are made distinct, in the few tasks
+    # that so few bytes get. Hence as many tasks as a shuffle has.
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = written(pairs.select("query", "search_blob").repartition(tasks, "query", "search_blob").distinct())
+    enough = once.where(shared >= F.lit(least) * F.size(pieces(F.col("query"))))
+    alike = written(enough.withColumn("similarity", word_similarity(F.col("query"), F.col("search_blob")))).where(F.col("similarity") >= least)
+    discard(once)
     return pairs.join(alike, ["query", "search_blob"]).select("request_id", "product_id", "similarity")
 
 

@@ -371,7 +371,16 @@ def barcode_lookup(spark, d):
     return search.lookup_barcodes(asked, product, _identifiers(c), listing, c.retailer)
 
 
-@query()
+_GRAMS = "flatten(list_transform(list_filter(string_split({0}, ' '), lambda w: w <> ''), lambda w: list_transform(range(1, CAST(length(w) AS BIGINT) + 2), lambda i: substr('  ' || w || ' ', i, 3))))"
+
+
+@query(f""", asked AS (SELECT p_name AS request_id FROM part UNION SELECT split_part(p_name, ' ', -1) FROM part UNION SELECT p_brand FROM part),
+    q AS (SELECT request_id, list_distinct({_GRAMS.format("replace(lower(request_id), 'o', '0')")}) AS mine FROM asked),
+    t AS (SELECT search_blob, {_GRAMS.format("search_blob")} AS theirs FROM (SELECT DISTINCT search_blob FROM product)),
+    near AS (SELECT request_id, search_blob, mine, theirs, list_filter(range(1, CAST(len(theirs) AS BIGINT) + 1), lambda i: list_contains(mine, theirs[i])) AS places FROM q, t WHERE len(list_intersect(mine, theirs)) >= 0.42 * len(mine)),
+    run AS (SELECT request_id, search_blob, mine, unnest(flatten(list_transform(places, lambda a: list_transform(list_filter(places, lambda b: b >= a), lambda b: list_distinct(theirs[a:b]))))) AS r FROM near),
+    alike AS (SELECT request_id, search_blob, max(len(list_intersect(mine, r)) / (len(mine) + len(r) - len(list_intersect(mine, r)))) AS similarity FROM run GROUP BY 1, 2)
+    SELECT request_id, product_id, similarity FROM alike JOIN product USING (search_blob) WHERE similarity >= 0.42""", True)
 def fuzzy_recall(spark, d):
     c = catalog(spark, d)
     asked = search.tokenised(_requests(spark, d).withColumn("query", F.translate("query", "O", "0")))

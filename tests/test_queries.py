@@ -11,8 +11,3 @@ pytestmark = pytest.mark.skipif(not DATA.exists(), reason="the test tables are n
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_agrees_with_its_sql(spark, name):
     agree(spark, queries.QUERIES[name], queries.ORACLES[name])
-
-
-def test_fuzzy_recall_finds_what_was_misspelled(spark):
-    rows = queries.QUERIES["fuzzy_recall"](spark, str(DATA))
-    assert rows.count() > 0 and rows.where("similarity < 0.42").count() == 0
