@@ -165,6 +165,28 @@ def test_label_model_finds_rates_and_repeated_voters():
     assert abs(rates[0, 0] - 0.8) < 0.08 and ((post > 0.5) == y)[2000:].mean() > 0.9
 
 
+def test_label_model_over_all_documents_is_the_one_in_memory(spark):
+    rng = np.random.default_rng(1)
+    y = rng.random(600) < 0.3
+    votes = np.stack([np.where(y, rng.random(600) < a, rng.random(600) < b) for a, b in ((0.8, 0.05), (0.6, 0.1), (0.7, 0.2))]).T.astype(float)
+    gold = np.where(rng.random(600) < 0.5, y.astype(int), -1)
+    start = toxicity.Rates(0.2, np.full(3, 0.6), np.full(3, 0.1), np.ones(3), 0.9)
+    rows = [(np.packbits(v.astype(np.uint8)).tobytes(), int(g), 1) for v, g in zip(votes, gold)]
+    patterns = spark.createDataFrame(rows, "bits binary, gold int, n long").groupBy("bits", "gold").agg(F.sum("n").alias("n"))
+    got = toxicity._next_rates(patterns, start, True)
+    post = start.posterior(votes, gold)
+    left = votes - np.outer(post, start.on) - np.outer(1 - post, start.off)
+    sd = np.sqrt((left**2).mean(axis=0))
+    assert got.on == pytest.approx((post @ votes + 0.5) / (post.sum() + 1)) and got.p == pytest.approx(post.mean())
+    assert got.share == pytest.approx(1 / ((left.T @ left / 600 / np.outer(sd, sd)) ** 2).sum(axis=1), abs=1e-4)
+    assert got.trust == pytest.approx(np.clip(np.where(gold == 1, post, 1 - post)[gold >= 0].mean(), 0.6, toxicity.TRUST))
+
+
+def test_words_of_any_length_vote():
+    memo = toxicity._Memo(["=" + "x" * 80, "xxx"])
+    assert toxicity._counts("x" * 80, memo, 2)[0][:2].tolist() == [1, 1] and not memo
+
+
 # --- personal data -------------------------------------------------------------------------------------------------------
 
 BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
