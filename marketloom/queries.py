@@ -151,11 +151,11 @@ def import_counters(spark, d):
 
 
 def _seen(spark, d):
-    """The observation log as import rows in order, and their decisions: each row is accepted for the part it shows."""
+    """The observation log as import rows in order, and their decisions: each row is accepted for the part it shows. The
+    ordinals are structs, so that they stay apart however many shops, parts and observations there are."""
     o = observations(spark, d)
-    order = F.row_number().over(Window.partitionBy("retailer_id", "product_id").orderBy("ordinal"))
     rows = o.select(
-        (F.col("retailer_id") * 1_000_000_000 + F.col("product_id") * 1000 + order).alias("ordinal"), F.concat_ws("-", "retailer_id", "product_id").alias("external_id"), F.col("product_id").cast("string").alias("name"), F.lit(None).cast("string").alias("brand"),
+        F.struct("retailer_id", "product_id", "ordinal").alias("ordinal"), F.concat_ws("-", "retailer_id", "product_id").alias("external_id"), F.col("product_id").cast("string").alias("name"), F.lit(None).cast("string").alias("brand"),
         F.lit(None).cast("string").alias("gtin"), F.col("price"), F.lit("EUR").alias("currency"), F.lit(None).cast("decimal(18,3)").alias("quantity"), F.lit(None).cast("string").alias("unit"), F.lit(None).cast("string").alias("category"),
         F.lit("https://shop").alias("product_url"), "available", F.col("ordinal").alias("nth"), F.col("product_id").cast("string").alias("product_id"),
     )
