@@ -237,7 +237,9 @@ def products_after(products: DataFrame, decisions: DataFrame, started_at) -> Dat
 def derived(products: DataFrame, listings: DataFrame) -> DataFrame:
     """products with what follows from them and their listings: merge_key, listing_count, popularity, search_blob and the
     folded names. A product is seen first when its first listing was, unless it says so itself."""
-    names = listings.groupBy("product_id").agg(F.count("*").alias("listing_count"), F.array_join(F.array_sort(F.collect_set(text.fold(F.col("retailer_name")))), " ").alias("names"), F.min("first_seen_at").alias("first_listed_at"))
+    # Shops often use one name: each name of a product is folded once.
+    named = listings.groupBy("product_id", "retailer_name").agg(F.count("*").alias("n"), F.min("first_seen_at").alias("first_seen_at"))
+    names = named.groupBy("product_id").agg(F.sum("n").alias("listing_count"), F.array_join(F.array_sort(F.collect_set(text.fold(F.col("retailer_name")))), " ").alias("names"), F.min("first_seen_at").alias("first_listed_at"))
     ours = ["listing_count", "popularity", "first_seen_at", "merge_key", "search_blob", "name_folded", "brand_folded"]
     plain = [c for c in products.columns if c not in ours]
     first = F.coalesce("first_seen_at", "first_listed_at") if "first_seen_at" in products.columns else F.col("first_listed_at")

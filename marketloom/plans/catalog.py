@@ -41,7 +41,9 @@ class Catalog:
     def listing(self) -> DataFrame:
         """product_id, retailer, external_id, what the shop says of it, price, currency, available, and times."""
         named = self.goods.select("product_id", "canonical_name", "brand", "category")
-        listing = latest(self.observation).join(self.shops.select("retailer_id", "retailer"), "retailer_id").join(named, "product_id")
+        # Dealt by product once: the windows and the join with the products need no other shuffle.
+        seen = latest(logged(self.spark, self.sf_dir).repartition("product_id"), _LOGGED)
+        listing = seen.join(F.broadcast(self.shops.select("retailer_id", "retailer")), "retailer_id").join(named, "product_id")
         own = F.when(F.col("retailer_id") % 2 == 0, F.col("canonical_name")).otherwise(F.concat_ws(" ", "canonical_name", "brand"))
         return written(listing.select(
             "product_id", "retailer", F.col("product_id").cast("string").alias("external_id"), own.alias("retailer_name"), F.col("brand").alias("retailer_brand"), F.col("category").alias("retailer_category"), "price", F.lit("EUR").alias("currency"), "available",
@@ -81,29 +83,37 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What was seen of each listing and when; ordinal orders the observations of one listing."""
-    li = read(spark, sf_dir, "lineitem")
-    order = Window.partitionBy("l_suppkey", "l_partkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber")
-    return li.select(
+#: What orders the observations of one listing.
+_LOGGED = ["seen_at", "l_orderkey", "l_linenumber"]
+
+
+def logged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was seen of each listing and when; _LOGGED orders the observations of one listing."""
+    return read(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("retailer_id"), F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("seen_at"), F.col("l_extendedprice").cast(PRICE).alias("price"),
-        (F.col("l_returnflag") != "R").alias("available"), F.row_number().over(order).alias("ordinal"),
+        (F.col("l_returnflag") != "R").alias("available"), "l_orderkey", "l_linenumber",
     )
 
 
-def latest(observed: DataFrame) -> DataFrame:
-    """A row for each listing: the last observation, and when it was first seen, last seen and last repriced.
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was seen of each listing and when; ordinal orders the observations of one listing."""
+    order = Window.partitionBy("retailer_id", "product_id").orderBy(*_LOGGED)
+    return logged(spark, sf_dir).withColumn("ordinal", F.row_number().over(order)).drop("l_orderkey", "l_linenumber")
+
+
+def latest(observed: DataFrame, by: list[str] = ["ordinal"]) -> DataFrame:  # noqa: B006
+    """A row for each listing: the last observation, and when it was first seen, last seen and last repriced. by: columns
+    that order the observations of a listing.
 
     previous_price moves only when the price differs from the one before; first_seen_at and last_price_at start with the
-    first observation.
+    first observation. All windows share one order, and so one sort.
     """
-    order = Window.partitionBy("retailer_id", "product_id").orderBy("ordinal")
-    before = F.lag("price").over(order)
-    marked = observed.withColumns({"before": before, "moved": (F.col("ordinal") == 1) | ~before.eqNullSafe(F.col("price"))})
-    change = F.struct("ordinal", "seen_at", "before")
-    last = F.max_by(F.struct("price", "available", "seen_at"), "ordinal")
-    out = marked.groupBy("retailer_id", "product_id").agg(last.alias("last"), F.min("seen_at").alias("first_seen_at"), F.max(F.when(F.col("moved"), change)).alias("change"), F.count("*").alias("seen"))
-    return out.select("retailer_id", "product_id", "last.price", "last.available", "first_seen_at", F.col("last.seen_at").alias("last_seen_at"), F.col("change.before").alias("previous_price"), F.col("change.seen_at").alias("last_price_at"), "seen")
+    order = Window.partitionBy("retailer_id", "product_id").orderBy(*by)
+    so_far, before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow), F.lag("price").over(order)
+    placed = observed.withColumns({"before": before, "seen": F.row_number().over(order), "is_last": F.lead(F.lit(True)).over(order).isNull(), "first_seen_at": F.min("seen_at").over(so_far)})
+    moved = (F.col("seen") == 1) | ~F.col("before").eqNullSafe(F.col("price"))
+    out = placed.withColumn("change", F.last(F.when(moved, F.struct("seen_at", "before")), ignorenulls=True).over(so_far)).where("is_last")
+    return out.select("retailer_id", "product_id", "price", "available", "first_seen_at", F.col("seen_at").alias("last_seen_at"), F.col("change.before").alias("previous_price"), F.col("change.seen_at").alias("last_price_at"), F.col("seen").cast("long").alias("seen"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> Catalog:
