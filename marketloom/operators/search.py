@@ -30,21 +30,31 @@ def grams(words: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, lambda w: F.concat(pieces(w, 1), pieces(w, 2), pieces(w, 3)))))
 
 
+def texts_of(products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(text_id, search_blob), each text once, and (product_id, text_id). A text has the number of its first product.
+
+    Products often share a text: what a request asks of texts is worked out for each text once. The products are joined
+    by shuffle: as files they are much smaller than in memory, so that Spark would broadcast them."""
+    texts = written(products.where("search_blob is not null").groupBy("search_blob").agg(F.min("product_id").alias("text_id")))
+    return texts, products.select("product_id", "search_blob").hint("merge").join(texts.hint("merge"), "search_blob").select("product_id", "text_id")
+
+
 def candidates(requests: DataFrame, products: DataFrame, fuzzy: bool = False) -> DataFrame:
-    """(request columns, product_id) where the product can match at all.
+    """(request_id, product_id) where the product can match at all.
 
-    Every rank but the fuzzy one needs each word of the query within the product's text. Products are listed, by number
+    Every rank but the fuzzy one needs each word of the query within the product's text. Texts are listed, by number
     alone, under those pieces of their words that are asked for: the first three letters of a word, or all of a shorter
     one. A request looks under its rarest piece, and the words are then checked. Not capped.
     """
+    texts, numbered = texts_of(products)
     wanted = F.transform("tokens", lambda t: F.left(t, F.lit(3)))
     asked = requests.select("request_id", F.explode(F.array_distinct(wanted)).alias("gram"))
-    listed = products.select("product_id", F.explode(grams(F.split("search_blob", " "))).alias("gram")).join(asked.select("gram").distinct(), "gram", "left_semi")
+    listed = texts.select("text_id", F.explode(grams(F.split("search_blob", " "))).alias("gram")).join(asked.select("gram").distinct(), "gram", "left_semi")
     counts = listed.groupBy("gram").agg(F.count("*").alias("n"))
     rarest = asked.join(counts, "gram").groupBy("request_id").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
-    pairs = rarest.join(listed, "gram").select("request_id", "product_id").join(requests.select("request_id", "tokens"), "request_id")
-    found = pairs.join(products.select("product_id", "search_blob"), "product_id").where(F.forall("tokens", lambda t: F.contains("search_blob", t)))
-    found = found.select("request_id", "product_id").distinct()
+    pairs = rarest.join(listed, "gram").select("request_id", "text_id").join(requests.select("request_id", "tokens"), "request_id")
+    found = pairs.join(texts, "text_id").where(F.forall("tokens", lambda t: F.contains("search_blob", t)))
+    found = written(found.select("request_id", "text_id").distinct()).join(numbered.hint("merge"), "text_id").select("request_id", "product_id")
     if fuzzy:
         found = found.unionByName(fuzzy_matches(requests, products).select("request_id", "product_id")).distinct()
     return found
@@ -96,24 +106,25 @@ def fuzzy_matches(requests: DataFrame, products: DataFrame, least: float = FUZZY
     """(request_id, product_id, similarity) of at least least. Only products that share a trigram of a word's beginning
     with the request are compared: such a share of the trigrams cannot be reached without any in common."""
     pieces = lambda c: F.array_distinct(trigrams(c))
-    mine = requests.select("request_id", F.size(pieces(F.col("query"))).alias("size"), F.explode(pieces(F.col("query"))).alias("gram"))
-    theirs = products.select("product_id", F.explode(pieces(F.col("search_blob"))).alias("gram")).join(mine.select("gram").distinct(), "gram", "left_semi")
-    # Of least * size in common, one at least is among the size - ceil(least * size) + 1 that fewest products have.
+    # Requests often share a query, and products a text: each pair of a query and a text is compared once.
+    texts, numbered = texts_of(products)
+    mine = requests.select("query").distinct().select("query", F.size(pieces(F.col("query"))).alias("size"), F.explode(pieces(F.col("query"))).alias("gram"))
+    theirs = texts.select("text_id", F.explode(pieces(F.col("search_blob"))).alias("gram")).join(mine.select("gram").distinct(), "gram", "left_semi")
+    # Of least * size in common, one at least is among the size - ceil(least * size) + 1 that fewest texts have.
     counts = theirs.groupBy("gram").agg(F.count("*").alias("n"))
-    rarity = Window.partitionBy("request_id").orderBy("n", "gram")
+    rarity = Window.partitionBy("query").orderBy("n", "gram")
     few = mine.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("place", F.row_number().over(rarity)).where(F.col("place") <= F.col("size") - F.ceil(F.lit(least) * F.col("size")) + 1)
-    close = few.join(theirs, "gram").select("request_id", "product_id").distinct()
-    # Products often share a text: each pair of texts is compared once.
-    pairs = close.join(requests.select("request_id", "query"), "request_id").join(products.select("product_id", "search_blob"), "product_id")
+    close = few.join(theirs, "gram").select("query", "text_id").distinct()
     shared = F.size(F.array_intersect(pieces(F.col("query")), pieces(F.col("search_blob"))))
     # Both steps are tables: their conditions would else be worked out before the pairs are made distinct, in the few tasks
     # that so few bytes get. Hence as many tasks as a shuffle has.
     tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    once = written(pairs.select("query", "search_blob").repartition(tasks, "query", "search_blob").distinct())
+    once = written(close.join(texts, "text_id").repartition(tasks, "query", "search_blob"))
     enough = once.where(shared >= F.lit(least) * F.size(pieces(F.col("query"))))
-    alike = written(enough.withColumn("similarity", word_similarity(F.col("query"), F.col("search_blob")))).where(F.col("similarity") >= least)
+    alike = written(enough.withColumn("similarity", word_similarity(F.col("query"), F.col("search_blob"))).where(F.col("similarity") >= least).select("query", "text_id", "similarity"))
     discard(once)
-    return pairs.join(alike, ["query", "search_blob"]).select("request_id", "product_id", "similarity")
+    of_requests = alike.join(requests.select("request_id", "query"), "query").select("request_id", "text_id", "similarity")
+    return of_requests.hint("merge").join(numbered.hint("merge"), "text_id").select("request_id", "product_id", "similarity")
 
 
 def shelf(pairs: DataFrame, listings: DataFrame, retailers: DataFrame) -> DataFrame:
@@ -145,13 +156,44 @@ def display_names(pairs: DataFrame, products: DataFrame, listings: DataFrame, re
     return out.select("request_id", "product_id", F.coalesce("local", "canonical_name").alias("display_name"))
 
 
+def _scoped(asked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """asked with the number of its scope in place of markets and retailers, and (scope, markets, retailers), each once."""
+    digested = asked.withColumn("digest", F.sha2(F.to_json(F.struct("markets", "retailers")), 256))
+    scopes = written(digested.groupBy("digest").agg(F.first(F.struct("markets", "retailers")).alias("s")).select("digest", F.monotonically_increasing_id().alias("scope"), "s.markets", "s.retailers"))
+    return written(digested.drop("markets", "retailers").join(scopes.select("digest", "scope"), "digest").drop("digest")), scopes.drop("digest")
+
+
+def _on_shelf(places: DataFrame, scopes: DataFrame, listings: DataFrame, retailers: DataFrame) -> DataFrame:
+    """(scope, product_id, available, several) of those places (scope, product_id) that are sold in the scope's markets, and
+    by one of its retailers. Long lists of retailers are joined as rows; shops go by number."""
+    shops = written(retailers.select("retailer").distinct().withColumn("shop", F.monotonically_increasing_id()))
+    sold = listings.select("product_id", "retailer", "available").join(F.broadcast(retailers.where("enabled").join(shops, "retailer")), "retailer").select("product_id", "shop", "market", "available")
+    within = scopes.select("scope", "markets", F.col("retailers").isNull().alias("anywhere"))
+    seen = places.hint("merge").join(sold, "product_id").join(within, "scope").where("markets is null or array_contains(markets, market)").drop("markets", "market")
+    own = scopes.select("scope", F.explode("retailers").alias("retailer")).distinct().join(shops, "retailer").select("scope", "shop", F.lit(True).alias("own"))
+    seen = seen.join(own, ["scope", "shop"], "left")
+    facts = seen.groupBy("scope", "product_id").agg(F.bool_or("available").alias("available"), (F.min("shop") != F.max("shop")).alias("several"), F.bool_or(F.col("anywhere") | F.col("own").isNotNull()).alias("wanted"))
+    return facts.where("wanted").drop("wanted")
+
+
 def scored(asked: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, fuzzy: bool = False) -> DataFrame:
-    """All products that match each request, with match_type and score. asked: from tokenised()."""
-    pairs = candidates(asked, products, fuzzy).join(asked, "request_id")
-    known = pairs.join(shelf(pairs.select("request_id", "product_id", "markets", "retailers"), listings, retailers), ["request_id", "product_id"]).where("retailers is null or wanted")
-    known = known.join(display_names(pairs.select("request_id", "product_id", "markets"), products, listings, retailers), ["request_id", "product_id"])
-    known = known.join(products.select("product_id", "brand", "brand_folded", "popularity", "quantity", "quantity_unit", "search_blob"), "product_id")
-    name, every = text.fold(F.col("display_name")), lambda c: F.forall("tokens", lambda t: F.contains(c, t))
+    """All products that match each request, with match_type and score. asked: from tokenised(). What hangs on markets and
+    retailers alone is worked out for each such scope and product, not for each request."""
+    return _scored(*_scoped(asked), products, listings, retailers, fuzzy)
+
+
+def _scored(terms: DataFrame, scopes: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, fuzzy: bool) -> DataFrame:
+    pairs = written(candidates(terms, products, fuzzy).join(terms.select("request_id", "scope"), "request_id"))
+    places = pairs.select("scope", "product_id").distinct()
+    shown = _on_shelf(places, scopes, listings, retailers).withColumn("local", F.lit(None).cast("string"))
+    if not (abroad := scopes.where("markets is not null")).isEmpty():
+        names = display_names(places.join(abroad.select("scope", "markets"), "scope").withColumnRenamed("scope", "request_id"), products, listings, retailers)
+        shown = shown.drop("local").join(names.select(F.col("request_id").alias("scope"), "product_id", F.col("display_name").alias("local")), ["scope", "product_id"], "left")
+    of_products = products.select("product_id", "canonical_name", "name_folded", "brand", "brand_folded", "popularity", "quantity", "quantity_unit", "search_blob")
+    shown = shown.hint("merge").join(of_products.hint("merge"), "product_id")
+    named = {"name": F.when(F.coalesce(F.col("local") != F.col("canonical_name"), F.lit(False)), text.fold(F.col("local"))).otherwise(F.col("name_folded")), "display_name": F.coalesce("local", "canonical_name")}
+    known = pairs.hint("merge").join(shown.withColumns(named).hint("merge"), ["scope", "product_id"]).join(terms.drop("scope"), "request_id")
+    name, every = F.col("name"), lambda c: F.forall("tokens", lambda t: F.contains(c, t))
     kind = (
         F.when(name == F.col("query"), "name_exact").when(F.startswith(name, F.col("query")), "name_prefix").when(F.col("brand_folded") == F.col("query"), "brand_exact")
         .when(every(name), "name_tokens").when(F.startswith("brand_folded", F.col("query")), "brand_prefix").when(every(F.col("search_blob")), "blob_tokens")
@@ -160,16 +202,22 @@ def scored(asked: DataFrame, products: DataFrame, listings: DataFrame, retailers
     known = known.withColumn("match_type", kind)
     rank_points = F.element_at(F.create_map(*[F.lit(x) for kv in RANKS.items() for x in kv]), F.col("match_type"))
     size_named = F.coalesce(F.contains("query", text.number_key(F.col("quantity"))), F.lit(False))
-    score = rank_points + F.when(F.col("available"), BONUS_AVAILABLE).otherwise(0) + F.when(F.col("n_shops") > 1, BONUS_SHOPS).otherwise(0) + F.when(size_named, BONUS_QUANTITY).otherwise(0)
-    return known.withColumn("score", score)
+    score = rank_points + F.when(F.col("available"), BONUS_AVAILABLE).otherwise(0) + F.when(F.col("several"), BONUS_SHOPS).otherwise(0) + F.when(size_named, BONUS_QUANTITY).otherwise(0)
+    return known.withColumn("score", score).drop("name", "local", "tokens")
 
 
 def search(requests: DataFrame, products: DataFrame, listings: DataFrame, retailers: DataFrame, limit: int = 100, fuzzy: bool = False) -> DataFrame:
     """The best products for each request (request_id, query, markets, retailers): rank, product_id, name, maker,
-    popularity, quantity, quantity_unit, shops, min_price, currency, available, match_type, score."""
+    popularity, quantity, quantity_unit, shops, min_price, currency, available, match_type, score. Shops and prices are
+    read for the best only."""
     order = Window.partitionBy("request_id").orderBy(F.col("score").desc(), F.col("popularity").desc(), "display_name", "product_id")
-    top = scored(tokenised(requests), products, listings, retailers, fuzzy).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(max(limit, 1), 200))
-    return top.select("request_id", "rank", "product_id", F.col("display_name").alias("name"), F.col("brand").alias("maker"), "popularity", "quantity", "quantity_unit", "shops", "min_price", "currency", "available", "match_type", "score")
+    terms, scopes = _scoped(tokenised(requests))
+    ranked = _scored(terms, scopes, products, listings, retailers, fuzzy).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(max(limit, 1), 200))
+    top = written(ranked.select("request_id", "scope", "rank", "product_id", F.col("display_name").alias("name"), F.col("brand").alias("maker"), "popularity", "quantity", "quantity_unit", "match_type", "score"))
+    # A row for each scope and product, however many requests found it; markets join as the only part of the scope.
+    best = top.select("scope", "product_id").distinct().join(scopes.select("scope", "markets"), "scope").select(F.col("scope").alias("request_id"), "product_id", "markets", F.lit(None).cast("array<string>").alias("retailers"))
+    sold = shelf(best, listings, retailers).withColumnRenamed("request_id", "scope")
+    return top.join(sold, ["scope", "product_id"]).select("request_id", "rank", "product_id", "name", "maker", "popularity", "quantity", "quantity_unit", "shops", "min_price", "currency", "available", "match_type", "score")
 
 
 def lookup_barcodes(requests: DataFrame, products: DataFrame, identifiers: DataFrame, listings: DataFrame, retailers: DataFrame) -> DataFrame:
@@ -189,7 +237,7 @@ def shops_for(requests: DataFrame, products: DataFrame, listings: DataFrame, ret
     the shops that sell it. With markets, products that they don't sell go before the choice."""
     asked = requests.select("request_id", "markets", F.explode(F.slice("names", 1, most)).alias("folded")).withColumn("folded", text.fold(F.col("folded"))).where("folded <> ''").distinct()
     own = products.select(F.col("name_folded").alias("folded"), "product_id")
-    shown = listings.select(text.fold(F.col("retailer_name")).alias("folded"), "product_id")
+    shown = listings.select("retailer_name", "product_id").distinct().select(text.fold(F.col("retailer_name")).alias("folded"), "product_id")
     hits = asked.join(own.unionByName(shown).distinct(), "folded")
     sold = listings.join(retailers.where("enabled"), "retailer").select("product_id", "retailer", "market")
     shops = hits.join(sold, "product_id").where("markets is null or array_contains(markets, market)").groupBy("request_id", "folded", "product_id").agg(F.array_sort(F.collect_set("retailer")).alias("shops"))
