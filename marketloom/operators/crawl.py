@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.session import written
+
 
 def until_repeat(pages: DataFrame, most: int = 400) -> DataFrame:
     """Pages (department, page, ids) before the first that is empty or repeats the page before it, most at most."""
@@ -30,14 +32,17 @@ def tree_paths(files: DataFrame, body: str = "body") -> DataFrame:
     """The id paths (/1/12/) of category trees (arrays of nodes with id and children) at any depth, each once. A node
     without a number for an id goes, and with it all that stands below it."""
     get = lambda v, path, kind: F.try_variant_get(v, path, kind)
-    none = F.array().cast("array<variant>")
-    placed = lambda head, nodes: F.transform(F.coalesce(nodes, none), lambda n: F.struct(head.alias("head"), n.alias("node")))
-    tree = files.select(F.try_parse_json(body).alias("tree"), F.regexp_count(body, F.lit(r"\[")).alias("deepest")).where("tree is not null")
-    numbered = lambda level: F.filter(level, lambda x: F.schema_of_variant(get(x["node"], "$.id", "variant")).isin("BIGINT", "DOUBLE") | F.startswith(F.schema_of_variant(get(x["node"], "$.id", "variant")), F.lit("DECIMAL")))
-    path = lambda x: F.concat(x["head"], get(x["node"], "$.id", "string"), F.lit("/"))
-    start = F.struct(F.array().cast("array<string>").alias("found"), numbered(placed(F.lit("/"), get(F.col("tree"), "$", "array<variant>"))).alias("level"))
-    step = lambda acc, _: F.struct(F.concat(acc["found"], F.transform(acc["level"], path)).alias("found"), numbered(F.flatten(F.transform(acc["level"], lambda x: placed(path(x), get(x["node"], "$.children", "array<variant>"))))).alias("level"))
-    return tree.select(F.explode(F.aggregate(F.sequence(F.lit(0), "deepest"), start, step, lambda acc: acc["found"])).alias("path")).distinct()
+    kind = F.schema_of_variant(get(F.col("node"), "$.id", "variant"))
+    placed = lambda df, head, nodes: df.select(head.alias("head"), F.explode(nodes).alias("node")).where(kind.isin("BIGINT", "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")))
+    tree = files.select(F.try_parse_json(body).alias("tree")).where("tree is not null")
+    path = F.concat("head", get(F.col("node"), "$.id", "string"), F.lit("/"))
+    # A level at a time, nodes as rows: as many steps as the deepest tree has levels.
+    level = written(placed(tree, F.lit("/"), get(F.col("tree"), "$", "array<variant>")))
+    found = level.select(path.alias("path"))
+    while not level.isEmpty():
+        level = written(placed(level, path, get(F.col("node"), "$.children", "array<variant>")))
+        found = found.unionByName(level.select(path.alias("path")))
+    return found.distinct()
 
 
 def on_numbered_shelf(path: Column, primary: Column, sections: list[str], carved_out: list[str], labels: list[str], refused: list[str]) -> Column:
