@@ -26,6 +26,8 @@ MAX_LABELLED, MAX_VOTERS, LEAST_DOCS = 20_000, 160, 4
 PREFIXES, REMEMBERED = range(3, 9), 64
 #: Rounds of the label model over all documents, which start from what the labelled sample says.
 ROUNDS = 8
+#: Tasks that add up the sums of others.
+FEW = 8
 #: How often a label is taken to be right, at most: it is a strong voter among others, and not the truth.
 TRUST = 0.98
 #: Plain insults, as seed voters.
@@ -169,10 +171,19 @@ def _next_rates(patterns: DataFrame, r: Rates, repeats: bool) -> Rates:
             if repeats:
                 left = votes - np.outer(post, r.on) - np.outer(1 - post, r.off)
                 crossed += (left * n[:, None]).T @ left
-        every = np.concatenate([first, crossed.ravel()])
-        yield pa.record_batch({"cell": pa.array(np.arange(len(every), dtype=np.int32)), "part": pa.array(every)})
+        yield pa.record_batch({"part": pa.array([np.concatenate([first, crossed.ravel()]).tolist()], pa.list_(pa.float64()))})
 
-    got = patterns.mapInArrow(sums, "cell int, part double").groupBy("cell").agg(F.sum("part").alias("part")).toPandas().sort_values("cell")["part"].to_numpy()
+    def added(batches):
+        every = 0
+        for b in batches:
+            for part in b.column("part"):
+                every = every + part.values.to_numpy()
+        if not np.isscalar(every):
+            yield pa.record_batch({"part": pa.array([every.tolist()], pa.list_(pa.float64()))})
+
+    # A row of sums for each task; FEW tasks add them up before the driver does.
+    parts = patterns.mapInArrow(sums, "part array<double>").repartition(FEW).mapInArrow(added, "part array<double>")
+    got = np.sum([np.array(r["part"]) for r in parts.collect()], axis=0)
     toxic, total, known, right = got[2 * size : 2 * size + 4]
     share = r.share
     if repeats:
