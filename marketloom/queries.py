@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import jsonld, text
 from marketloom.operators import admin, crawl, logs, match, popularity, runs, search, validate
-from marketloom.plans.catalog import catalog, observations, products, read, retailers
+from marketloom.plans.catalog import catalog, observations, products, read, retailers, spread
 from marketloom.registry import ORACLES, QUERIES, query  # noqa: F401
 from marketloom.session import shared_folder, written
 from marketloom.sources import captures
@@ -58,7 +58,7 @@ def canonical_quantity(spark, d):
       CASE p_partkey % 4 WHEN 0 THEN 'g' WHEN 1 THEN 'l' WHEN 2 THEN 'ml' END AS unit, lower(p_name) AS stripped
     FROM part""")
 def parse_quantity(spark, d):
-    p = read(spark, d, "part")
+    p = spread(read(spark, d, "part"))
     n = F.col("p_size").cast("string")
     size = F.when(F.col("p_partkey") % 4 == 0, F.concat(n, F.lit("000 g"))).when(F.col("p_partkey") % 4 == 1, F.concat(n, F.lit(",0 L"))).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("3 x "), n, F.lit(" cl"))).otherwise("3,5%")
     name = F.concat_ws(" ", "p_name", size)
@@ -590,7 +590,7 @@ def product_records(spark, d):
         F.lit(None).cast("string").alias("gtin"), F.col("p_retailprice").alias("price"), F.lit(None).cast("string").alias("currency"), F.when(F.col("product_id") % 3 == 0, "https://schema.org/InStock").alias("availability"), "category",
     )
     policies = spark.createDataFrame([("even", "/p/([^/]+)", "EUR", True, True, None, False), ("odd", "/p/([^/]+)", "EUR", False, False, None, False)], build.POLICY)
-    out = build.product_records(pages, policies)
+    out = build.product_records(spread(pages), policies)
     return out.select(F.regexp_extract("external_id", r"(\d+)$", 1).cast("long").alias("product_id"), "external_id", "price", "currency", "quantity", "unit", "available")
 
 
