@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,21 +47,31 @@ def silent(alive: DataFrame, runs: DataFrame, now, minutes: int = 10) -> DataFra
     return runs.where("status = 'running'").join(last, "run_id", "left").where(heard < F.lit(now).cast("timestamp") - F.expr(f"interval {minutes} minutes"))
 
 
-def limited_stream(bumps: DataFrame, limit: int = 120, late: str = "1 hour") -> DataFrame:
-    """The first bumps (bump_id, user_id, ts) of each user and hour in the order they come; the count of an hour is kept
-    until the watermark has passed it."""
+def limited_stream(bumps: DataFrame, limit: int = 120, late: str = "1 hour", shares: int = 16) -> DataFrame:
+    """The first bumps (bump_id, user_id, ts) of each user and hour in the order they come; the counts of an hour are kept
+    until the watermark has passed it. An hour's users are dealt into so many shares, each a group with the counts of all
+    its users: a call of Python for each user and hour would cost far more than its few rows."""
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        used = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(["ts", "bump_id"])
-        keep = rows.head(max(0, limit - used))
-        state.update((used + len(keep),))
-        # A row can come when the watermark has passed its hour: a time that is over already would end the stream.
-        state.setTimeoutTimestamp(max(int(pd.Timestamp(key[1]).timestamp() * 1000) + 3_600_000, state.getCurrentWatermarkMs() + 1))
-        yield keep[["bump_id", "user_id", "ts"]]
-
-    hours = bumps.where("user_id is not null").withWatermark("ts", late).withColumn("hour", F.date_trunc("hour", "ts"))
-    return hours.groupBy("user_id", "hour").applyInPandasWithState(run, "bump_id long, user_id long, ts timestamp", "used long", "append", GroupStateTimeout.EventTimeTimeout)
+        known, used = np.frombuffer(state.get[0], "<i8").reshape(2, -1) if state.exists else np.empty((2, 0), "<i8")
+        some = [f for f in frames if len(f)]
+        rows = some[0] if len(some) == 1 else pd.concat(some)
+        rows = rows.iloc[np.lexsort((rows["bump_id"], rows["ts"], rows["user_id"]))]
+        users, first, n = np.unique(rows["user_id"].to_numpy("<i8"), return_index=True, return_counts=True)
+        every = np.union1d(known, users)
+        total, at = np.zeros(len(every), "<i8"), np.searchsorted(every, users)
+        total[np.searchsorted(every, known)] = used
+        keep = np.arange(len(rows)) - np.repeat(first, n) < np.repeat(limit - total[at], n)
+        total[at] = np.minimum(total[at] + n, limit)
+        state.update((np.stack([every, total]).tobytes(),))
+        # A row can come when the watermark has passed its hour: a time that is over already would end the stream. Rows
+        # without a time are of no hour that ever passes.
+        if pd.notna(key[0]):
+            state.setTimeoutTimestamp(max(int(pd.Timestamp(key[0]).timestamp() * 1000) + 3_600_000, state.getCurrentWatermarkMs() + 1))
+        yield rows.loc[keep, ["bump_id", "user_id", "ts"]]
+
+    hours = bumps.where("user_id is not null").withWatermark("ts", late).withColumns({"hour": F.date_trunc("hour", "ts"), "share": F.pmod(F.xxhash64("user_id"), F.lit(shares))})
+    return hours.groupBy("hour", "share").applyInPandasWithState(run, "bump_id long, user_id long, ts timestamp", "used binary", "append", GroupStateTimeout.EventTimeTimeout)
