@@ -67,10 +67,11 @@ def squeeze(text: Column) -> Column:
 
 def fold(text: Column) -> Column:
     """Without accents, lower case, single spaces; null is empty."""
-    text = F.coalesce(text, F.lit(""))
+    plain = text = F.coalesce(text, F.lit(""))
     for sign, spelled in EXPANSIONS.items():
         text = F.replace(text, F.lit(sign), F.lit(spelled))
-    return squeeze(F.lower(_base_letters(text, _letters())))
+    # A text of as many bytes as letters is ASCII, of which no sign or letter stands for another: most are.
+    return squeeze(F.lower(F.when(F.octet_length(plain) == F.length(plain), plain).otherwise(_base_letters(text, _letters()))))
 
 
 def key_fold(text: Column) -> Column:

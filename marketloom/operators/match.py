@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import text
 from marketloom.operators import graph
-from marketloom.session import discard, written
+from marketloom.session import discard, spread, written
 
 
 @dataclass
@@ -155,7 +155,8 @@ def _round(open_: DataFrame, now: _Claims, retailer: str) -> tuple[DataFrame, _C
 def resolve(rows: DataFrame, retailer: str, products: DataFrame, identifiers: DataFrame, listings: DataFrame) -> DataFrame:
     """A decision for each row. rows: ordinal and the import row; products: with merge_key; listings: of this retailer."""
     part = lambda c, n: F.split_part(c, F.lit("|"), F.lit(n))
-    ready = written(_clean(rows).withColumns({"key_brand": part("merge_key", 1), "key_size": part("merge_key", 3)}))
+    # Keys are much work for a row, and a file of a million rows may be read by one task: rows are dealt out first.
+    ready = written(_clean(spread(rows)).withColumns({"key_brand": part("merge_key", 1), "key_size": part("merge_key", 3)}))
     good = ready.where("error is null")
     codes = identifiers.where("identifier_type = 'gtin'").select(F.col("identifier_value").alias("gtin"), "product_id")
     shown = written(listings.select("external_id", "product_id").join(good.select("external_id").distinct(), "external_id", "left_semi"))

@@ -60,12 +60,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df dealt over as many tasks as a shuffle has: Spark reads a small file of many rows in few tasks, which is too few
-    where each row is much work."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def retailers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
     s = read(spark, sf_dir, "supplier").join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import jsonld, text
 from marketloom.operators import admin, crawl, logs, match, popularity, runs, search, validate
-from marketloom.plans.catalog import catalog, observations, products, read, retailers, spread
+from marketloom.plans.catalog import catalog, observations, products, read, retailers
 from marketloom.registry import ORACLES, QUERIES, query  # noqa: F401
-from marketloom.session import shared_folder, written
+from marketloom.session import shared_folder, spread, written
 from marketloom.sources import captures
 from marketloom.streaming import catalog as streams
 
