@@ -137,9 +137,9 @@ def _labels(found: DataFrame) -> DataFrame:
 def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> DataFrame:
     """(node, component) of the classes (cls, buckets, size: shingles) that have a near copy. first_pairs (a, b): compared
     before others."""
-    members = classes.select("cls", "size", F.explode("buckets").alias("bucket"))
+    members = classes.select("cls", "size", "buckets", F.explode("buckets").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("cls").alias("first")).where("n > 1").select("bucket", "first")
-    left = written(members.join(shared, "bucket").select("bucket", "cls", "size", "first"))
+    left = written(members.join(shared, "bucket").select("bucket", "buckets", "cls", "size", "first"))
     met = left.select("cls").distinct()
     bits = written(sketched(texts.join(met, "cls", "left_semi")))
     left, plain = written(left.join(bits, "cls")), left
@@ -169,9 +169,12 @@ def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> Data
         elif turn == "each":
             firsts = written(now.groupBy("bucket", "label").agg(F.min("cls").alias("cls")).select("bucket", "cls"))
             lead = now.join(firsts, ["bucket", "cls"], "left_semi")
-        lead = written(lead.select("bucket", F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("label").alias("of")))
+        lead = written(lead.select("bucket", F.col("buckets").alias("lead_buckets"), F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("label").alias("of")))
         once = F.col("cls") > F.col("lead") if turn != "each" else F.col("cls") != F.col("lead")
-        pairs = now.join(lead, "bucket").where((F.col("label") != F.col("of")) & once & fits & alike).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b"))
+        # In the last turn a pair is made in the first bucket that the two share, not in each: classes of different labels
+        # share none that has been left out as of one label.
+        here = F.array_intersect("buckets", "lead_buckets")[0] == F.col("bucket") if turn == "all" else F.lit(True)
+        pairs = now.join(lead, "bucket").where((F.col("label") != F.col("of")) & once & fits & alike & here).select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b"))
         pairs = written((pairs.unionByName(first_pairs) if turn == "one" else pairs).distinct().join(tested, ["a", "b"], "left_anti"))
         discard(lead)
         links = written(_near(pairs, texts))

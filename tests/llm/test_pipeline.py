@@ -206,3 +206,13 @@ def test_pairs_compared_grow_with_the_rows(spark, monkeypatch, shape):
         assert kept == {i for i in range(n) if head(i) == i}
     # Pairs that are alike, but not enough, cost no texts; of the others only those close below the line are compared.
     assert compared[600] <= (600 if shape == "even" else 600 * 599 // 2 // 20), compared
+
+
+def test_the_last_turn_makes_a_pair_once(spark, monkeypatch):
+    """Texts that share several buckets and come close to the line without reaching it."""
+    made, plain = [], type(spark.range(1)).distinct
+    counted = lambda df: df.columns == ["a", "b"] and made.append((df.count(), plain(df).count()))
+    monkeypatch.setattr(type(spark.range(1)), "distinct", lambda df: (counted(df), plain(df))[1])
+    texts = alike(150, "mixed", random.Random(4))
+    corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], COLUMNS), "").count()
+    assert len(made) >= 3 and made[2][0] == made[2][1] > 0  # the third turn; what follows are components
