@@ -4,9 +4,10 @@ Texts with the same set of shingles are one class. Bands of min-hashes bring cla
 share a bucket have sketches, a bit of each of SKETCH min-hashes; a pair whose sketches differ in more bits than near
 copies do is no pair, which the join on the bucket itself finds out, so that a large group of texts that are alike, but
 not enough, costs bit counts and no texts. Every other pair is compared exactly, unless the two are joined already by
-other pairs. A bucket's classes are first compared with one of them, then with one of each component that it still
-holds, and then with all that they are not joined to, so that a large group of copies costs a comparison for each member
-and not one for each pair.
+other pairs. A bucket's classes are first compared with one of them, then with some LEADS of them, and then with all that
+they are not joined to. Links are joined into components after each turn, so that a large group of copies costs some
+comparisons for each member and not one for each pair: what the last turn compares are pairs of different components that
+come close to the line, which nothing but their texts tells from links.
 Texts whose numbers of shingles differ too much to be near copies are no pair.
 """
 
@@ -18,11 +19,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blobs, components, discard, give_back, written
+from .common import blobs, discard, give_back, written
 
 #: Words of a shingle; similarity from which texts are near copies. At 0.8 a pair misses all buckets once in 2800 times.
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, DEPTH, SEED = 20, 5, 42
+#: Classes of a large bucket that all of its others are held against before all are held against all: on average.
+LEADS = 16
 #: Bits of a sketch, and the words of it that are looked at first.
 SKETCH, FIRST_WORDS = 4096, 16
 
@@ -121,17 +124,27 @@ def sketched(texts: DataFrame) -> DataFrame:
     return texts.select("cls", "text").mapInArrow(run, "cls long, sketch array<long>")
 
 
-def _labels(found: DataFrame) -> DataFrame:
-    """(cls, label) of classes that links (a, b; a < b) join to a smaller one. Equal labels are joined by links; classes
-    that links join may still have different labels, which costs a comparison and loses nothing."""
-    label = written(found.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("label")))
-    up = label.select(F.col("cls").alias("label"), F.col("label").alias("above"))
-    higher = label
-    for _ in range(2):
-        higher = higher.join(up, "label", "left").select("cls", F.coalesce("above", "label").alias("label"))
-    got = written(higher)
-    discard(label)
-    return got
+def _labels(links: DataFrame) -> DataFrame:
+    """(cls, label) of all classes in links (a, b), label the smallest class reachable. Every class takes the label of its
+    smallest neighbour, and links are drawn between labels, until all of them have one label at both ends."""
+    label = written(links.select(F.explode(F.array("a", "b")).alias("cls")).distinct().withColumn("label", F.col("cls")))
+    edges, drawn = links, None
+    while True:
+        low = written(edges.groupBy(F.col("b").alias("cls")).agg(F.min("a").alias("to")))
+        up = low.select(F.col("cls").alias("to"), F.col("to").alias("above"))
+        far = low
+        for _ in range(2):
+            far = far.join(up, "to", "left").select("cls", F.coalesce("above", "to").alias("to"))
+        far = written(far)
+        before, label = label, written(label.join(far.withColumnRenamed("cls", "label"), "label", "left").select("cls", F.coalesce("to", "label").alias("label")))
+        of = lambda c: label.select(F.col("cls").alias(c), F.col("label").alias(f"label_{c}"))  # noqa: E731, B023
+        ends = links.join(of("a"), "a").join(of("b"), "b").where("label_a <> label_b")
+        old, drawn = drawn, written(ends.select(F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")))
+        discard(before, low, far, *([old] if old else []))
+        edges = drawn
+        if edges.isEmpty():
+            discard(drawn)
+            return label
 
 
 def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> DataFrame:
@@ -148,29 +161,27 @@ def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> Data
     # Most pairs are told apart by the first bits; the rest is counted only for those that are left.
     alike = (sum(words[:FIRST_WORDS], F.lit(0)) <= differ(64 * FIRST_WORDS)) & (sum(words, F.lit(0)) <= differ(SKETCH))
     fits = F.least("size", "lead_size") >= SIMILAR * F.greatest("size", "lead_size") - 1e-9  # else even one set within the other is too unlike
-    none = texts.sparkSession.createDataFrame([], "a long, b long")
-    tested = found = none
+    tested = texts.sparkSession.createDataFrame([], "a long, b long")
     made = []
     now, label = left.withColumn("label", F.col("cls")), None
-    # A bucket's members are held against its first class, then against the first of each label, then all. Links join
-    # classes only at the end; labels between the turns are there to leave comparisons out.
-    for turn in ("one", "each", "all"):
+    # A bucket's members are held against its first class, then against LEADS of them, then all. Classes of one label are
+    # joined already; hardly one that belongs to a large group is left out of it when all are held against each other.
+    for turn in ("one", "some", "all"):
         if label is not None:
             labelled = written(left.join(label, "cls", "left").withColumn("label", F.coalesce("label", "cls")))
-            mixed = written(labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("bucket"))
+            mixed = written(labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).where("low <> high").select("bucket", "n"))
             now = written(labelled.join(mixed, "bucket"))
-            discard(labelled, mixed, label, left)
-            left = now.drop("label")
+            discard(labelled, mixed, left)
+            left = now.drop("label", "n")
             if now.isEmpty():
                 break
         lead = now
         if turn == "one":
             lead = now.where("cls = first")
-        elif turn == "each":
-            firsts = written(now.groupBy("bucket", "label").agg(F.min("cls").alias("cls")).select("bucket", "cls"))
-            lead = now.join(firsts, ["bucket", "cls"], "left_semi")
+        elif turn == "some":
+            lead = now.where(F.pmod(F.xxhash64("cls", "bucket"), "n") < LEADS)
         lead = written(lead.select("bucket", F.col("buckets").alias("lead_buckets"), F.col("cls").alias("lead"), F.col("size").alias("lead_size"), F.col("sketch").alias("lead_sketch"), F.col("label").alias("of")))
-        once = F.col("cls") > F.col("lead") if turn != "each" else F.col("cls") != F.col("lead")
+        once = F.col("cls") > F.col("lead") if turn != "some" else F.col("cls") != F.col("lead")
         # In the last turn a pair is made in the first bucket that the two share, not in each: classes of different labels
         # share none that has been left out as of one label.
         here = F.array_intersect("buckets", "lead_buckets")[0] == F.col("bucket") if turn == "all" else F.lit(True)
@@ -178,12 +189,15 @@ def joined(classes: DataFrame, texts: DataFrame, first_pairs: DataFrame) -> Data
         pairs = written((pairs.unionByName(first_pairs) if turn == "one" else pairs).distinct().join(tested, ["a", "b"], "left_anti"))
         discard(lead)
         links = written(_near(pairs, texts))
-        tested, found = tested.unionByName(pairs), found.unionByName(links)
+        tested = tested.unionByName(pairs)
         made += [pairs, links]
-        label = _labels(found) if turn != "all" else None
-    named = components(found)
+        if label is None:
+            label = _labels(links)
+        elif not links.isEmpty():
+            before, label = label, _labels(label.select(F.col("label").alias("a"), F.col("cls").alias("b")).where("a <> b").unionByName(links))
+            discard(before)
     discard(left, *made)
-    return named
+    return label.select(F.col("cls").alias("node"), F.col("label").alias("component"))
 
 
 def chosen(docs: DataFrame, rows: DataFrame, named: DataFrame, done: tuple[DataFrame, ...]) -> DataFrame:

@@ -216,3 +216,20 @@ def test_the_last_turn_makes_a_pair_once(spark, monkeypatch):
     texts = alike(150, "mixed", random.Random(4))
     corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], COLUMNS), "").count()
     assert len(made) >= 3 and made[2][0] == made[2][1] > 0  # the third turn; what follows are components
+
+
+def test_labels_are_components(spark):
+    """Classes that only larger ones join have one label, too."""
+    chain = [(k, 100 + k) for k in range(20)] + [(k, 101 + k) for k in range(19)]
+    links = spark.createDataFrame([*chain, (500, 501), (501, 502), (502, 503), (503, 504), (504, 505), (505, 506)], "a long, b long").repartition(3)
+    got = {r["cls"]: r["label"] for r in nearcopies._labels(links).collect()}
+    assert got == {**dict.fromkeys([*range(20), *range(100, 120)], 0), **dict.fromkeys(range(500, 507), 500)}
+
+
+def test_a_few_lead_a_large_group_before_all_are_compared(spark, monkeypatch):
+    """Texts that their bucket's first does not join meet some of the others, not every member of every bucket."""
+    made, plain = [], type(spark.range(1)).distinct
+    monkeypatch.setattr(type(spark.range(1)), "distinct", lambda df: (df.columns == ["a", "b"] and made.append(df.count()), plain(df))[1])
+    texts = alike(300, "mixed", random.Random(4))
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], COLUMNS), "").count()
+    assert kept == 146 and len(made) >= 3 and made[1] < 40 * 300 and made[2] < 10 * 300, made
